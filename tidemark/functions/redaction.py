@@ -43,18 +43,11 @@ def kind_pattern(kind: str) -> str:
     return _FLAGS + _ANCHORS.get(kind, "") + PATTERNS[kind]
 
 
-def may_contain_pii(text: Column) -> Column:
-    """Cheap necessary condition: every kind needs an ``@`` or four digits in a row."""
-    return F.contains(text, F.lit("@")) | text.rlike(r"(?U)\d{4}")
-
-
 def has_kind(text: Column, kind: str) -> Column:
-    return text.rlike(kind_pattern(kind))
-
-
-def kind_count(text: Column, kind: str) -> Column:
-    """Number of hits of one kind, overlaps with other kinds not considered."""
-    return F.regexp_count(text, F.lit(kind_pattern(kind)))
+    """Whether a kind occurs. Mail and payment addresses need an ``@``, the others four digits in a row,
+    and both are far cheaper to look for."""
+    cheap = F.contains(text, F.lit("@")) if kind in ("EMAIL", "VPA") else text.rlike(r"(?U)\d{4}")
+    return cheap & text.rlike(kind_pattern(kind))
 
 
 def contains_pii(text: Column) -> Column:
@@ -62,7 +55,7 @@ def contains_pii(text: Column) -> Column:
     any_kind = F.lit(False)
     for kind in PATTERNS:
         any_kind = any_kind | has_kind(text, kind)
-    return F.coalesce(may_contain_pii(text) & any_kind, F.lit(False))
+    return F.coalesce(any_kind, F.lit(False))
 
 
 _SPANS = "array<struct<start:int,neg_stop:int,rank:int>>"
@@ -72,65 +65,65 @@ def _spans(text: Column, kind: str, rank: int) -> Column:
     """Spans of one kind as (start, -stop, rank); sorting these orders by start, longest, precedence.
 
     Splitting gives the gaps, extraction the hits; start positions are running sums of their lengths.
+    There is one gap more than there are hits.
     """
-    pattern = F.lit(kind_pattern(kind))
-    hits = F.regexp_extract_all(text, pattern, F.lit(0))
+    hits = F.regexp_extract_all(text, F.lit(kind_pattern(kind)), F.lit(0))
     gaps = F.split(text, kind_pattern(kind), -1)
 
     def step(acc, piece):
         start = acc["pos"] + F.length(piece["gap"])
         stop = start + F.length(piece["hit"])
         span = F.struct(start.alias("start"), (-stop).alias("neg_stop"), F.lit(rank).alias("rank"))
-        return F.struct(stop.alias("pos"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+        grown = F.struct(stop.alias("pos"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+        return F.when(piece["hit"].isNotNull(), grown).otherwise(acc)
 
-    pieces = F.zip_with(
-        hits, F.slice(gaps, 1, F.size(hits)), lambda h, g: F.struct(h.alias("hit"), g.alias("gap"))
-    )
-    start = F.struct(F.lit(0).alias("pos"), F.array().cast(_SPANS).alias("spans"))
+    pieces = F.zip_with(gaps, hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
+    start = F.struct(F.lit(0).alias("pos"), _no_spans().alias("spans"))
     found = F.aggregate(pieces, start, step, lambda acc: acc["spans"])
-    return F.when(has_kind(text, kind), found).otherwise(F.array().cast(_SPANS))
+    return F.when(has_kind(text, kind), found).otherwise(_no_spans())
+
+
+def _no_spans() -> Column:
+    return F.array().cast(_SPANS)
+
+
+def name_span(start: Column, stop: Column) -> Column:
+    """A span of a known name, for the ``names`` argument of :func:`taken_spans`."""
+    rank = F.lit(len(PATTERNS))
+    return F.struct(start.cast("int").alias("start"), (-stop).cast("int").alias("neg_stop"), rank.alias("rank"))
+
 
+def taken_spans(text: Column, names: Column | None = None) -> Column:
+    """Spans to replace, in text order and without overlaps. ``names`` adds spans found elsewhere.
 
-def _taken_spans(text: Column, names: Column | None = None) -> Column:
-    """Non-overlapping spans in text order. ``names`` adds spans found elsewhere, in the same form."""
+    Select this into a column when both the clean text and the findings are needed.
+    """
     found = [_spans(text, kind, i) for i, kind in enumerate(PATTERNS)]
+    hit = contains_pii(text)
     if names is not None:
-        found.append(F.coalesce(names, F.array().cast(_SPANS)))
-    candidates = F.array_sort(F.concat(*found))
+        found.append(F.coalesce(names, _no_spans()))
+        hit = hit | F.coalesce(F.size(names) > 0, F.lit(False))
 
     def step(acc, span):
-        taken = F.struct((-span["neg_stop"]).alias("pos"), F.concat(acc["spans"], F.array(span)).alias("spans"))
-        return F.when(span["start"] >= acc["pos"], taken).otherwise(acc)
+        grown = F.struct((-span["neg_stop"]).alias("pos"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+        return F.when(span["start"] >= acc["pos"], grown).otherwise(acc)
 
-    start = F.struct(F.lit(0).alias("pos"), F.array().cast(_SPANS).alias("spans"))
-    return F.aggregate(candidates, start, step, lambda acc: acc["spans"])
+    start = F.struct(F.lit(0).alias("pos"), _no_spans().alias("spans"))
+    taken = F.aggregate(F.array_sort(F.concat(*found)), start, step, lambda acc: acc["spans"])
+    return F.when(hit, taken).otherwise(_no_spans())
 
 
 def _label(rank: Column) -> Column:
     return F.element_at(F.array(*[F.lit(k) for k in (*PATTERNS, NAME)]), rank + 1)
 
 
-def name_span(start: Column, stop: Column) -> Column:
-    """A span of a known name, for the ``names`` argument of :func:`redact` and :func:`findings`."""
-    return F.struct(
-        start.cast("int").alias("start"), (-stop).cast("int").alias("neg_stop"), F.lit(len(PATTERNS)).alias("rank")
-    )
-
-
-def _any_hit(text: Column, names: Column | None) -> Column:
-    if names is None:
-        return contains_pii(text)
-    return contains_pii(text) | F.coalesce(F.size(names) > 0, F.lit(False))
-
+def findings_of(spans: Column) -> Column:
+    """Kinds of the spans in text order, with repetitions, never the values."""
+    return F.transform(spans, lambda s: _label(s["rank"]))
 
-def findings(text: Column, names: Column | None = None) -> Column:
-    """Kinds found, in text order and with repetitions, never the values."""
-    kinds = F.transform(_taken_spans(text, names), lambda s: _label(s["rank"]))
-    return F.when(_any_hit(text, names), kinds).otherwise(F.array().cast("array<string>"))
 
-
-def redact(text: Column, names: Column | None = None) -> Column:
-    """The text with every taken span replaced by ``[KIND]``."""
+def without(text: Column, spans: Column) -> Column:
+    """The text with every span replaced by ``[KIND]``."""
 
     def step(acc, span):
         gap = F.substring(text, acc["pos"] + 1, span["start"] - acc["pos"])
@@ -142,8 +135,15 @@ def redact(text: Column, names: Column | None = None) -> Column:
         return F.array_join(F.concat(acc["out"], F.array(tail)), "")
 
     start = F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
-    rebuilt = F.aggregate(_taken_spans(text, names), start, step, finish)
-    return F.when(_any_hit(text, names), rebuilt).otherwise(text)
+    return F.aggregate(spans, start, step, finish)
+
+
+def findings(text: Column) -> Column:
+    return findings_of(taken_spans(text))
+
+
+def redact(text: Column) -> Column:
+    return F.when(contains_pii(text), without(text, taken_spans(text))).otherwise(text)
 
 
 def asks_for_pii(text: Column) -> Column:

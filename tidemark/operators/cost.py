@@ -41,7 +41,8 @@ def scan_estimate(
     span = manifest.groupBy("table_name").agg(
         F.min("dt").cast("date").alias("first_day"), F.max("dt").cast("date").alias("last_day")
     )
-    days = span.select("table_name", F.explode(F.sequence("first_day", "last_day")).cast("string").alias("dt"))
+    days = span.select("table_name", F.explode(F.sequence("first_day", "last_day")).alias("day"))
+    days = days.select("table_name", F.col("day").cast("string").alias("dt"))
     per_day = manifest.groupBy("table_name", "dt").agg(F.sum("rows").alias("rows"))
     upto = Window.partitionBy("table_name").orderBy("dt").rowsBetween(Window.unboundedPreceding, 0)
     totals = days.join(per_day, ["table_name", "dt"], "left").select(

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import day, row_hash
-from tidemark.operators.quality import DataQualityError, gate, partition_gate
+from tidemark.operators.quality import gate, partition_gate
+from tidemark.session import small_frame
 from tidemark.sources import catalog
-from tidemark.sources.lake import file_stats, read_partitioned, write_partition_overwrite
+from tidemark.sources.lake import read_partitioned, write_partition_overwrite
 from tidemark.sources.oltp import in_window
 
 EPOCH = datetime(1970, 1, 1)
@@ -199,7 +200,7 @@ class Lake:
         except AnalysisException as error:
             if "PATH_NOT_FOUND" not in str(error):
                 raise
-            return self.spark.createDataFrame([], schema)
+            return small_frame(self.spark, [], schema)
 
     def manifest(self, table: str) -> DataFrame:
         schema = "rows bigint, files bigint, bytes bigint, content_hash string, table_name string, dt string"
@@ -216,12 +217,10 @@ class Lake:
     def save_watermark(self, table: str, hi: datetime, run_id: str | None) -> None:
         # One row per table: small enough to pass through the driver, which also breaks the
         # read-from-what-is-overwritten cycle.
-        reached = self.spark.createDataFrame([(table, hi, run_id)], WATERMARK_SCHEMA)
+        reached = small_frame(self.spark, [(table, hi, run_id)], WATERMARK_SCHEMA)
         current = self.watermarks().filter(F.col("table_name") == table)
-        merged = advance_watermark(current, reached).collect()
-        _replace_partitions(
-            self.spark.createDataFrame(merged, WATERMARK_SCHEMA), self.watermark_path, ["table_name"]
-        )
+        merged = [tuple(r) for r in advance_watermark(current, reached).collect()]
+        _replace_partitions(small_frame(self.spark, merged, WATERMARK_SCHEMA), self.watermark_path, ["table_name"])
 
 
 def _replace_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
@@ -258,7 +257,7 @@ def incremental_extract(
         # turns the later reads into directory-pruned scans.
         dates = sorted(r.dt for r in changed_partitions(source, lo, hi).collect() if r.dt is not None)
     if dates:
-        changed = spark.createDataFrame([(d,) for d in dates], "dt string")
+        changed = small_frame(spark, [(d,) for d in dates], "dt string")
         # The enclosing range reaches the scan (row-group or index skipping); the semi-join is exact.
         first, last = datetime.fromisoformat(dates[0]), datetime.fromisoformat(dates[-1])
         source = in_window(source, first, last + timedelta(days=1), "created_at")
@@ -273,20 +272,3 @@ def incremental_extract(
         lake.save_watermark(table, hi, run_id)
     return lake.manifest(table).filter(F.col("dt").isin(dates))
 
-
-__all__ = [
-    "DataQualityError",
-    "EPOCH",
-    "Lake",
-    "advance_watermark",
-    "changed_partitions",
-    "content_manifest",
-    "file_stats",
-    "incremental_extract",
-    "late_updates",
-    "manifest_diff",
-    "partition_manifest",
-    "rebuild_partitions",
-    "resolve_window",
-    "updates_in_window",
-]

@@ -16,14 +16,22 @@ from tidemark.functions.skew import salted_join
 SCAN_TOKEN = r"[\p{L}\p{N}_@+%'.\-]+"
 
 
+MAX_BROADCAST_ROWS = 500_000  # names or identifiers sent to every executor: some 50 MB
+
+
 class PiiError(Exception):
     """Text that must be clean is not. The message has kinds and counts, never values."""
 
 
 def redact_text(df: DataFrame, text: str) -> DataFrame:
     """Replace ``text`` by its redacted form and add the array ``findings``."""
-    return df.withColumns(
-        {"findings": redaction.findings(F.col(text)), text: redaction.redact(F.col(text))}
+    return _apply_spans(df.withColumn("_spans", redaction.taken_spans(F.col(text))), df.columns, text)
+
+
+def _apply_spans(df: DataFrame, columns: list[str], text: str) -> DataFrame:
+    return df.select(
+        *[redaction.without(F.col(c), F.col("_spans")).alias(c) if c == text else c for c in columns],
+        redaction.findings_of(F.col("_spans")).alias("findings"),
     )
 
 
@@ -39,6 +47,16 @@ def counts_by_kind(df: DataFrame, text: str, by: list[str]) -> DataFrame:
     return totals.unpivot(by, kinds, "kind", "hits")
 
 
+def word_runs(words: str, n: int) -> Column:
+    """All runs of ``n`` consecutive words, joined by blanks: the word array zipped with itself, shifted."""
+    grams = F.col(words)
+    for shift in range(1, n):
+        shifted = F.slice(F.col(words), shift + 1, F.size(words))
+        grams = F.zip_with(grams, shifted, lambda a, b: F.concat(a, F.lit(" "), b))
+    # The last n - 1 positions met no partner and are null.
+    return F.slice(grams, F.lit(1), F.greatest(F.size(words) - (n - 1), F.lit(0)))
+
+
 def _name_grams(df: DataFrame, key: str, text: str) -> DataFrame:
     """Every run of 2 to 4 name words with its word position: ``(key, at, words, gram)``."""
     tokens = df.select(
@@ -46,15 +64,10 @@ def _name_grams(df: DataFrame, key: str, text: str) -> DataFrame:
     )
     lowered = tokens.select(key, F.transform("tok", F.lower).alias("tok"))
 
-    def run(n: int):
-        last = F.size("tok") - n + 1
-
-        def gram(i):
-            joined = F.array_join(F.slice(F.col("tok"), i, n), " ")
-            return F.struct((i - 1).alias("at"), F.lit(n).alias("words"), joined.alias("gram"))
-
-        positions = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(positions, gram)
+    def run(n: int) -> Column:
+        return F.transform(
+            word_runs("tok", n), lambda g, i: F.struct(i.alias("at"), F.lit(n).alias("words"), g.alias("gram"))
+        )
 
     grams = F.concat(*[run(n) for n in redaction.NAME_LENGTHS])
     return lowered.select(key, F.explode(grams).alias("g")).select(key, "g.at", "g.words", "g.gram")
@@ -62,43 +75,55 @@ def _name_grams(df: DataFrame, key: str, text: str) -> DataFrame:
 
 def known_names(names: DataFrame, name: str) -> DataFrame:
     """Distinct lower-case names of at least two words; single words are too common to redact."""
-    cleaned = F.lower(F.trim(F.col(name)))
-    return names.select(cleaned.alias("gram")).filter(F.size(F.split("gram", r"\s+")) >= 2).distinct()
+    # Filtered before the key is formed: a filter on the join key would be repeated on every word run.
+    several = names.filter(F.trim(F.col(name)).rlike(r"\S\s+\S"))
+    return several.select(F.lower(F.trim(F.col(name))).alias("gram")).distinct()
 
 
 def redact_known_names(
-    df: DataFrame, key: str, text: str, names: DataFrame, name: str, salts: int = 16
+    df: DataFrame,
+    key: str,
+    text: str,
+    names: DataFrame,
+    name: str,
+    max_broadcast: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Redact names from a table along with the patterned kinds; ``key`` must identify a row.
 
-    Word runs meet the names in an equi-join, salted by row because a run such as a common greeting can
-    make up a large part of all runs. What comes back per text are only its matches.
+    Word runs meet the names in an equi-join. Up to ``max_broadcast`` names, counted first, go to where
+    the texts are. More names are joined by shuffle, salted by row, because a run such as a common
+    greeting can make up a large part of all runs. What comes back per text are only its matches.
     """
-    matched = salted_join(
-        _name_grams(df, key, text), known_names(names, name), ["gram"], F.col(key), salts=salts
-    )
+    wanted = known_names(names, name)
+    grams = _name_grams(df, key, text)
+    if wanted.limit(max_broadcast + 1).count() <= max_broadcast:
+        matched = grams.join(F.broadcast(wanted), "gram")
+    else:
+        matched = salted_join(grams, wanted, ["gram"], F.col(key))
     per_row = matched.groupBy(key).agg(F.collect_list(F.struct("at", "words")).alias("_names"))
-    joined = df.join(per_row, key, "left")
-
-    # Word positions become character positions through the lengths of words and gaps before them.
-    words = F.regexp_extract_all(F.col(text), F.lit(redaction.TOKEN_PATTERN), F.lit(0))
-    gaps = F.split(F.col(text), redaction.TOKEN_PATTERN, -1)
+    # Words and gaps are needed only where names were found; they turn word positions into characters.
+    found = F.col("_names").isNotNull()
+    pieces = df.join(per_row, key, "left").withColumns(
+        {
+            "_words": F.when(
+                found, F.regexp_extract_all(F.col(text), F.lit(redaction.TOKEN_PATTERN), F.lit(0))
+            ),
+            "_gaps": F.when(found, F.split(F.col(text), redaction.TOKEN_PATTERN, -1)),
+        }
+    )
 
-    def length_of(parts: Column, count: Column) -> Column:
-        return F.aggregate(F.slice(parts, F.lit(1), count), F.lit(0), lambda acc, p: acc + F.length(p))
+    def length_of(parts: str, count: Column) -> Column:
+        return F.aggregate(F.slice(F.col(parts), F.lit(1), count), F.lit(0), lambda acc, p: acc + F.length(p))
 
     def span(m: Column) -> Column:
         first, after = m["at"], m["at"] + m["words"]
-        start = length_of(gaps, first + 1) + length_of(words, first)
-        stop = length_of(gaps, after) + length_of(words, after)
+        start = length_of("_gaps", first + 1) + length_of("_words", first)
+        stop = length_of("_gaps", after) + length_of("_words", after)
         return redaction.name_span(start, stop)
 
-    spans = F.transform(F.col("_names"), span)
-    return joined.withColumn("_spans", F.when(F.col("_names").isNotNull(), spans)).select(
-        *[c for c in df.columns if c != text],
-        redaction.redact(F.col(text), F.col("_spans")).alias(text),
-        redaction.findings(F.col(text), F.col("_spans")).alias("findings"),
-    )
+    with_names = pieces.withColumn("_name_spans", F.transform(F.col("_names"), span))
+    spans = redaction.taken_spans(F.col(text), F.col("_name_spans"))
+    return _apply_spans(with_names.withColumn("_spans", spans), df.columns, text)
 
 
 def unclean_rows(df: DataFrame, text: str) -> DataFrame:
@@ -142,40 +167,39 @@ def identifiers(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).filter(F.col("value").isNotNull()).distinct()
 
 
-def leak_scan(values: DataFrame, corpus: DataFrame, text: str) -> DataFrame:
+def leak_scan(
+    values: DataFrame, corpus: DataFrame, text: str, max_broadcast: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
     """Identifiers that occur in a corpus, with the number of texts that hold them.
 
     An identifier occurs when its words follow each other in a text, delimited on both sides. Texts are
-    cut into runs of as many words as identifiers have. Runs are counted per distinct run before the
-    join, on the map side first, so neither a frequent word nor a repeated text makes a hot key, and
-    the join meets two sides with unique keys.
+    cut into runs of as many words as identifiers have, each distinct run of a text once.
+
+    Up to ``max_broadcast`` identifiers, counted first, go to where the texts are, and only hits are
+    shuffled. More identifiers are joined by shuffle to distinct runs with their counts: runs combine on
+    the map side first, so neither a frequent word nor a repeated text makes a hot key.
     """
     pattern = F.lit(SCAN_TOKEN)
 
     def words(column: str) -> Column:
         found = F.regexp_extract_all(F.col(column), pattern, F.lit(0))
-        bare = F.transform(found, lambda w: F.regexp_replace(w, r"^[.'\-]+|[.'\-]+$", ""))
+        bare = F.transform(found, lambda w: F.btrim(w, F.lit(".'-")))
         return F.filter(bare, lambda w: F.length(w) > 0)
 
     keyed = values.withColumn("_w", words("value")).select(
         "kind", "value", F.size("_w").alias("n"), F.array_join("_w", " ").alias("run")
     )
-    # Few lengths: an identifier has a handful of words.
-    lengths = sorted(r["n"] for r in keyed.select("n").distinct().collect() if r["n"] > 0)
+    # One row per number of words; an identifier has a handful.
+    lengths = {r["n"]: r["count"] for r in keyed.groupBy("n").count().collect() if r["n"] > 0}
     tokens = corpus.select(words(text).alias("_w"))
-
-    def runs(n: int) -> Column:
-        last = F.size("_w") - n + 1
-        positions = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(positions, lambda i: F.array_join(F.slice(F.col("_w"), i, n), " "))
-
-    every = F.concat(*[runs(n) for n in lengths]) if lengths else F.array().cast("array<string>")
-    counted = (
-        tokens.select(F.explode(F.array_distinct(every)).alias("run"))
-        .groupBy("run")
-        .agg(F.count(F.lit(1)).alias("texts"))
-    )
-    return keyed.join(counted, "run").select("kind", "value", "texts")
+    every = [word_runs("_w", n) for n in sorted(lengths)] or [F.array().cast("array<string>")]
+    runs = tokens.select(F.explode(F.array_distinct(F.concat(*every))).alias("run"))
+    sought = keyed.select("kind", "value", "run")
+    if sum(lengths.values()) <= max_broadcast:
+        hits = runs.join(F.broadcast(sought), "run")
+        return hits.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("texts"))
+    counted = runs.groupBy("run").agg(F.count(F.lit(1)).alias("texts"))
+    return sought.join(counted, "run").select("kind", "value", "texts")
 
 
 def redact_records(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.expr import day
+from tidemark.session import small_frame
 from tidemark.sources import catalog
 
 VIOLATION_COLUMNS = ["check_name", "table_name", "dt", "detail"]
@@ -114,9 +115,8 @@ def partition_exists(expected: DataFrame, manifest: DataFrame) -> DataFrame:
 def calendar(dates: DataFrame) -> DataFrame:
     """Every date from the first to the last ``dt``; at most one row per calendar day."""
     span = dates.agg(F.min("dt").cast("date").alias("lo"), F.max("dt").cast("date").alias("hi"))
-    return span.filter(F.col("lo").isNotNull()).select(
-        F.explode(F.sequence("lo", "hi")).cast("string").alias("dt")
-    )
+    days = span.filter(F.col("lo").isNotNull()).select(F.explode(F.sequence("lo", "hi")).alias("day"))
+    return days.select(F.col("day").cast("string").alias("dt"))
 
 
 def freshness(
@@ -184,7 +184,7 @@ def schema_columns(spark: SparkSession, schemas: dict[str, T.StructType]) -> Dat
         for name, schema in schemas.items()
         for f in schema.fields
     ]
-    return spark.createDataFrame(rows, "table_name string, column_name string, family string")
+    return small_frame(spark, rows, "table_name string, column_name string, family string")
 
 
 def declared_columns(spark: SparkSession, tables: list[str]) -> DataFrame:
@@ -194,7 +194,7 @@ def declared_columns(spark: SparkSession, tables: list[str]) -> DataFrame:
         for c in catalog.table(name).columns
         if c.name != "dt" or catalog.table(name).layer != "raw"
     ]
-    return spark.createDataFrame(rows, "table_name string, column_name string, family string")
+    return small_frame(spark, rows, "table_name string, column_name string, family string")
 
 
 def schema_drift(live: DataFrame, declared: DataFrame) -> DataFrame:

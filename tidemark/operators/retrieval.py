@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import small_frame
+
 MAX_QUERY_VALUES = 4_000_000  # 32 MB of doubles: the query vectors one task may hold
 _BLOCK_DOCS = 50_000  # documents per block on the path for many queries
 _SCORE_DIGITS = 9  # ranks compare scores at this precision, so equal vectors tie exactly
@@ -133,12 +135,11 @@ def vector_topk_docs(
     sides are cut into blocks of bounded size by a hash of their ids, and each pair of blocks is one
     task's matrix product, so any number of queries works and no task holds more than two blocks.
     """
-    spark = docs.sparkSession
     docs = docs.select("doc_id", F.col("doc_group").cast("string").alias("doc_group"), "embedding")
     queries = queries.select("query_id", "embedding")
     first = queries.limit(1).collect()
     if not first:
-        return spark.createDataFrame([], _RESULT + ", rank int")
+        return small_frame(docs.sparkSession, [], _RESULT + ", rank int")
     limit = max(1, max_query_values // len(first[0]["embedding"]))
     probe = queries.limit(limit + 1).collect()
     if len(probe) <= limit:

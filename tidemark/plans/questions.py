@@ -36,7 +36,9 @@ def _counts(df: DataFrame, conditions: dict[int, Column], prune: Column | None =
     return long.select(F.col("question_id").cast("bigint").alias("question_id"), "n")
 
 
-def count_filter(f: Frames, day: str, other_day: str, last_day: str, first: str, last: str) -> DataFrame:
+def count_filter(
+    f: Frames, day: str, other_day: str, last_day: str, signup_day: str, first: str, last: str
+) -> DataFrame:
     status = F.col("status")
     parts = [
         _counts(
@@ -53,8 +55,8 @@ def count_filter(f: Frames, day: str, other_day: str, last_day: str, first: str,
         _counts(f.refunds, {24: status == "PROCESSED"}, _dt(day)),
         _counts(
             f.users,
-            {39: _dt(day), 40: (F.col("kyc_status") == "FULL_KYC") & _between(first, last)},
-            _dt(day) | _between(first, last),
+            {39: _dt(signup_day), 40: (F.col("kyc_status") == "FULL_KYC") & _between(first, last)},
+            _dt(signup_day) | _between(first, last),
         ),
     ]
     return reduce(DataFrame.unionByName, parts)

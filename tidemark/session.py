@@ -58,3 +58,16 @@ def checkpointed(df):
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def small_frame(spark: SparkSession, rows: list[tuple], schema: str):
+    """A frame of driver-side rows (verdicts, dates, settings) that the planner sees with its real size."""
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    struct = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(struct)
+    columns = list(zip(*rows)) if rows else [[] for _ in arrow]
+    arrays = [pa.array(list(c), type=f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=arrow), schema=struct)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,7 +64,7 @@ def split_partitions(df: DataFrame, path: str, files: int, key: str, partition:
     """The reverse of compaction: ``files`` files per partition, the layout that compaction repairs."""
     slot = F.pmod(F.xxhash64(key), F.lit(files)).cast("int")
     (
-        df.repartition(files, slot)
+        df.repartitionById(files, slot)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")
@@ -71,17 +73,19 @@ def split_partitions(df: DataFrame, path: str, files: int, key: str, partition:
     )
 
 
-def file_stats(df: DataFrame, partition: str = "dt") -> DataFrame:
-    """Rows, files and bytes per partition of a file-based frame, from the hidden file metadata.
+def file_stats(df: DataFrame, partition: str = "dt", where: Column | None = None) -> DataFrame:
+    """Files, bytes and rows per partition of a file-based frame, from the hidden file metadata.
 
-    The first aggregate has one row per file, the second one per partition; both combine on the map
-    side, so a partition of any size only sends its file names.
+    ``where`` limits which rows are counted, not which files: those are all files the frame opens. The
+    first aggregate has one row per file, the second one per partition; both combine on the map side, so
+    a partition of any size only sends its file names.
     """
+    counted = F.count(F.lit(1)) if where is None else F.count_if(where)
     per_file = df.groupBy(
         partition,
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
-    ).agg(F.count(F.lit(1)).alias("rows"))
+    ).agg(counted.alias("rows"))
     return per_file.groupBy(partition).agg(
         F.sum("rows").alias("rows"),
         F.count(F.lit(1)).alias("files"),
@@ -89,14 +93,16 @@ def file_stats(df: DataFrame, partition: str = "dt") -> DataFrame:
     )
 
 
-def scan_profile(variants: dict[str, DataFrame], partition: str = "dt") -> DataFrame:
-    """What each query variant reads: partitions, files, whole-file bytes and rows that qualify.
+def scan_profile(
+    variants: dict[str, DataFrame], where: dict[str, Column] | None = None, partition: str = "dt"
+) -> DataFrame:
+    """What each query variant reads: partitions, files, whole-file bytes, and rows that qualify.
 
-    Pass the filtered frames, before any aggregation. Files whose rows are all filtered out inside the
-    scan do not show up; partitions pruned by the planner are never opened at all.
+    A variant is a frame with its filters on the partition column, which decide the files that are
+    opened; ``where`` holds its other filters, which only decide the rows that qualify.
     """
     frames = [
-        file_stats(df, partition)
+        file_stats(df, partition, (where or {}).get(label))
         .agg(
             F.count(F.lit(1)).alias("partitions"),
             F.coalesce(F.sum("files"), F.lit(0)).cast("bigint").alias("files"),
@@ -106,10 +112,7 @@ def scan_profile(variants: dict[str, DataFrame], partition: str = "dt") -> DataF
         .select(F.lit(label).alias("variant"), "partitions", "files", "rows", "bytes")
         for label, df in variants.items()
     ]
-    out = frames[0]
-    for frame in frames[1:]:
-        out = out.unionByName(frame)
-    return out
+    return reduce(DataFrame.unionByName, frames)
 
 
 def register_external_table(

@@ -14,10 +14,11 @@ from tidemark.sources.lake import read_partitioned
 from workload.fixtures import event_frames, event_lake, on_events, on_payments, payments
 
 # Dates the questions ask about: order dates run from 1995 to 2001, events through January 2024.
-DAY, OTHER_DAY, LAST_DAY = "1997-05-28", "1997-05-14", "1997-05-31"
+DAY, OTHER_DAY, LAST_DAY = "1997-05-23", "1997-05-25", "1997-05-31"
 FIRST, LAST = "1997-05-01", "1997-05-28"
 SINCE = "1997-05-01"
-COHORT, COHORT_FIRST, COHORT_LAST = "1995-02-27", "1995-02-06", "1995-06-26"
+SIGNUP_DAY, SIGNUP_FIRST, SIGNUP_LAST = "1995-02-13", "1995-02-01", "1995-02-28"
+COHORT, COHORT_FIRST, COHORT_LAST = "1995-03-13", "1995-02-06", "1995-06-26"
 MERCHANT = 63
 BUSY = 100
 E_DAY, E_FIRST, E_LAST = "2024-01-15", "2024-01-09", "2024-01-15"
@@ -57,7 +58,7 @@ QUERIES = {
     "merchant_leaderboard": _p(lambda f: f.merchant_leaderboard),
     "failure_reasons": _p(lambda f: f.failure_reasons),
     "retention_weekly": _p(lambda f: f.retention_weekly),
-    "q_count_filter": _p(lambda f: q.count_filter(f, DAY, OTHER_DAY, LAST_DAY, FIRST, LAST)),
+    "q_count_filter": _p(lambda f: q.count_filter(f, DAY, OTHER_DAY, LAST_DAY, SIGNUP_DAY, SIGNUP_FIRST, SIGNUP_LAST)),
     "q_view_point": _p(lambda f: q.view_point(f, DAY, COHORT)),
     "q_view_range_sorted": _p(lambda f: q.view_range_sorted(f, FIRST, LAST, COHORT_FIRST)),
     "q_argmax": _p(lambda f: q.argmax(f, OTHER_DAY, FIRST, LAST, BUSY)),
@@ -110,6 +111,7 @@ def _mean(total: str, count: str) -> str:
 
 
 _IN = f"dt BETWEEN '{FIRST}' AND '{LAST}'"
+_SIGNED_UP = f"dt BETWEEN '{SIGNUP_FIRST}' AND '{SIGNUP_LAST}'"
 _TOTALS = "count(*) AS n, CAST(sum(amount_paise) AS BIGINT) AS paise"
 _TX_COLUMNS = ", ".join(catalog.table("transactions").column_names)
 _E_IN = f"dt BETWEEN '{E_FIRST}' AND '{E_LAST}'"
@@ -140,8 +142,8 @@ ORACLES = {
                 24: f"SELECT count(*) AS n FROM refunds WHERE dt = '{DAY}' AND status = 'PROCESSED'",
                 26: f"SELECT count(*) AS n FROM transactions WHERE dt = '{LAST_DAY}' AND status = 'PENDING'",
                 27: f"SELECT count(*) AS n FROM transactions WHERE dt = '{DAY}' AND amount_paise > 1000000",
-                39: f"SELECT count(*) AS n FROM users WHERE dt = '{DAY}'",
-                40: f"SELECT count(*) AS n FROM users WHERE kyc_status = 'FULL_KYC' AND {_IN}",
+                39: f"SELECT count(*) AS n FROM users WHERE dt = '{SIGNUP_DAY}'",
+                40: f"SELECT count(*) AS n FROM users WHERE kyc_status = 'FULL_KYC' AND {_SIGNED_UP}",
             }
         )
     ),
