@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import small_frame
 
-MAX_QUERY_VALUES = 4_000_000  # 32 MB of doubles: the query vectors one task may hold
+# The task functions below travel with their code, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+MAX_QUERIES = 4096  # with embeddings of 1,000 numbers, 32 MB of query vectors per task
 _BLOCK_DOCS = 50_000  # documents per block on the path for many queries
 _SCORE_DIGITS = 9  # ranks compare scores at this precision, so equal vectors tie exactly
 
@@ -124,7 +129,7 @@ def _score_blocks(n: int):
 
 
 def vector_topk_docs(
-    queries: DataFrame, docs: DataFrame, n_docs: int, max_query_values: int = MAX_QUERY_VALUES
+    queries: DataFrame, docs: DataFrame, n_docs: int, max_queries: int = MAX_QUERIES
 ) -> DataFrame:
     """The ``n_docs`` nearest documents of each query by cosine, exact, ties by document id.
 
@@ -136,19 +141,18 @@ def vector_topk_docs(
     task's matrix product, so any number of queries works and no task holds more than two blocks.
     """
     docs = docs.select("doc_id", F.col("doc_group").cast("string").alias("doc_group"), "embedding")
-    queries = queries.select("query_id", "embedding")
-    first = queries.limit(1).collect()
-    if not first:
+    docs = docs.filter(F.col("embedding").isNotNull())
+    queries = queries.select("query_id", "embedding").filter(F.col("embedding").isNotNull())
+    probe = queries.limit(max_queries + 1).collect()
+    if not probe:
         return small_frame(docs.sparkSession, [], _RESULT + ", rank int")
-    limit = max(1, max_query_values // len(first[0]["embedding"]))
-    probe = queries.limit(limit + 1).collect()
-    if len(probe) <= limit:
+    if len(probe) <= max_queries:
         ids = np.array([r["query_id"] for r in probe], dtype=np.int64)
         matrix = _unit_rows([r["embedding"] for r in probe])
         partial = docs.mapInPandas(_score_against(ids, matrix, n_docs), _RESULT)
     else:
         doc_blocks = max(1, -(-docs.count() // _BLOCK_DOCS))
-        query_blocks = -(-queries.count() // limit)
+        query_blocks = -(-queries.count() // max_queries)
 
         def block(key: str, blocks: int):
             return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")

@@ -118,6 +118,11 @@ def _fixture(app: str, spark: SparkSession, sf_dir: str, text: str) -> DataFrame
 
 def payments(spark: SparkSession, sf_dir: str) -> Frames:
     """The four source tables from orders, lineitem, customer, supplier and nation."""
+    return _payments(spark.sparkContext.applicationId, spark, sf_dir)
+
+
+@lru_cache(maxsize=None)
+def _payments(app: str, spark: SparkSession, sf_dir: str) -> Frames:
     frames = {
         name: catalog.conform(fixture(spark, sf_dir, text), name) for name, text in ORDERS_AS_PAYMENTS.items()
     }
@@ -142,6 +147,11 @@ def _event_lake(app: str, spark: SparkSession, sf_dir: str) -> tuple[str, DataFr
 
 def event_frames(spark: SparkSession, sf_dir: str) -> Frames:
     """The stored event transactions next to users, merchants and refunds from the other tables."""
+    return _event_frames(spark.sparkContext.applicationId, spark, sf_dir)
+
+
+@lru_cache(maxsize=None)
+def _event_frames(app: str, spark: SparkSession, sf_dir: str) -> Frames:
     base = payments(spark, sf_dir)
     _, tx = event_lake(spark, sf_dir)
     return Frames(base.users, base.merchants, tx, base.refunds)
