@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import week_start
-from tidemark.sources.lake import write_partition_overwrite
+from tidemark.sources import catalog
+from tidemark.sources.lake import read_partitioned, write_partition_overwrite
 
 LOOKBACK_DAYS = 7  # fixed value: late updates arrive within it
 
@@ -115,12 +117,18 @@ def transform_range(
     end: date,
     start: date | None = None,
 ) -> int:
-    """Rebuild the metric partitions of the range in place; return the rows written.
+    """Rebuild the metric partitions of the range in place; return the rows the range holds afterwards.
 
-    Rows are counted while they are written, not by running the plan a second time.
+    They are counted from the footers of the written files, not by running the plan a second time.
     """
     first, last = transform_window(end, start)
     metrics = daily_merchant_metrics(transactions, refunds, merchants, first, last)
-    written = Observation()
-    write_partition_overwrite(metrics.observe(written, F.count(F.lit(1)).alias("rows")), path, "dt", ["merchant_id"])
-    return written.get["rows"]
+    write_partition_overwrite(metrics, path, "dt", ["merchant_id"])
+    schema = catalog.struct_type("daily_merchant_metrics")
+    spark = transactions.sparkSession
+    try:
+        return in_range(read_partitioned(spark, path, schema), first, last).count()
+    except AnalysisException as error:  # nothing was ever written there
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        return 0

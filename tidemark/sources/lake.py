@@ -60,11 +60,13 @@ def compact_partitions(
     return read_partitioned(spark, target, schema)
 
 
-def split_partitions(df: DataFrame, path: str, files: int, key: str, partition: str = "dt") -> None:
-    """The reverse of compaction: ``files`` files per partition, the layout that compaction repairs."""
-    slot = F.pmod(F.xxhash64(key), F.lit(files)).cast("int")
+def split_partitions(df: DataFrame, path: str, files: int, slot: Column, partition: str = "dt") -> None:
+    """The reverse of compaction: up to ``files`` files per partition, the layout that compaction repairs.
+
+    ``slot`` is an integer expression from 0 to ``files - 1``: the file of a row within its partition.
+    """
     (
-        df.repartitionById(files, slot)
+        df.repartitionById(files, slot.cast("int"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "snappy")

@@ -122,7 +122,7 @@ def compact_partitions(spark, sf_dir):
     """Files per day before and after compaction of a copy cut into small files."""
     tx = event_transactions(spark, sf_dir)
     small, compacted = scratch_path(spark, "small-files"), scratch_path(spark, "compacted")
-    lake.split_partitions(tx, small, SMALL_FILES, "txn_id")
+    lake.split_partitions(tx, small, SMALL_FILES, F.pmod("txn_id", F.lit(SMALL_FILES)))
     after = lake.file_stats(lake.compact_partitions(spark, small, compacted, TX))
     before = lake.file_stats(lake.read_partitioned(spark, small, TX))
     return before.select("dt", F.col("files").alias("files_before")).join(
@@ -220,7 +220,7 @@ ORACLES = {
            WHERE dt IN (SELECT dt FROM transactions WHERE updated_at < TIMESTAMP '2024-01-12 00:00:00') GROUP BY dt"""
     ),
     "compact_partitions": on_events(
-        f"""SELECT dt, CAST({SMALL_FILES} AS BIGINT) AS files_before, CAST(1 AS BIGINT) AS files_after,
+        f"""SELECT dt, count(DISTINCT txn_id % {SMALL_FILES}) AS files_before, CAST(1 AS BIGINT) AS files_after,
                    count(*) AS rows FROM transactions GROUP BY dt"""
     ),
     "register_external_table": on_events(

@@ -11,7 +11,7 @@ from workload.fixtures import duck, event_lake, event_transactions, fixture, on_
 from workload.fixtures import payments
 
 E_DAY, E_FIRST, E_LAST = "2024-01-15", "2024-01-09", "2024-01-15"
-SCAN_LIMIT = 2500
+SCAN_LIMIT = 1000
 
 # One evaluation record per order: outcomes of every bucket, spread by key and status.
 EVAL_RECORDS = """
@@ -104,12 +104,23 @@ def storage_growth(spark, sf_dir):
 
 
 def scan_estimate(spark, sf_dir):
-    """One request per day of events and later table, from that day on and for one day only."""
-    manifest = _event_manifest(spark, sf_dir)
+    """Every event type as a table; per day of each a request for the day, from it on, and before all data.
 
-    def request(suffix: str, first, last):
+    Requests for one further table per type have no statistics.
+    """
+    manifest = fixture(
+        spark,
+        sf_dir,
+        """SELECT event_type AS table_name, CAST(CAST(ts AS DATE) AS VARCHAR(10)) AS dt, count(*) AS rows
+           FROM $events GROUP BY 1, 2""",
+    )
+
+    def request(suffix: str, first, last, table=F.col):
         return F.struct(
-            F.concat("dt", F.lit(suffix)).alias("request_id"), first.alias("dt_from"), last.alias("dt_to")
+            F.concat("table_name", F.lit(" "), "dt", F.lit(suffix)).alias("request_id"),
+            table("table_name").alias("table_name"),
+            first.alias("dt_from"),
+            last.alias("dt_to"),
         )
 
     day = F.col("dt")
@@ -117,11 +128,10 @@ def scan_estimate(spark, sf_dir):
         request(" on", day, day),
         request(" from", day, F.lit(None).cast("string")),
         request(" before", F.lit("2023-12-01"), F.lit("2023-12-31")),
+        request(" unknown", day, day, lambda name: F.concat(name, F.lit("_archive"))),
     )
     requests = manifest.select(F.explode(asked).alias("r")).select("r.*")
-    known = requests.withColumn("table_name", F.lit("transactions"))
-    unknown = requests.filter(F.col("request_id").endswith("on")).withColumn("table_name", F.lit("refunds"))
-    return cost.scan_estimate(manifest, known.unionByName(unknown), SCAN_LIMIT)
+    return cost.scan_estimate(manifest, requests, SCAN_LIMIT)
 
 
 def guarded_read(spark, sf_dir):
@@ -229,23 +239,22 @@ ORACLES = {
                CAST((200 * bytes + rows) // (2 * rows) AS DOUBLE) / CAST(100 AS DOUBLE) AS bytes_per_row
         FROM (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, count(*) AS rows,
                      CAST(sum(length(props) + 40) AS BIGINT) AS bytes FROM events GROUP BY 1)""",
-    "scan_estimate": on_events(
-        f"""SELECT request_id, table_name, coalesce(CAST(sum(rows) FILTER (WHERE inside) AS BIGINT), 0) AS estimated_rows,
-                   count(*) FILTER (WHERE inside) AS partitions,
-                   CASE WHEN table_name = 'refunds' THEN 'unknown_statistics'
-                        WHEN coalesce(sum(rows) FILTER (WHERE inside), 0) > {SCAN_LIMIT} THEN 'over_limit'
-                        ELSE 'ok' END AS verdict
-            FROM (SELECT r.request_id, r.table_name, m.rows,
-                         m.table_name = r.table_name AND m.dt >= r.lo AND m.dt <= coalesce(r.hi, '9999-12-31') AS inside
-                  FROM requests r CROSS JOIN manifest m)
-            GROUP BY request_id, table_name""",
-        """manifest AS (SELECT 'transactions' AS table_name, dt, count(*) AS rows FROM transactions GROUP BY dt),
-           requests AS (
-             SELECT dt || ' on' AS request_id, 'transactions' AS table_name, dt AS lo, dt AS hi FROM manifest
-             UNION ALL SELECT dt || ' from', 'transactions', dt, NULL FROM manifest
-             UNION ALL SELECT dt || ' before', 'transactions', '2023-12-01', '2023-12-31' FROM manifest
-             UNION ALL SELECT dt || ' on', 'refunds', dt, dt FROM manifest)""",
-    ),
+    "scan_estimate": f"""
+        WITH manifest AS (
+          SELECT event_type AS table_name, CAST(CAST(ts AS DATE) AS VARCHAR) AS dt, count(*) AS rows
+          FROM events GROUP BY 1, 2),
+        requests AS (
+          SELECT table_name || ' ' || dt || ' on' AS request_id, table_name, dt AS lo, dt AS hi FROM manifest
+          UNION ALL SELECT table_name || ' ' || dt || ' from', table_name, dt, '9999-12-31' FROM manifest
+          UNION ALL SELECT table_name || ' ' || dt || ' before', table_name, '2023-12-01', '2023-12-31' FROM manifest
+          UNION ALL SELECT table_name || ' ' || dt || ' unknown', table_name || '_archive', dt, dt FROM manifest)
+        SELECT r.request_id, r.table_name, coalesce(CAST(sum(m.rows) AS BIGINT), 0) AS estimated_rows,
+               count(m.dt) AS partitions,
+               CASE WHEN r.table_name LIKE '%_archive' THEN 'unknown_statistics'
+                    WHEN coalesce(sum(m.rows), 0) > {SCAN_LIMIT} THEN 'over_limit' ELSE 'ok' END AS verdict
+        FROM requests r
+        LEFT JOIN manifest m ON m.table_name = r.table_name AND m.dt >= r.lo AND m.dt <= r.hi
+        GROUP BY r.request_id, r.table_name""",
     "guarded_read": on_events(
         f"""SELECT txn_id, merchant_id, amount_paise, dt FROM transactions
             WHERE dt BETWEEN '{E_FIRST}' AND '{E_LAST}' AND status = 'FAILED'
