@@ -7,6 +7,8 @@ expressions that locate hits are evaluated only for rows in which a kind occurs
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,19 +45,29 @@ def kind_pattern(kind: str) -> str:
     return _FLAGS + _ANCHORS.get(kind, "") + PATTERNS[kind]
 
 
+_NEED_AT_SIGN = ("EMAIL", "VPA")
+
+
+def _worth_searching(text: Column, kind: str) -> Column:
+    """Mail and payment addresses need an ``@``, the other kinds four digits in a row. Both are far
+    cheaper to look for than the kinds themselves."""
+    return F.contains(text, F.lit("@")) if kind in _NEED_AT_SIGN else text.rlike(r"(?U)\d{4}")
+
+
 def has_kind(text: Column, kind: str) -> Column:
-    """Whether a kind occurs. Mail and payment addresses need an ``@``, the others four digits in a row,
-    and both are far cheaper to look for."""
-    cheap = F.contains(text, F.lit("@")) if kind in ("EMAIL", "VPA") else text.rlike(r"(?U)\d{4}")
-    return cheap & text.rlike(kind_pattern(kind))
+    return _worth_searching(text, kind) & text.rlike(kind_pattern(kind))
 
 
 def contains_pii(text: Column) -> Column:
-    """True when redaction would change the text."""
-    any_kind = F.lit(False)
-    for kind in PATTERNS:
-        any_kind = any_kind | has_kind(text, kind)
-    return F.coalesce(any_kind, F.lit(False))
+    """True when redaction would change the text. Each cheap test runs once for all kinds that need it."""
+
+    def any_of(kinds: list[str]) -> Column:
+        found = reduce(lambda a, b: a | b, [text.rlike(kind_pattern(k)) for k in kinds])
+        return _worth_searching(text, kinds[0]) & found
+
+    addresses = [k for k in PATTERNS if k in _NEED_AT_SIGN]
+    numbers = [k for k in PATTERNS if k not in _NEED_AT_SIGN]
+    return F.coalesce(any_of(addresses) | any_of(numbers), F.lit(False))
 
 
 _SPANS = "array<struct<start:int,neg_stop:int,rank:int>>"

@@ -117,16 +117,24 @@ def _fixture(app: str, spark: SparkSession, sf_dir: str, text: str) -> DataFrame
 
 
 def payments(spark: SparkSession, sf_dir: str) -> Frames:
-    """The four source tables from orders, lineitem, customer, supplier and nation."""
-    return _payments(spark.sparkContext.applicationId, spark, sf_dir)
+    """The four source tables from orders, lineitem, customer, supplier and nation.
+
+    Only their definitions are kept between calls. What derives from them is planned anew for each
+    query, so that no query is answered from the shuffle files of an earlier one.
+    """
+    return Frames(**_payments(spark.sparkContext.applicationId, spark, sf_dir))
 
 
 @lru_cache(maxsize=None)
-def _payments(app: str, spark: SparkSession, sf_dir: str) -> Frames:
+def _payments(app: str, spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     frames = {
         name: catalog.conform(fixture(spark, sf_dir, text), name) for name, text in ORDERS_AS_PAYMENTS.items()
     }
-    return Frames(**frames)
+    # The dimension is a stored table, as in the lake, so that the planner knows its size.
+    path = scratch_path(spark, "merchants")
+    write_partition_overwrite(frames["merchants"], path, "dt", ["merchant_id"])
+    frames["merchants"] = read_partitioned(spark, path, catalog.struct_type("merchants"))
+    return frames
 
 
 def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,14 +155,8 @@ def _event_lake(app: str, spark: SparkSession, sf_dir: str) -> tuple[str, DataFr
 
 def event_frames(spark: SparkSession, sf_dir: str) -> Frames:
     """The stored event transactions next to users, merchants and refunds from the other tables."""
-    return _event_frames(spark.sparkContext.applicationId, spark, sf_dir)
-
-
-@lru_cache(maxsize=None)
-def _event_frames(app: str, spark: SparkSession, sf_dir: str) -> Frames:
     base = payments(spark, sf_dir)
-    _, tx = event_lake(spark, sf_dir)
-    return Frames(base.users, base.merchants, tx, base.refunds)
+    return Frames(base.users, base.merchants, event_lake(spark, sf_dir)[1], base.refunds)
 
 
 def contact_text(spark: SparkSession, sf_dir: str) -> DataFrame:
