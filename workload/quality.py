@@ -287,13 +287,10 @@ ORACLES = {
         f"{_LAKE}, {_GATE}",
     ),
     "curated_vs_source": on_payments(
-        "SELECT 'only_in_source' AS finding, count(*) AS row_count FROM joined WHERE a_dt IS NULL\n"
-        "UNION ALL SELECT 'only_in_lake', count(*) FROM joined WHERE e_dt IS NULL\n"
-        "UNION ALL SELECT 'matched', count(*) FROM joined WHERE e_dt IS NOT NULL AND a_dt IS NOT NULL\n"
-        + "\n".join(
-            f"UNION ALL SELECT 'differs:{c}', count(*) FROM joined WHERE e_dt IS NOT NULL AND a_dt IS NOT NULL "
-            f"AND e_{c} IS DISTINCT FROM a_{c}"
-            for c in _MEASURES
+        "\nUNION ALL\n".join(
+            f"SELECT '{finding}' AS finding, {column} AS row_count FROM totals"
+            for finding, column in [(c, c) for c in ("only_in_source", "only_in_lake", "matched")]
+            + [(f"differs:{c}", f"d_{c}") for c in _MEASURES]
         ),
         f"""actual AS (
               SELECT * REPLACE (CASE WHEN merchant_id = 5 THEN txn_count + 1 ELSE txn_count END AS txn_count)
@@ -301,9 +298,15 @@ ORACLES = {
               UNION ALL
               SELECT * REPLACE ('2030-01-01' AS dt) FROM (SELECT * FROM daily_merchant_metrics
                 WHERE merchant_id = 7 AND dt < '1996-01-01' LIMIT 1)),
-            joined AS (
+            joined AS MATERIALIZED (
               SELECT e.dt AS e_dt, a.dt AS a_dt, {", ".join(f"e.{c} AS e_{c}, a.{c} AS a_{c}" for c in _MEASURES)}
-              FROM daily_merchant_metrics e FULL JOIN actual a ON a.dt = e.dt AND a.merchant_id = e.merchant_id)""",
+              FROM daily_merchant_metrics e FULL JOIN actual a ON a.dt = e.dt AND a.merchant_id = e.merchant_id),
+            totals AS MATERIALIZED (
+              SELECT count(*) FILTER (WHERE a_dt IS NULL) AS only_in_source,
+                     count(*) FILTER (WHERE e_dt IS NULL) AS only_in_lake,
+                     count(*) FILTER (WHERE e_dt IS NOT NULL AND a_dt IS NOT NULL) AS matched,
+                     {", ".join(f"count(*) FILTER (WHERE e_dt IS NOT NULL AND a_dt IS NOT NULL AND e_{c} IS DISTINCT FROM a_{c}) AS d_{c}" for c in _MEASURES)}
+              FROM joined)""",
     ),
     "dq_report": on_events(
         f"""SELECT t.table_name, c.check_name,
