@@ -132,6 +132,8 @@ def fit_field(rows: list[np.ndarray], toxic: list[bool], rounds: int = 150, deca
             first[name] = 0.9 * first[name] + 0.1 * slope
             second[name] = 0.99 * second[name] + 0.01 * slope**2
             value += 0.1 * (first[name] / (1 - 0.9**k)) / (np.sqrt(second[name] / (1 - 0.99**k)) + 1e-9)
+    # A level weighs no less than those below it, seen or not.
+    field.level = np.maximum.accumulate(field.level)
     return field
 
 
@@ -139,7 +141,7 @@ def fit_field(rows: list[np.ndarray], toxic: list[bool], rounds: int = 150, deca
 class Model:
     signs: dict[bytes, int]
     field: Field
-    # Score: logistic of these weights over (1, log(1 + sum of marginals), largest marginal).
+    # Score: logistic of these weights over the summaries of the marginals.
     weights: np.ndarray
 
     def tag(self, texts: list[bytes], levels: Levels) -> list[tuple[list[tuple[int, int]], np.ndarray]]:
@@ -167,7 +169,9 @@ class Model:
 
 
 def summaries(marginals: list[np.ndarray]) -> np.ndarray:
-    return np.array([[1.0, np.log1p(p.sum()), p.max() if len(p) else 0.0] for p in marginals]).reshape(-1, 3)
+    """1, the surprise if no token were toxic (at most 10), the largest marginal."""
+    rows = [[1.0, min(10.0, -np.log1p(-np.minimum(p, 0.9999)).sum()), p.max(initial=0.0)] for p in marginals]
+    return np.array(rows).reshape(-1, 3)
 
 
 def fit_scores(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> np.ndarray:
@@ -182,55 +186,69 @@ def fit_scores(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> np.ndarray:
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """``text, toxic`` of about ``LABELLED`` labelled documents. The labels travel to the texts, not the texts."""
+    """``text, toxic, fold`` of about ``LABELLED`` labelled documents. The labels travel to the texts, not the texts."""
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("toxic"))
     share = min(1.0, LABELLED / max(1, known.count()))
     some = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     # About LABELLED rows of two numbers: below a megabyte whatever the input.
     return docs.join(F.broadcast(some), F.col(id_col) == F.col("_id")).select(
-        F.coalesce(text_col, F.lit("")).alias("text"), "toxic"
+        F.coalesce(text_col, F.lit("")).alias("text"), "toxic", F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(2)).alias("fold")
     )
 
 
-def learn_signs(known: DataFrame) -> dict[bytes, int]:
-    """The strongest signs and their levels, from the number of toxic and clean documents that hold a feature."""
+def learn_signs(known: DataFrame) -> tuple[dict[bytes, int], dict[bytes, int]]:
+    """The strongest signs and their levels: of all documents, and of fold 0 alone.
+
+    What counts is the number of toxic and of clean documents that hold a feature.
+    """
+    names = ("clean0", "toxic0", "clean", "toxic")
 
     def count(batch) -> dict:
-        seen: dict[int, Counter] = {0: Counter(), 1: Counter()}
-        docs = Counter()
-        for t, y in zip(texts_of(batch), batch.column("toxic").to_pylist()):
-            found = {f for w in set(tokens_of(t)) if len(w) < 64 for f in features_of(w)}
-            seen[int(y > 0)].update(found)
-            docs[int(y > 0)] += 1
-        names = list(seen[0].keys() | seen[1].keys()) + [b""]
-        seen[0][b""], seen[1][b""] = docs[0], docs[1]
-        return {"feature": names, "clean": [seen[0][k] for k in names], "toxic": [seen[1][k] for k in names]}
-
-    counted = each_batch(known, count, "feature binary, clean bigint, toxic bigint")
-    counted = counted.groupBy("feature").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+        seen = {n: Counter() for n in names}
+        folds = batch.column("fold").to_pylist()
+        for t, y, fold in zip(texts_of(batch), batch.column("toxic").to_pylist(), folds):
+            # The empty feature counts the documents.
+            found = {f for w in set(tokens_of(t)) if len(w) < 64 for f in features_of(w)} | {b""}
+            label = "toxic" if y > 0 else "clean"
+            seen[label].update(found)
+            if fold == 0:
+                seen[label + "0"].update(found)
+        features = list(seen["clean"].keys() | seen["toxic"].keys())
+        return {"feature": features} | {n: [seen[n][f] for f in features] for n in names}
+
+    counted = each_batch(known, count, "feature binary, clean0 bigint, toxic0 bigint, clean bigint, toxic bigint")
+    counted = counted.groupBy("feature").agg(*(F.sum(n).alias(n) for n in names))
     counted = checkpointed(counted.filter((F.col("toxic") >= LEAST_DOCS) | (F.length("feature") == 0)))
     row = counted.filter(F.length("feature") == 0).first()
-    if row is None or not row["toxic"]:
+    return _strongest(counted, row, "toxic", "clean"), _strongest(counted, row, "toxic0", "clean0")
+
+
+def _strongest(counted: DataFrame, docs, toxic: str, clean: str) -> dict[bytes, int]:
+    if docs is None or not docs[toxic]:
         return {}
-    odds = F.log((F.col("toxic") + 0.5) / (row["toxic"] + 1)) - F.log((F.col("clean") + 0.5) / (row["clean"] + 1))
-    error = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
+    odds = F.log((F.col(toxic) + 0.5) / (docs[toxic] + 1)) - F.log((F.col(clean) + 0.5) / (docs[clean] + 1))
+    error = F.sqrt(1 / (F.col(toxic) + 0.5) + 1 / (F.col(clean) + 0.5))
     top = (
-        counted.filter(F.length("feature") > 0)
-        .select("feature", odds.alias("odds"), (odds / error).alias("z"))
-        .filter((F.col("odds") >= 2) & (F.col("z") >= LEAST_Z))
+        counted.filter((F.length("feature") > 0) & (F.col(toxic) >= LEAST_DOCS))
+        .select("feature", (odds - 2 / F.sqrt(toxic)).alias("least"), (odds / error).alias("z"))
+        .filter((F.col("least") >= 1) & (F.col("z") >= LEAST_Z))
         .orderBy(F.desc("z"), "feature")
         .limit(SIGNS)
         .collect()
     )
-    return {bytes(r["feature"]): min(LEVELS, int(r["odds"])) for r in top}
+    return {bytes(r["feature"]): min(LEVELS, int(r["least"])) for r in top}
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> Model:
-    """Signs from Spark, then the field and the score weights from a bounded number of stretches and summaries."""
+    """Signs from Spark, then the field and the score weights from a bounded number of stretches and summaries.
+
+    The field and the weights are fitted on fold 1 with the signs of fold 0, so that a word that happens to stand in a few
+    toxic documents is met as it will be in texts never seen. The model then takes the signs of both folds.
+    """
     known = labelled_texts(docs, labels, id_col, text_col, label_col)
-    signs = learn_signs(known)
-    shared = known.sparkSession.sparkContext.broadcast(signs)
+    signs, half = learn_signs(known)
+    shared = known.sparkSession.sparkContext.broadcast(half)
     worker: list[Levels] = []
 
     def levels(batch) -> dict:
@@ -240,7 +258,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
         parts = [[x[a : z + 1] for a, z in stretches(x)] for x in found]
         return {"toxic": [int(y > 0) for y in batch.column("toxic").to_pylist()], "parts": parts}
 
-    tagged = checkpointed(each_batch(known, levels, "toxic int, parts array<array<int>>"))
+    tagged = checkpointed(each_batch(known.filter("fold = 1"), levels, "toxic int, parts array<array<int>>"))
     signed = tagged.filter(F.size("parts") > 0)
     n = max(1, signed.count())
     # At most some TRAIN_STRETCHES documents' stretches come to the driver, a few kilobytes each at the very most.
