@@ -9,6 +9,7 @@ from tidemark.llm import (
     hosts,
     language,
     mixing,
+    passages,
     quality,
     simhash,
     substrings,
@@ -61,6 +62,20 @@ def op3_token_counts(spark, sf_dir):
     return tokens.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(), TOKEN_LIMIT)
 
 
+def op4_near_passages(spark, sf_dir):
+    out = passages.near_passages(table(spark, sf_dir, "documents"))
+    inside = F.size(F.array_distinct(F.flatten(F.transform("passages", lambda p: F.sequence(p["start"], p["end"] - 1)))))
+    return out.select(
+        "doc_id",
+        "n_words",
+        F.size("passages").cast("bigint").alias("n_passages"),
+        inside.cast("bigint").alias("n_shared_words"),
+        F.array_sort(F.array_distinct("passages.other")).alias("linked"),
+        "class_id",
+        "n_links",
+    )
+
+
 def op5_decontamination(spark, sf_dir):
     out = decontamination.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select(
@@ -107,6 +122,7 @@ QUERIES = {
     "op1_host_rules": op1_host_rules,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_token_counts": op3_token_counts,
+    "op4_near_passages": op4_near_passages,
     "op5_decontamination": op5_decontamination,
     "op6_simhash": op6_simhash,
     "op7_toxicity": op7_toxicity,
