@@ -15,6 +15,7 @@ smallest token for most hash functions.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -246,27 +247,57 @@ def dense(match: np.ndarray, similarity: float) -> list[tuple[int, int]]:
     return [(d[0], d[1]) for d in done]
 
 
+def _jaccard(a: np.ndarray, b: np.ndarray) -> float:
+    mine, other = set(a.tolist()), set(b.tolist())
+    both = len(mine & other)
+    return both / max(1, len(mine) + len(other) - both)
+
+
 def common_passages(
     a: np.ndarray, b: np.ndarray, least: int, similarity: float
 ) -> list[tuple[int, int, int, int, float]]:
-    """Passages (a first, a last, b first, b last, Jaccard) of at least ``least`` shingles that are similar enough."""
-    out = []
-    places: dict[int, list[int]] = {}
+    """Passages (a first, a last, b first, b last, Jaccard) of at least ``least`` shingles that are similar enough.
+
+    Shingles that both hold tell diagonals (place in b minus place in a). Along each, and ``SHINGLE`` places to its sides for
+    inserted and left-out words, dense stretches are compared as sets; where one is not similar enough as a whole, its
+    stretches without any difference stand for themselves.
+    """
+    first_at, last_at = {}, {}
     for i, x in enumerate(b.tolist()):
-        places.setdefault(x, []).append(i)
-    for lo, hi in dense(np.isin(a, b), similarity):
-        if hi - lo + 1 < least:
-            continue
-        own = a[lo : hi + 1].tolist()
-        at = [places[x][0] - i for i, x in enumerate(own) if x in places]
-        # Most matches lie on one diagonal; b's passage is as long, from there.
-        shift = int(np.median(at))
-        first, last = max(0, shift), min(len(b), shift + len(own))
-        mine, other = set(own), set(b[first:last].tolist())
-        both = len(mine & other)
-        jaccard = both / max(1, len(mine) + len(other) - both)
-        if jaccard >= similarity:
-            out.append((lo, hi, first, last - 1, jaccard))
+        first_at.setdefault(x, i)
+        last_at[x] = i
+    shifts = Counter()
+    for i, x in enumerate(a.tolist()):
+        if x in last_at:
+            shifts.update({first_at[x] - i, last_at[x] - i})
+    # As many equal shingles as a similar passage has to have at the least, if two passages are of one length.
+    density = 2 * similarity / (1 + similarity)
+    out = []
+    while shifts:
+        shift, _ = shifts.most_common(1)[0]
+        near = range(shift - SHINGLE, shift + SHINGLE + 1)
+        if sum(shifts[k] for k in near) < least * density / (2 * SHINGLE):
+            break
+        match, exact = np.zeros(len(a), dtype=bool), np.zeros(len(a), dtype=bool)
+        for k in near:
+            lo, hi = max(0, -k), min(len(a), len(b) - k)
+            if lo < hi:
+                same = a[lo:hi] == b[lo + k : hi + k]
+                match[lo:hi] |= same
+                if k == shift:
+                    exact[lo:hi] = same
+        for lo, hi in dense(match, density):
+            if hi - lo + 1 >= least:
+                first, last = max(0, lo + shift), min(len(b), hi + shift + 1)
+                found = _jaccard(a[lo : hi + 1], b[first:last])
+                if found >= similarity:
+                    out.append((lo, hi, first, last - 1, found))
+        turn = np.flatnonzero(np.diff(np.concatenate(([0], exact.astype(np.int8), [0]))))
+        for lo, end in zip(turn[::2].tolist(), turn[1::2].tolist()):
+            if end - lo >= least and not any(x[0] <= lo and end - 1 <= x[1] for x in out):
+                out.append((lo, end - 1, lo + shift, end - 1 + shift, 1.0))
+        for k in near:
+            shifts.pop(k, None)
     return out
 
 
