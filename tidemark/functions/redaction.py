@@ -7,10 +7,12 @@ expressions that locate hits are evaluated only for rows in which a kind occurs
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The kinds and their patterns, in order of precedence for equal spans.
 PATTERNS = {
@@ -54,10 +56,6 @@ def _worth_searching(text: Column, kind: str) -> Column:
     return F.contains(text, F.lit("@")) if kind in _NEED_AT_SIGN else text.rlike(r"(?U)\d{4}")
 
 
-def has_kind(text: Column, kind: str) -> Column:
-    return _worth_searching(text, kind) & text.rlike(kind_pattern(kind))
-
-
 def contains_pii(text: Column) -> Column:
     """True when redaction would change the text. Each cheap test runs once for all kinds that need it."""
 
@@ -73,26 +71,66 @@ def contains_pii(text: Column) -> Column:
 _SPANS = "array<struct<start:int,neg_stop:int,rank:int>>"
 
 
-def _spans(text: Column, kind: str, rank: int) -> Column:
-    """Spans of one kind as (start, -stop, rank); sorting these orders by start, longest, precedence.
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
 
-    Splitting gives the gaps, extraction the hits; start positions are running sums of their lengths.
-    There is one gap more than there are hits.
+
+def _chunks(items: Column) -> Column:
+    """Stretches of about the square root of the array's size.
+
+    Folding a stretch at a time keeps every array that grows step by step as short as a stretch, so the work for a text
+    with many hits stays nearly proportional to their number.
     """
-    hits = F.regexp_extract_all(text, F.lit(kind_pattern(kind)), F.lit(0))
-    gaps = F.split(text, kind_pattern(kind), -1)
+    n = F.size(items)
+    width = F.greatest(F.lit(64), F.ceil(F.sqrt(n)).cast("int"))
+    last = F.call_function("div", n - 1, width).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda c: F.slice(items, c * width + 1, width))
+    return F.when(n > 0, cut)
+
 
-    def step(acc, piece):
-        start = acc["pos"] + F.length(piece["gap"])
-        stop = start + F.length(piece["hit"])
+def _fold(items: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """Spans from a fold over ``items`` whose state is a position in the text, ``pos``, and the spans so far, ``out``."""
+
+    def chunk(acc: Column, part: Column) -> Column:
+        own = F.aggregate(part, F.struct(acc["pos"].alias("pos"), _no_spans().alias("out")), step)
+        return let(own, lambda r: F.struct(r["pos"].alias("pos"), F.concat(acc["out"], F.array(r["out"])).alias("out")))
+
+    start = F.struct(F.lit(0).alias("pos"), F.array().cast(f"array<{_SPANS}>").alias("out"))
+    found = F.aggregate(_chunks(items), start, chunk, lambda acc: F.flatten(acc["out"]))
+    return F.coalesce(found, _no_spans())
+
+
+def offsets(gaps: Column, hits: Column, rank: int) -> Column:
+    """Spans as (start, -stop, rank); sorting these orders by start, longest, precedence.
+
+    ``gaps`` are what a split leaves between the hits, one more than there are hits.
+    """
+
+    def step(acc: Column, piece: Column) -> Column:
+        start = acc["pos"] + piece["gap"]
+        stop = start + piece["hit"]
         span = F.struct(start.alias("start"), (-stop).alias("neg_stop"), F.lit(rank).alias("rank"))
-        grown = F.struct(stop.alias("pos"), F.concat(acc["spans"], F.array(span)).alias("spans"))
-        return F.when(piece["hit"].isNotNull(), grown).otherwise(acc)
+        return F.struct(stop.alias("pos"), F.concat(acc["out"], F.array(span)).alias("out"))
+
+    before = F.slice(gaps, F.lit(1), F.size(hits))
+    lengths = F.zip_with(
+        before, hits, lambda g, h: F.struct(F.length(g).alias("gap"), F.length(h).alias("hit"))
+    )
+    return let(lengths, lambda x: _fold(x, step))
+
 
-    pieces = F.zip_with(gaps, hits, lambda g, h: F.struct(g.alias("gap"), h.alias("hit")))
-    start = F.struct(F.lit(0).alias("pos"), _no_spans().alias("spans"))
-    found = F.aggregate(pieces, start, step, lambda acc: acc["spans"])
-    return F.when(has_kind(text, kind), found).otherwise(_no_spans())
+def _spans(text: Column, kind: str, rank: int) -> Column:
+    """Spans of one kind. The hits are extracted once; only texts that have any are split."""
+    hits = F.when(
+        _worth_searching(text, kind), F.regexp_extract_all(text, F.lit(kind_pattern(kind)), F.lit(0))
+    )
+    return let(
+        hits,
+        lambda found: F.when(
+            F.size(found) > 0, offsets(F.split(text, kind_pattern(kind), -1), found, rank)
+        ).otherwise(_no_spans()),
+    )
 
 
 def _no_spans() -> Column:
@@ -111,18 +149,15 @@ def taken_spans(text: Column, names: Column | None = None) -> Column:
     Select this into a column when both the clean text and the findings are needed.
     """
     found = [_spans(text, kind, i) for i, kind in enumerate(PATTERNS)]
-    hit = contains_pii(text)
     if names is not None:
         found.append(F.coalesce(names, _no_spans()))
-        hit = hit | F.coalesce(F.size(names) > 0, F.lit(False))
 
-    def step(acc, span):
-        grown = F.struct((-span["neg_stop"]).alias("pos"), F.concat(acc["spans"], F.array(span)).alias("spans"))
+    def step(acc: Column, span: Column) -> Column:
+        grown = F.struct((-span["neg_stop"]).alias("pos"), F.concat(acc["out"], F.array(span)).alias("out"))
         return F.when(span["start"] >= acc["pos"], grown).otherwise(acc)
 
-    start = F.struct(F.lit(0).alias("pos"), _no_spans().alias("spans"))
-    taken = F.aggregate(F.array_sort(F.concat(*found)), start, step, lambda acc: acc["spans"])
-    return F.when(hit, taken).otherwise(_no_spans())
+    taken = let(F.array_sort(F.concat(*found)), lambda x: F.when(F.size(x) > 1, _fold(x, step)).otherwise(x))
+    return F.coalesce(taken, _no_spans())
 
 
 def _label(rank: Column) -> Column:
@@ -135,19 +170,32 @@ def findings_of(spans: Column) -> Column:
 
 
 def without(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by ``[KIND]``."""
+    """The text with every span replaced by ``[KIND]``.
+
+    Each stretch of spans is cut out of the text once, and its pieces out of that, so no piece is looked for from
+    the beginning of the text.
+    """
+    stop = lambda s: -s["neg_stop"]
+    before = F.concat(F.array(F.lit(0)), F.transform(spans, stop))
+    pieces = F.zip_with(
+        spans,
+        F.slice(before, F.lit(1), F.size(spans)),
+        lambda s, b: F.struct(s["start"].alias("start"), s["neg_stop"].alias("neg_stop"), s["rank"].alias("rank"), b.alias("after")),
+    )
 
-    def step(acc, span):
-        gap = F.substring(text, acc["pos"] + 1, span["start"] - acc["pos"])
-        piece = F.concat(gap, F.lit("["), _label(span["rank"]), F.lit("]"))
-        return F.struct((-span["neg_stop"]).alias("pos"), F.concat(acc["out"], F.array(piece)).alias("out"))
+    def replaced(chunk: Column) -> Column:
+        base = chunk[0]["after"]
+        local = F.substring(text, base + 1, stop(F.element_at(chunk, -1)) - base)
 
-    def finish(acc):
-        tail = F.substring(text, acc["pos"] + 1, F.length(text))
-        return F.array_join(F.concat(acc["out"], F.array(tail)), "")
+        def piece(own: Column, s: Column) -> Column:
+            gap = F.substring(own, s["after"] - base + 1, s["start"] - s["after"])
+            return F.concat(gap, F.lit("["), _label(s["rank"]), F.lit("]"))
 
-    start = F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
-    return F.aggregate(spans, start, step, finish)
+        return let(local, lambda own: F.array_join(F.transform(chunk, lambda s: piece(own, s)), ""))
+
+    head = let(pieces, lambda p: F.array_join(F.transform(_chunks(p), replaced), ""))
+    tail = F.substring(text, F.element_at(before, -1) + 1, F.length(text))
+    return F.when(F.size(spans) > 0, F.concat(head, tail)).otherwise(text)
 
 
 def findings(text: Column) -> Column:
@@ -155,7 +203,37 @@ def findings(text: Column) -> Column:
 
 
 def redact(text: Column) -> Column:
-    return F.when(contains_pii(text), without(text, taken_spans(text))).otherwise(text)
+    return let(taken_spans(text), lambda spans: without(text, spans))
+
+
+def redact_within(value: Column, kind: T.DataType) -> Column:
+    """``value`` with every text inside it redacted: elements of arrays, values of maps, fields of structs.
+
+    Keys of maps are names of fields and stay.
+    """
+    if isinstance(kind, T.StringType):
+        return redact(value)
+    if not holds_text(kind):
+        return value
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: redact_within(x, kind.elementType))
+    if isinstance(kind, T.MapType):
+        return F.transform_values(value, lambda k, v: redact_within(v, kind.valueType))
+    for field in kind.fields:
+        if holds_text(field.dataType):
+            inner = redact_within(value.getField(field.name), field.dataType)
+            value = value.withField(f"`{field.name}`", inner)
+    return value
+
+
+def holds_text(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return holds_text(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return holds_text(kind.valueType)
+    if isinstance(kind, T.StructType):
+        return any(holds_text(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.StringType)
 
 
 def asks_for_pii(text: Column) -> Column:

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 from datetime import date, timedelta
+from typing import TYPE_CHECKING
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import week_start
+from tidemark.session import small_frame
 from tidemark.sources import catalog
 from tidemark.sources.lake import read_partitioned, write_partition_overwrite
 
+if TYPE_CHECKING:
+    from tidemark.operators.ingest import Lake
+
 LOOKBACK_DAYS = 7  # fixed value: late updates arrive within it
 
 
@@ -42,39 +47,39 @@ def daily_merchant_metrics(
 ) -> DataFrame:
     """Counts, successful amount and refunds per payment day and merchant.
 
-    Refunds count on the day of the payment they belong to. The only wide shuffle is the join on
-    ``txn_id``, which is unique on both sides and therefore even. A merchant that owns a third of the
-    payments is combined on the map side, and its name is joined to the aggregate, not to the facts.
+    Payments are counted straight from their scan and never join anything. Refunds count on the day of the payment they
+    belong to, whatever their own date: only they meet the payments of the range, on ``txn_id``, which is unique there and
+    therefore even. Both sums are then added up per day and merchant, and names are joined to that aggregate. A merchant that
+    owns a third of the payments is combined on the map side.
     """
     tx = in_range(transactions, start, end).select("txn_id", "dt", "merchant_id", "status", "amount_paise")
     ok = F.col("status") == "SUCCESS"
     zero = F.lit(0).cast("bigint")
+    counts = {
+        "txn_count": F.count(F.lit(1)),
+        "success_count": F.count_if(ok),
+        "failed_count": F.count_if(F.col("status") == "FAILED"),
+        "pending_count": F.count_if(F.col("status") == "PENDING"),
+        "success_amount_paise": F.coalesce(F.sum(F.when(ok, F.col("amount_paise"))), zero),
+    }
+    returns = {"refund_count": F.count(F.lit(1)), "refund_amount_paise": F.coalesce(F.sum("refunded"), zero)}
+    paid = tx.groupBy("dt", "merchant_id").agg(*(c.alias(n) for n, c in counts.items()))
+    given_back = refunds.filter(F.col("status") != "REJECTED").select("txn_id", F.col("amount_paise").alias("refunded"))
+    given_back = (
+        tx.select("txn_id", "dt", "merchant_id")
+        .join(given_back, "txn_id")
+        .groupBy("dt", "merchant_id")
+        .agg(*(c.alias(n) for n, c in returns.items()))
+    )
+    measures = [*counts, *returns]
     totals = (
-        tx.join(refunds_per_txn(refunds), "txn_id", "left")
+        paid.unionByName(given_back, allowMissingColumns=True)
         .groupBy("dt", "merchant_id")
-        .agg(
-            F.count(F.lit(1)).alias("txn_count"),
-            F.count_if(ok).alias("success_count"),
-            F.count_if(F.col("status") == "FAILED").alias("failed_count"),
-            F.count_if(F.col("status") == "PENDING").alias("pending_count"),
-            F.coalesce(F.sum(F.when(ok, F.col("amount_paise"))), zero).alias("success_amount_paise"),
-            F.coalesce(F.sum("refund_count"), zero).alias("refund_count"),
-            F.coalesce(F.sum("refund_amount_paise"), zero).alias("refund_amount_paise"),
-        )
+        .agg(*(F.coalesce(F.sum(m), zero).alias(m) for m in measures))
     )
     names = merchants.select("merchant_id", "merchant_name", "category")
     return totals.join(names, "merchant_id", "left").select(
-        "merchant_id",
-        "merchant_name",
-        "category",
-        "txn_count",
-        "success_count",
-        "failed_count",
-        "pending_count",
-        "success_amount_paise",
-        "refund_count",
-        "refund_amount_paise",
-        "dt",
+        "merchant_id", "merchant_name", "category", *measures, "dt"
     )
 
 
@@ -132,3 +137,56 @@ def transform_range(
         if "PATH_NOT_FOUND" not in str(error):
             raise
         return 0
+
+
+def write_cohorts(users: DataFrame, transactions: DataFrame, path: str) -> None:
+    """Rebuild the cohort table in place, one partition per sign-up week."""
+    write_partition_overwrite(user_cohorts(users, transactions), path, "cohort_week", ["weeks_since_signup"])
+
+
+class CuratedError(Exception):
+    """A curated table does not agree with its source."""
+
+
+def transform(
+    users: DataFrame,
+    merchants: DataFrame,
+    transactions: DataFrame,
+    refunds: DataFrame,
+    lake: Lake,
+    end: date,
+    start: date | None = None,
+    register: str | None = None,
+) -> DataFrame:
+    """One run over both curated tables: write, compare with the source, save statistics, register.
+
+    Metrics are rebuilt for the range, cohorts as a whole, since old cohorts gain weeks. Both are then read back and compared
+    with independent formulations; a difference raises :class:`CuratedError` before statistics or catalog say anything
+    about the run. ``register`` names a database to (re-)attach the tables in. Returns the findings.
+    """
+    from tidemark.operators import reconcile
+    from tidemark.operators.ingest import partition_manifest
+    from tidemark.sources.lake import register_external_table
+
+    first, last = transform_window(end, start)
+    transform_range(transactions, refunds, merchants, lake.curated_path("daily_merchant_metrics"), end, start)
+    write_cohorts(users, transactions, lake.curated_path("user_cohorts"))
+    stored = {name: lake.curated(name) for name in ("daily_merchant_metrics", "user_cohorts")}
+    metrics = in_range(stored["daily_merchant_metrics"], first, last)
+    findings = reconcile.curated_vs_source(
+        users, in_range(transactions, first, last), transactions, refunds, metrics, stored["user_cohorts"]
+    )
+    # A dozen rows, one per kind of finding.
+    rows = findings.collect()
+    wrong = {(r["table_name"], r["finding"]): r["row_count"] for r in rows if r["finding"] != "matched" and r["row_count"]}
+    if wrong:
+        raise CuratedError(f"curated tables differ from their source: {wrong}")
+    for name, frame in stored.items():
+        partition = catalog.table(name).partition_column
+        touched = metrics if name == "daily_merchant_metrics" else frame
+        lake.save_manifest(partition_manifest(touched, name, partition=partition))
+        if register:
+            register_external_table(
+                lake.spark, f"{register}.{name}", lake.curated_path(name), catalog.struct_type(name), partition
+            )
+    return small_frame(lake.spark, [tuple(r) for r in rows], "table_name string, finding string, row_count bigint")

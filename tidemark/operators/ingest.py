@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expr import day, row_hash
 from tidemark.operators.quality import gate, partition_gate
-from tidemark.session import small_frame
+from tidemark.session import checkpointed, small_frame
 from tidemark.sources import catalog
 from tidemark.sources.lake import read_partitioned, write_partition_overwrite
 from tidemark.sources.oltp import in_window
@@ -19,6 +19,7 @@ from tidemark.sources.oltp import in_window
 EPOCH = datetime(1970, 1, 1)
 
 WATERMARK_SCHEMA = "table_name string, high_watermark timestamp_ntz, last_run_id string"
+MANIFEST_SCHEMA = "dt string, rows bigint, files bigint, bytes bigint, content_hash string, table_name string"
 MANIFEST_COLUMNS = ["table_name", "dt", "rows", "files", "bytes", "content_hash"]
 
 
@@ -69,15 +70,17 @@ def rebuild_partitions(source: DataFrame, changed: DataFrame, table: str) -> Dat
     return catalog.conform(rows.join(F.broadcast(dates), "dt", "left_semi"), table)
 
 
-def partition_manifest(lake: DataFrame, table: str, hash_columns: list[str] | None = None) -> DataFrame:
+def partition_manifest(
+    lake: DataFrame, table: str, hash_columns: list[str] | None = None, partition: str = "dt"
+) -> DataFrame:
     """Rows, files, bytes and content hash per partition of a file-based frame.
 
     The hash does not depend on row order or file boundaries: an xor of row hashes, which cancels pairs,
     next to a sum, which does not.
     """
-    columns = hash_columns or [c for c in lake.columns if c != "dt"]
+    columns = hash_columns or [c for c in lake.columns if c != partition]
     hashed = lake.select(
-        "dt",
+        F.col(partition).alias("dt"),
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_size").alias("file_size"),
         row_hash(columns).alias("h"),
@@ -183,6 +186,12 @@ class Lake:
     def raw_path(self, table: str) -> str:
         return f"{self.root}/raw/{table}"
 
+    def curated_path(self, table: str) -> str:
+        return f"{self.root}/curated/{table}"
+
+    def curated(self, table: str) -> DataFrame:
+        return read_partitioned(self.spark, self.curated_path(table), catalog.struct_type(table))
+
     @property
     def manifest_path(self) -> str:
         return f"{self.root}/_state/manifest"
@@ -203,8 +212,7 @@ class Lake:
             return small_frame(self.spark, [], schema)
 
     def manifest(self, table: str) -> DataFrame:
-        schema = "rows bigint, files bigint, bytes bigint, content_hash string, table_name string, dt string"
-        rows = self._state(self.manifest_path, schema)
+        rows = self._state(self.manifest_path, MANIFEST_SCHEMA)
         return rows.filter(F.col("table_name") == table).select(*MANIFEST_COLUMNS)
 
     def watermarks(self) -> DataFrame:
@@ -212,7 +220,13 @@ class Lake:
         return self._state(self.watermark_path, schema).select("table_name", "high_watermark", "last_run_id")
 
     def save_manifest(self, manifest: DataFrame) -> None:
-        _replace_partitions(manifest, self.manifest_path, ["table_name", "dt"])
+        """Put the rows in place of those of the same table and ``dt``; one set of files per table."""
+        new = manifest.select(*MANIFEST_COLUMNS)
+        tables = [r["table_name"] for r in new.select("table_name").distinct().collect()]
+        old = self._state(self.manifest_path, MANIFEST_SCHEMA).filter(F.col("table_name").isin(tables))
+        kept = old.join(new.select("table_name", "dt"), ["table_name", "dt"], "left_anti").select(*MANIFEST_COLUMNS)
+        # Checkpointed, since what is read is what will be overwritten.
+        _replace_partitions(checkpointed(kept.unionByName(new)), self.manifest_path, ["table_name"])
 
     def save_watermark(self, table: str, hi: datetime, run_id: str | None) -> None:
         # One row per table: small enough to pass through the driver, which also breaks the
@@ -225,7 +239,7 @@ class Lake:
 
 def _replace_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
     (
-        df.coalesce(1)
+        df.hint("rebalance", *[F.col(k) for k in keys])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)

@@ -6,19 +6,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.functions import redaction
-from tidemark.functions.skew import salted_join
 
 # Words of identifiers and texts for the leak scan: letters, digits and the punctuation inside mail
 # addresses, payment addresses, phone numbers and names.
 SCAN_TOKEN = r"[\p{L}\p{N}_@+%'.\-]+"
 
 
-MAX_BROADCAST_ROWS = 500_000  # names or identifiers sent to every executor: some 50 MB
-
-
 class PiiError(Exception):
     """Text that must be clean is not. The message has kinds and counts, never values."""
 
@@ -80,55 +75,34 @@ def known_names(names: DataFrame, name: str) -> DataFrame:
     return several.select(F.lower(F.trim(F.col(name))).alias("gram")).distinct()
 
 
-def redact_known_names(
-    df: DataFrame,
-    key: str,
-    text: str,
-    names: DataFrame,
-    name: str,
-    max_broadcast: int = MAX_BROADCAST_ROWS,
-) -> DataFrame:
+def redact_known_names(df: DataFrame, key: str, text: str, names: DataFrame, name: str) -> DataFrame:
     """Redact names from a table along with the patterned kinds; ``key`` must identify a row.
 
-    Word runs meet the names in an equi-join. Up to ``max_broadcast`` names, counted first, go to where
-    the texts are. More names are joined by shuffle, salted by row, because a run such as a common
-    greeting can make up a large part of all runs. What comes back per text are only its matches.
+    Word runs meet the names in an equi-join, which the planner broadcasts or shuffles by the size of the names; a run
+    that makes up a large part of all runs is split by adaptive execution. What comes back per text are only its
+    matches. Only texts with matches have their words located.
     """
-    wanted = known_names(names, name)
-    grams = _name_grams(df, key, text)
-    if wanted.limit(max_broadcast + 1).count() <= max_broadcast:
-        matched = grams.join(F.broadcast(wanted), "gram")
-    else:
-        matched = salted_join(grams, wanted, ["gram"], F.col(key))
+    matched = _name_grams(df, key, text).join(known_names(names, name), "gram")
     per_row = matched.groupBy(key).agg(F.collect_list(F.struct("at", "words")).alias("_names"))
-    # Words and gaps are needed only where names were found; they turn word positions into characters.
-    found = F.col("_names").isNotNull()
-    pieces = df.join(per_row, key, "left").withColumns(
-        {
-            "_words": F.when(
-                found, F.regexp_extract_all(F.col(text), F.lit(redaction.TOKEN_PATTERN), F.lit(0))
-            ),
-            "_gaps": F.when(found, F.split(F.col(text), redaction.TOKEN_PATTERN, -1)),
-        }
-    )
-
-    def length_of(parts: str, count: Column) -> Column:
-        return F.aggregate(F.slice(F.col(parts), F.lit(1), count), F.lit(0), lambda acc, p: acc + F.length(p))
+    words = F.regexp_extract_all(F.col(text), F.lit(redaction.TOKEN_PATTERN), F.lit(0))
+    places = redaction.offsets(F.split(F.col(text), redaction.TOKEN_PATTERN, -1), words, 0)
+    found = df.join(per_row, key, "left").withColumn("_places", F.when(F.col("_names").isNotNull(), places))
 
     def span(m: Column) -> Column:
-        first, after = m["at"], m["at"] + m["words"]
-        start = length_of("_gaps", first + 1) + length_of("_words", first)
-        stop = length_of("_gaps", after) + length_of("_words", after)
-        return redaction.name_span(start, stop)
+        first, last = F.col("_places")[m["at"]], F.col("_places")[m["at"] + m["words"] - 1]
+        return redaction.name_span(first["start"], -last["neg_stop"])
 
-    with_names = pieces.withColumn("_name_spans", F.transform(F.col("_names"), span))
+    with_names = found.withColumn("_name_spans", F.transform(F.col("_names"), span))
     spans = redaction.taken_spans(F.col(text), F.col("_name_spans"))
     return _apply_spans(with_names.withColumn("_spans", spans), df.columns, text)
 
 
 def unclean_rows(df: DataFrame, text: str) -> DataFrame:
-    """Rows whose text still holds something redaction would replace."""
-    return df.filter(redaction.contains_pii(F.col(text)))
+    """Rows whose text still holds something redaction would replace.
+
+    The text may itself be the result of redaction: it is computed once, not once per pattern.
+    """
+    return df.filter(redaction.let(F.col(text), redaction.contains_pii))
 
 
 def assert_clean(df: DataFrame, text: str, where: str = "export") -> None:
@@ -167,17 +141,62 @@ def identifiers(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).filter(F.col("value").isNotNull()).distinct()
 
 
-def leak_scan(
-    values: DataFrame, corpus: DataFrame, text: str, max_broadcast: int = MAX_BROADCAST_ROWS
-) -> DataFrame:
+# How an identifier is looked for. Addresses and numbers are found wherever their characters stand, whatever stands
+# beside them; names and the like are found between word boundaries.
+_SHAPES = {"plus": r"^\+[0-9]+$", "digits": r"^[0-9]+$", "address": r"^[^@]+@[^@]+$"}
+
+
+def _shape(value: Column) -> Column:
+    shape = F.lit("words")
+    for name, pattern in reversed(_SHAPES.items()):
+        shape = F.when(value.rlike(pattern), name).otherwise(shape)
+    return shape
+
+
+def _number_runs(text: Column, plus: list[int], digits: list[int]) -> list[Column]:
+    """Parts of the digit runs of a text: beginnings after a plus sign, and all parts, of the given lengths."""
+    runs = F.regexp_extract_all(text, F.lit(r"\+?[0-9]+"), F.lit(0))
+    signed = F.filter(runs, lambda r: r.startswith("+"))
+    bare = F.transform(runs, lambda r: F.ltrim(r, F.lit("+")))
+
+    def beginnings(n: int) -> Column:
+        return F.transform(F.filter(signed, lambda r: F.length(r) > n), lambda r: F.substring(r, 1, n + 1))
+
+    def parts(n: int) -> Column:
+        long = F.filter(bare, lambda r: F.length(r) >= n)
+        starts = lambda r: F.sequence(F.lit(1), F.length(r) - (n - 1))
+        return F.flatten(F.transform(long, lambda r: F.transform(starts(r), lambda i: F.substring(r, i, F.lit(n)))))
+
+    return [beginnings(n) for n in plus] + [parts(n) for n in digits]
+
+
+def _address_runs(text: Column, sides: list[tuple[int, int]]) -> list[Column]:
+    """What stands around each @ of a text, as many characters to either side as addresses have."""
+    parts = F.split(text, "@", -1)
+    pairs = F.zip_with(
+        F.slice(parts, F.lit(1), F.size(parts) - 1),
+        F.slice(parts, F.lit(2), F.size(parts)),
+        lambda a, b: F.struct(a.alias("a"), b.alias("b")),
+    )
+
+    def around(before: int, after: int) -> Column:
+        enough = F.filter(pairs, lambda p: (F.length(p["a"]) >= before) & (F.length(p["b"]) >= after))
+        return F.transform(
+            enough, lambda p: F.concat(F.right(p["a"], F.lit(before)), F.lit("@"), F.left(p["b"], F.lit(after)))
+        )
+
+    return [F.when(F.size(parts) > 1, around(b, a)) for b, a in sides]
+
+
+def leak_scan(values: DataFrame, corpus: DataFrame, text: str) -> DataFrame:
     """Identifiers that occur in a corpus, with the number of texts that hold them.
 
-    An identifier occurs when its words follow each other in a text, delimited on both sides. Texts are
-    cut into runs of as many words as identifiers have, each distinct run of a text once.
+    Numbers (with or without a plus sign) and addresses occur wherever a text holds them, as in a search for substrings:
+    candidates are cut out around every ``@`` and from every run of digits, in the lengths that identifiers have.
+    Other identifiers occur when their words follow each other, delimited on both sides. Candidates, each once per text,
+    meet the identifiers in one equi-join; the planner broadcasts the identifiers if they are small.
 
-    Up to ``max_broadcast`` identifiers, counted first, go to where the texts are, and only hits are
-    shuffled. More identifiers are joined by shuffle to distinct runs with their counts: runs combine on
-    the map side first, so neither a frequent word nor a repeated text makes a hot key.
+    An identifier without a letter, digit or ``@`` cannot be looked for: it is returned with null ``texts``.
     """
     pattern = F.lit(SCAN_TOKEN)
 
@@ -186,26 +205,42 @@ def leak_scan(
         bare = F.transform(found, lambda w: F.btrim(w, F.lit(".'-")))
         return F.filter(bare, lambda w: F.length(w) > 0)
 
-    keyed = values.withColumn("_w", words("value")).select(
-        "kind", "value", F.size("_w").alias("n"), F.array_join("_w", " ").alias("run")
+    value, at = F.col("value"), F.instr("value", "@")
+    keyed = values.withColumns({"shape": _shape(value), "_w": words("value")}).select(
+        "kind",
+        "value",
+        "shape",
+        F.when(F.col("shape") == "words", F.array_join("_w", " ")).otherwise(value).alias("run"),
+        F.when(F.col("shape") == "words", F.size("_w"))
+        .when(F.col("shape") == "address", at - 1)
+        .otherwise(F.length(F.ltrim("value", F.lit("+"))))
+        .alias("n"),
+        F.when(F.col("shape") == "address", F.length("value") - at).otherwise(0).alias("after"),
     )
-    # One row per number of words; an identifier has a handful.
-    lengths = {r["n"]: r["count"] for r in keyed.groupBy("n").count().collect() if r["n"] > 0}
-    tokens = corpus.select(words(text).alias("_w"))
-    every = [word_runs("_w", n) for n in sorted(lengths)] or [F.array().cast("array<string>")]
-    runs = tokens.select(F.explode(F.array_distinct(F.concat(*every))).alias("run"))
-    sought = keyed.select("kind", "value", "run")
-    if sum(lengths.values()) <= max_broadcast:
-        hits = runs.join(F.broadcast(sought), "run")
-        return hits.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("texts"))
-    counted = runs.groupBy("run").agg(F.count(F.lit(1)).alias("texts"))
-    return sought.join(counted, "run").select("kind", "value", "texts")
+    # The distinct lengths: some dozens, whatever the number of identifiers.
+    sizes: dict[str, list] = {k: [] for k in (*_SHAPES, "words")}
+    for r in keyed.select("shape", "n", "after").distinct().orderBy("shape", "n", "after").collect():
+        sizes[r["shape"]].append((r["n"], r["after"]) if r["shape"] == "address" else r["n"])
+    tokens = corpus.select(F.col(text).alias("_t"), words(text).alias("_w"))
+    every = [
+        *(word_runs("_w", n) for n in sizes["words"] if n),
+        *_number_runs(F.col("_t"), sizes["plus"], sizes["digits"]),
+        *_address_runs(F.col("_t"), sizes["address"]),
+    ]
+    none = F.array().cast("array<string>")
+    runs = tokens.select(F.explode(F.array_distinct(F.concat(none, *(F.coalesce(e, none) for e in every)))).alias("run"))
+    searchable = (F.col("shape") != "words") | (F.col("n") > 0)
+    hits = runs.join(keyed.filter(searchable).select("kind", "value", "run"), "run")
+    found = hits.groupBy("kind", "value").agg(F.count(F.lit(1)).alias("texts"))
+    unsearchable = keyed.filter(~searchable).select("kind", "value", F.lit(None).cast("bigint").alias("texts"))
+    return found.unionByName(unsearchable)
 
 
 def redact_records(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Redact every text column of log records, the last step before they are written."""
-    chosen = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({c: redaction.redact(F.col(c)) for c in chosen})
+    """Redact every text of log records, nested ones included, the last step before they are written."""
+    kinds = {f.name: f.dataType for f in df.schema.fields if redaction.holds_text(f.dataType)}
+    chosen = columns or list(kinds)
+    return df.withColumns({c: redaction.redact_within(F.col(f"`{c}`"), kinds[c]) for c in chosen if c in kinds})
 
 
 def write_audit_log(df: DataFrame, path: str) -> None:

@@ -65,5 +65,73 @@ def compare_tables(
     return totals.unpivot([], [f"`{name}`" for name in counts], "finding", "row_count")
 
 
+METRIC_KEYS, COHORT_KEYS = ["dt", "merchant_id"], ["cohort_week", "weeks_since_signup"]
+METRIC_MEASURES = [
+    "txn_count", "success_count", "failed_count", "pending_count", "success_amount_paise", "refund_count",
+    "refund_amount_paise",
+]
+COHORT_MEASURES = ["cohort_size", "active_users"]
+
+
+def metrics_by_sql(transactions: DataFrame, refunds: DataFrame) -> DataFrame:
+    """The metrics from their definition, independent of how the curated table is computed."""
+    return transactions.sparkSession.sql(
+        """
+        WITH each AS (
+          SELECT pay.*, back.times, back.paise
+          FROM {pay} pay LEFT JOIN LATERAL (
+            SELECT count(*) AS times, sum(b.amount_paise) AS paise FROM {back} b
+            WHERE b.txn_id = pay.txn_id AND b.status NOT IN ('REJECTED')) back)
+        SELECT dt, merchant_id, sum(1L) AS txn_count, sum(if(status = 'SUCCESS', 1L, 0L)) AS success_count,
+               sum(if(status = 'FAILED', 1L, 0L)) AS failed_count, sum(if(status = 'PENDING', 1L, 0L)) AS pending_count,
+               sum(if(status = 'SUCCESS', amount_paise, 0L)) AS success_amount_paise,
+               sum(coalesce(times, 0L)) AS refund_count, sum(coalesce(paise, 0L)) AS refund_amount_paise
+        FROM each GROUP BY ALL""",
+        pay=transactions.select("txn_id", "dt", "merchant_id", "status", "amount_paise"),
+        back=refunds,
+    )
+
+
+def cohorts_by_sql(users: DataFrame, transactions: DataFrame) -> DataFrame:
+    """The cohorts from their definition: distinct payers per sign-up week and week of activity."""
+    return users.sparkSession.sql(
+        """
+        WITH joined AS (SELECT user_id, CAST(date_trunc('week', created_at) AS DATE) AS began FROM {people}),
+        paying AS (SELECT payer_user_id AS user_id, CAST(date_trunc('week', created_at) AS DATE) AS week
+                   FROM {pay} WHERE status = 'SUCCESS')
+        SELECT CAST(began AS STRING) AS cohort_week, CAST(datediff(week, began) / 7 AS INT) AS weeks_since_signup,
+               any_value(members) AS cohort_size, count(DISTINCT user_id) AS active_users
+        FROM paying JOIN joined USING (user_id)
+             JOIN (SELECT began, count(*) AS members FROM joined GROUP BY began) USING (began)
+        WHERE week >= began GROUP BY began, week""",
+        people=users.select("user_id", "created_at"),
+        pay=transactions.select("payer_user_id", "created_at", "status"),
+    )
+
+
+def curated_vs_source(
+    users: DataFrame,
+    in_scope: DataFrame,
+    transactions: DataFrame,
+    refunds: DataFrame,
+    metrics: DataFrame,
+    cohorts: DataFrame,
+) -> DataFrame:
+    """Both curated tables against the source: ``table_name, finding, row_count``.
+
+    ``in_scope`` are the payments of the days that ``metrics`` holds; cohorts are compared over all payments.
+    """
+    parts = {
+        "daily_merchant_metrics": compare_tables(
+            metrics_by_sql(in_scope, refunds), metrics, METRIC_KEYS, METRIC_MEASURES
+        ),
+        "user_cohorts": compare_tables(
+            cohorts_by_sql(users, transactions), cohorts, COHORT_KEYS, COHORT_MEASURES
+        ),
+    }
+    tagged = [df.select(F.lit(name).alias("table_name"), "finding", "row_count") for name, df in parts.items()]
+    return tagged[0].unionByName(tagged[1])
+
+
 def source_days(source: DataFrame) -> DataFrame:
     return source.select(day("created_at").alias("dt")).distinct()

@@ -13,16 +13,16 @@ def total_gmv(f: Frames, since: str) -> DataFrame:
     return f.daily_gmv.filter(F.col("dt") >= since).agg(F.round(F.sum("gmv_rupees"), 2).alias("gmv"))
 
 
-def daily_gmv(f: Frames, since: str, row_limit: int = 100) -> DataFrame:
+def daily_gmv(f: Frames, since: str) -> DataFrame:
     per_day = f.daily_gmv.filter(F.col("dt") >= since).groupBy("dt").agg(F.sum("gmv_rupees").alias("gmv"))
-    return per_day.orderBy("dt").limit(row_limit)
+    return per_day.orderBy("dt")
 
 
-def daily_success_rate(f: Frames, since: str, row_limit: int = 100) -> DataFrame:
+def daily_success_rate(f: Frames, since: str) -> DataFrame:
     hundredths = F.round(F.col("success_rate_pct") * 100).cast("bigint")
     rate = mean(F.sum(hundredths), F.count(F.lit(1))) / F.lit(100.0)
     per_day = f.daily_gmv.filter(F.col("dt") >= since).groupBy("dt").agg(rate.alias("success_rate"))
-    return per_day.orderBy("dt").limit(row_limit)
+    return per_day.orderBy("dt")
 
 
 def top_merchants(f: Frames, row_limit: int = 10) -> DataFrame:
@@ -34,21 +34,21 @@ def top_merchants(f: Frames, row_limit: int = 10) -> DataFrame:
     )
 
 
-def failure_codes(f: Frames, since: str, row_limit: int = 10) -> DataFrame:
+def failure_codes(f: Frames, since: str) -> DataFrame:
     per_code = (
         f.failure_reasons.filter(F.col("dt") >= since)
         .groupBy("failure_code")
         .agg(F.sum("failed_count").alias("failed"))
     )
-    return per_code.orderBy(F.col("failed").desc(), "failure_code").limit(row_limit)
+    return per_code.orderBy(F.col("failed").desc(), "failure_code")
 
 
-def retention_cells(f: Frames, row_limit: int = 500) -> DataFrame:
-    """Heat-map cells in long form, the first ``row_limit`` by cohort and week."""
+def retention_cells(f: Frames) -> DataFrame:
+    """All heat-map cells in long form."""
     cells = f.retention_weekly.groupBy("cohort_week", "weeks_since_signup").agg(
         F.max("retention_pct").alias("retention_pct")
     )
-    return cells.orderBy("cohort_week", "weeks_since_signup").limit(row_limit)
+    return cells.orderBy("cohort_week", "weeks_since_signup")
 
 
 def retention_heatmap(f: Frames, weeks: list[int]) -> DataFrame:

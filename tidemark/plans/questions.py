@@ -77,15 +77,14 @@ def view_range_sorted(f: Frames, first: str, last: str, cohort_from: str, below_
         F.col("dt").alias("key"), F.col("success_rate_pct").alias("value")
     )
     sizes = f.retention_weekly.filter((F.col("weeks_since_signup") == 0) & (F.col("cohort_week") >= cohort_from))
-    return _stack(
+    found = _stack(
         {
-            4: rates.orderBy("key").limit(10),
-            22: sizes.select(F.col("cohort_week").alias("key"), F.col("cohort_size").cast("double").alias("value"))
-            .orderBy("key")
-            .limit(100),
-            29: rates.filter(F.col("value") < below_pct).orderBy("key").limit(100),
+            4: rates,
+            22: sizes.select(F.col("cohort_week").alias("key"), F.col("cohort_size").cast("double").alias("value")),
+            29: rates.filter(F.col("value") < below_pct),
         }
     )
+    return found.orderBy("question_id", "key")
 
 
 def _top(df: DataFrame, key: str, measure: str, k: int, name: str = "value") -> DataFrame:
@@ -137,7 +136,6 @@ def view_point_sorted(f: Frames, day: str) -> DataFrame:
         f.failure_reasons.filter(_dt(day))
         .select("failure_code", "failed_count")
         .orderBy(F.col("failed_count").desc(), "failure_code")
-        .limit(20)
     )
 
 
@@ -173,37 +171,36 @@ def avg_filter(f: Frames, day: str, cohort_first: str, cohort_last: str) -> Data
 
 
 def group_count(f: Frames, day: str, first: str, last: str) -> DataFrame:
-    def counted(df: DataFrame, key: str, k: int) -> DataFrame:
-        return _top(df.groupBy(key).agg(F.count(F.lit(1)).alias("n")), key, "n", k, "n")
+    def counted(df: DataFrame, key: str) -> DataFrame:
+        return df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
 
-    return _stack(
+    found = _stack(
         {
-            12: counted(f.users, "city", 20),
-            13: counted(f.users, "kyc_status", 10),
-            14: counted(f.merchants, "category", 20),
-            25: counted(f.refunds.filter(_between(first, last)), "reason", 10),
-            37: counted(f.transactions.filter(_dt(day)), "status", 10),
+            12: counted(f.users, "city"),
+            13: counted(f.users, "kyc_status"),
+            14: counted(f.merchants, "category"),
+            25: counted(f.refunds.filter(_between(first, last)), "reason"),
+            37: counted(f.transactions.filter(_dt(day)), "status"),
         }
     )
+    return found.orderBy("question_id", F.col("n").desc(), "key")
 
 
 def group_sum_sorted(f: Frames, day: str) -> DataFrame:
     sums = f.daily_merchant_metrics.filter(_dt(day)).groupBy("category").agg(F.sum("success_amount_paise").alias("p"))
-    return (
-        sums.select("category", rupees(F.col("p")).alias("gmv")).orderBy(F.col("gmv").desc(), "category").limit(20)
-    )
+    return sums.select("category", rupees(F.col("p")).alias("gmv")).orderBy(F.col("gmv").desc(), "category")
 
 
 def hour_histogram(f: Frames, day: str) -> DataFrame:
     hours = f.transactions.filter(_dt(day)).groupBy(F.hour("created_at").alias("h"))
-    return hours.agg(F.count(F.lit(1)).alias("n")).orderBy("h").limit(24)
+    return hours.agg(F.count(F.lit(1)).alias("n")).orderBy("h")
 
 
 def join_group(f: Frames, day: str) -> DataFrame:
     """Payments per category of one day. Counting per merchant first shrinks the join and evens it out."""
     per_merchant = f.transactions.filter(_dt(day)).groupBy("merchant_id").agg(F.count(F.lit(1)).alias("c"))
     joined = per_merchant.join(f.merchants.select("merchant_id", "category"), "merchant_id")
-    return joined.groupBy("category").agg(F.sum("c").alias("n")).orderBy(F.col("n").desc(), "category").limit(20)
+    return joined.groupBy("category").agg(F.sum("c").alias("n")).orderBy(F.col("n").desc(), "category")
 
 
 def ratio_distinct(f: Frames, day: str) -> DataFrame:
@@ -217,9 +214,7 @@ def join_group_distinct(f: Frames, day: str) -> DataFrame:
     """Distinct payers per city. Payers are made distinct before the join; a payer has one city."""
     payers = f.transactions.filter(_dt(day)).select(F.col("payer_user_id").alias("user_id")).distinct()
     joined = payers.join(f.users.select("user_id", "city"), "user_id")
-    return (
-        joined.groupBy("city").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "city").limit(20)
-    )
+    return joined.groupBy("city").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("n").desc(), "city")
 
 
 def join_rate(f: Frames, day: str) -> DataFrame:
@@ -230,7 +225,7 @@ def join_rate(f: Frames, day: str) -> DataFrame:
     )
     joined = per_merchant.join(f.merchants.select("merchant_id", "risk_tier"), "merchant_id")
     totals = joined.groupBy("risk_tier").agg(F.sum("ok").alias("ok"), F.sum("c").alias("c"))
-    return totals.select("risk_tier", percent(F.col("ok"), F.col("c")).alias("success_rate")).limit(10)
+    return totals.select("risk_tier", percent(F.col("ok"), F.col("c")).alias("success_rate"))
 
 
 def max_filter(f: Frames, day: str) -> DataFrame:

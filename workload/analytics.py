@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.sql import functions as F
 
 from tidemark.operators import curated
+from tidemark.operators.ingest import Lake
 from tidemark.plans import charts
 from tidemark.plans import questions as q
 from tidemark.session import scratch_path
 from tidemark.sources import catalog
-from tidemark.sources.lake import read_partitioned
-from workload.fixtures import event_frames, event_lake, on_events, on_payments, payments
+from workload.fixtures import curated_frames, event_frames, event_lake, on_events, on_payments, payments
 
 # Dates the questions ask about: order dates run from 1995 to 2001, events through January 2024.
 DAY, OTHER_DAY, LAST_DAY = "1997-05-23", "1997-05-25", "1997-05-31"
@@ -31,6 +32,10 @@ def _p(fn):
     return lambda spark, sf_dir: fn(payments(spark, sf_dir))
 
 
+def _c(fn):
+    return lambda spark, sf_dir: fn(curated_frames(spark, sf_dir))
+
+
 def _e(fn):
     return lambda spark, sf_dir: fn(event_frames(spark, sf_dir))
 
@@ -40,13 +45,21 @@ def _lake(fn):
 
 
 def transform_range(spark, sf_dir):
-    """Write a first range, then a later overlapping one, and read the table back."""
+    """Two runs over overlapping ranges; the metric partitions that both left behind."""
+    f = payments(spark, sf_dir)
+    lake = Lake(spark, scratch_path(spark, "curated-lake"))
+    for end in (date(1997, 5, 24), date(1997, 5, 28)):
+        curated.transform(f.users, f.merchants, f.transactions, f.refunds, lake, end)
+    return lake.curated("daily_merchant_metrics")
+
+
+def transform_cohorts(spark, sf_dir):
+    """The cohorts that a run leaves behind, next to the rows its statistics know of each week."""
     f = payments(spark, sf_dir)
-    path = scratch_path(spark, "daily_merchant_metrics")
-    args = (f.transactions, f.refunds, f.merchants, path)
-    curated.transform_range(*args, end=date(1997, 5, 24))
-    curated.transform_range(*args, end=date(1997, 5, 28))
-    return read_partitioned(spark, path, catalog.struct_type("daily_merchant_metrics"))
+    lake = Lake(spark, scratch_path(spark, "curated-lake"))
+    curated.transform(f.users, f.merchants, f.transactions, f.refunds, lake, date(1997, 5, 28))
+    known = lake.manifest("user_cohorts").select(F.col("dt").alias("cohort_week"), "rows")
+    return lake.curated("user_cohorts").join(known, "cohort_week", "left")
 
 
 QUERIES = {
@@ -54,22 +67,23 @@ QUERIES = {
     "daily_merchant_metrics": _p(lambda f: f.daily_merchant_metrics),
     "user_cohorts": _p(lambda f: f.user_cohorts),
     "transform_range": transform_range,
-    "daily_gmv": _p(lambda f: f.daily_gmv),
-    "merchant_leaderboard": _p(lambda f: f.merchant_leaderboard),
+    "transform_cohorts": transform_cohorts,
+    "daily_gmv": _c(lambda f: f.daily_gmv),
+    "merchant_leaderboard": _c(lambda f: f.merchant_leaderboard),
     "failure_reasons": _p(lambda f: f.failure_reasons),
-    "retention_weekly": _p(lambda f: f.retention_weekly),
+    "retention_weekly": _c(lambda f: f.retention_weekly),
     "q_count_filter": _p(lambda f: q.count_filter(f, DAY, OTHER_DAY, LAST_DAY, SIGNUP_DAY, SIGNUP_FIRST, SIGNUP_LAST)),
-    "q_view_point": _p(lambda f: q.view_point(f, DAY, COHORT)),
-    "q_view_range_sorted": _p(lambda f: q.view_range_sorted(f, FIRST, LAST, COHORT_FIRST)),
-    "q_argmax": _p(lambda f: q.argmax(f, OTHER_DAY, FIRST, LAST, BUSY)),
-    "q_topn_view": _p(q.topn_view),
-    "q_count_distinct": _p(lambda f: q.count_distinct(f, DAY)),
-    "q_range_sum": _p(lambda f: q.range_sum(f, FIRST, LAST, MERCHANT)),
+    "q_view_point": _c(lambda f: q.view_point(f, DAY, COHORT)),
+    "q_view_range_sorted": _c(lambda f: q.view_range_sorted(f, FIRST, LAST, COHORT_FIRST)),
+    "q_argmax": _c(lambda f: q.argmax(f, OTHER_DAY, FIRST, LAST, BUSY)),
+    "q_topn_view": _c(q.topn_view),
+    "q_count_distinct": _c(lambda f: q.count_distinct(f, DAY)),
+    "q_range_sum": _c(lambda f: q.range_sum(f, FIRST, LAST, MERCHANT)),
     "q_view_point_sorted": _p(lambda f: q.view_point_sorted(f, OTHER_DAY)),
-    "q_group_top": _p(lambda f: q.group_top(f, FIRST, LAST)),
-    "q_avg_filter": _p(lambda f: q.avg_filter(f, DAY, COHORT_FIRST, COHORT_LAST)),
+    "q_group_top": _c(lambda f: q.group_top(f, FIRST, LAST)),
+    "q_avg_filter": _c(lambda f: q.avg_filter(f, DAY, COHORT_FIRST, COHORT_LAST)),
     "q_group_count": _p(lambda f: q.group_count(f, LAST_DAY, FIRST, LAST)),
-    "q_group_sum_sorted": _p(lambda f: q.group_sum_sorted(f, DAY)),
+    "q_group_sum_sorted": _c(lambda f: q.group_sum_sorted(f, DAY)),
     "q_hour_histogram": _e(lambda f: q.hour_histogram(f, E_DAY)),
     "q_join_group": _e(lambda f: q.join_group(f, E_DAY)),
     "q_ratio_distinct": _e(lambda f: q.ratio_distinct(f, E_DAY)),
@@ -84,13 +98,13 @@ QUERIES = {
     "q_select_star": _lake(lambda tx: q.select_star(tx, E_FIRST, E_LAST)),
     "q_select_two": _lake(lambda tx: q.select_two(tx, E_FIRST, E_LAST)),
     "q_status_rollup": _lake(lambda tx: q.status_rollup(tx, E_FIRST, E_LAST)),
-    "q_cte_block": _p(lambda f: q.cte_block(f, [OTHER_DAY, DAY, LAST_DAY], SINCE)),
-    "chart_total_gmv": _p(lambda f: charts.total_gmv(f, SINCE)),
-    "chart_daily_gmv": _p(lambda f: charts.daily_gmv(f, SINCE)),
-    "chart_daily_success_rate": _p(lambda f: charts.daily_success_rate(f, SINCE)),
-    "chart_top_merchants": _p(charts.top_merchants),
+    "q_cte_block": _c(lambda f: q.cte_block(f, [OTHER_DAY, DAY, LAST_DAY], SINCE)),
+    "chart_total_gmv": _c(lambda f: charts.total_gmv(f, SINCE)),
+    "chart_daily_gmv": _c(lambda f: charts.daily_gmv(f, SINCE)),
+    "chart_daily_success_rate": _c(lambda f: charts.daily_success_rate(f, SINCE)),
+    "chart_top_merchants": _c(charts.top_merchants),
     "chart_failure_codes": _p(lambda f: charts.failure_codes(f, SINCE)),
-    "chart_retention_heatmap": _p(charts.retention_cells),
+    "chart_retention_heatmap": _c(charts.retention_cells),
 }
 
 _D100 = "CAST(100.0 AS DOUBLE)"
@@ -106,6 +120,10 @@ def _top(source: str, key: str, measure: str, k: int, name: str = "value", kind:
     )
 
 
+def _counts(source: str, key: str) -> str:
+    return f"SELECT {key} AS key, count(*) AS n FROM {source} GROUP BY 1"
+
+
 def _mean(total: str, count: str) -> str:
     return f"CAST(CAST({total} AS BIGINT) AS DOUBLE) / CAST(CAST({count} AS BIGINT) AS DOUBLE)"
 
@@ -129,6 +147,10 @@ ORACLES = {
     "transform_range": on_payments(
         f"SELECT {METRIC_COLUMNS} FROM daily_merchant_metrics WHERE dt BETWEEN '1997-05-17' AND '1997-05-28'"
     ),
+    "transform_cohorts": on_payments(
+        """SELECT weeks_since_signup, cohort_size, active_users, cohort_week, count(*) OVER (PARTITION BY cohort_week) AS rows
+           FROM user_cohorts"""
+    ),
     "daily_gmv": on_payments("SELECT * FROM daily_gmv"),
     "merchant_leaderboard": on_payments("SELECT * FROM merchant_leaderboard"),
     "failure_reasons": on_payments("SELECT * FROM failure_reasons"),
@@ -159,11 +181,11 @@ ORACLES = {
     "q_view_range_sorted": on_payments(
         _union(
             {
-                4: f"SELECT dt AS key, success_rate_pct AS value FROM daily_gmv WHERE {_IN} ORDER BY dt LIMIT 10",
+                4: f"SELECT dt AS key, success_rate_pct AS value FROM daily_gmv WHERE {_IN}",
                 22: f"""SELECT cohort_week AS key, CAST(cohort_size AS DOUBLE) AS value FROM retention_weekly
-                        WHERE weeks_since_signup = 0 AND cohort_week >= '{COHORT_FIRST}' ORDER BY 1 LIMIT 100""",
+                        WHERE weeks_since_signup = 0 AND cohort_week >= '{COHORT_FIRST}'""",
                 29: f"""SELECT dt AS key, success_rate_pct AS value FROM daily_gmv
-                        WHERE {_IN} AND success_rate_pct < 92 ORDER BY dt LIMIT 100""",
+                        WHERE {_IN} AND success_rate_pct < 92""",
             }
         )
     ),
@@ -195,7 +217,7 @@ ORACLES = {
     ),
     "q_view_point_sorted": on_payments(
         f"""SELECT failure_code, failed_count FROM failure_reasons WHERE dt = '{OTHER_DAY}'
-            ORDER BY failed_count DESC, failure_code LIMIT 20"""
+            ORDER BY failed_count DESC, failure_code"""
     ),
     "q_group_top": on_payments(
         _union(
@@ -224,25 +246,25 @@ ORACLES = {
     "q_group_count": on_payments(
         _union(
             {
-                12: _top("users GROUP BY 1", "city", "count(*)", 20, "n", "BIGINT"),
-                13: _top("users GROUP BY 1", "kyc_status", "count(*)", 10, "n", "BIGINT"),
-                14: _top("merchants GROUP BY 1", "category", "count(*)", 20, "n", "BIGINT"),
-                25: _top(f"refunds WHERE {_IN} GROUP BY 1", "reason", "count(*)", 10, "n", "BIGINT"),
-                37: _top(f"transactions WHERE dt = '{LAST_DAY}' GROUP BY 1", "status", "count(*)", 10, "n", "BIGINT"),
+                12: _counts("users", "city"),
+                13: _counts("users", "kyc_status"),
+                14: _counts("merchants", "category"),
+                25: _counts(f"refunds WHERE {_IN}", "reason"),
+                37: _counts(f"transactions WHERE dt = '{LAST_DAY}'", "status"),
             }
         )
     ),
     "q_group_sum_sorted": on_payments(
         f"""SELECT category, CAST(sum(success_amount_paise) AS DOUBLE) / {_D100} AS gmv FROM daily_merchant_metrics
-            WHERE dt = '{DAY}' GROUP BY category ORDER BY gmv DESC, category LIMIT 20"""
+            WHERE dt = '{DAY}' GROUP BY category ORDER BY gmv DESC, category"""
     ),
     "q_hour_histogram": on_events(
         f"""SELECT CAST(hour(created_at) AS INTEGER) AS h, count(*) AS n FROM transactions WHERE dt = '{E_DAY}'
-            GROUP BY 1 ORDER BY 1 LIMIT 24"""
+            GROUP BY 1 ORDER BY 1"""
     ),
     "q_join_group": on_events(
         f"""SELECT m.category, count(*) AS n FROM transactions t JOIN merchants m ON m.merchant_id = t.merchant_id
-            WHERE t.dt = '{E_DAY}' GROUP BY m.category ORDER BY n DESC, m.category LIMIT 20"""
+            WHERE t.dt = '{E_DAY}' GROUP BY m.category ORDER BY n DESC, m.category"""
     ),
     "q_ratio_distinct": on_events(
         f"""SELECT {_mean("count(*)", "count(DISTINCT payer_user_id)")} AS avg_payments
@@ -251,7 +273,7 @@ ORACLES = {
     "q_join_group_distinct": on_events(
         f"""SELECT u.city, count(DISTINCT t.payer_user_id) AS n FROM transactions t
             JOIN users u ON u.user_id = t.payer_user_id
-            WHERE t.dt = '{E_DAY}' GROUP BY u.city ORDER BY n DESC, u.city LIMIT 20"""
+            WHERE t.dt = '{E_DAY}' GROUP BY u.city ORDER BY n DESC, u.city"""
     ),
     "q_join_rate": on_events(
         f"""SELECT m.risk_tier, CAST((20000 * count(*) FILTER (WHERE t.status = 'SUCCESS') + count(*))
@@ -289,11 +311,11 @@ ORACLES = {
     ),
     "chart_total_gmv": on_payments(f"SELECT round(sum(gmv_rupees), 2) AS gmv FROM daily_gmv WHERE dt >= '{SINCE}'"),
     "chart_daily_gmv": on_payments(
-        f"SELECT dt, sum(gmv_rupees) AS gmv FROM daily_gmv WHERE dt >= '{SINCE}' GROUP BY dt ORDER BY dt LIMIT 100"
+        f"SELECT dt, sum(gmv_rupees) AS gmv FROM daily_gmv WHERE dt >= '{SINCE}' GROUP BY dt ORDER BY dt"
     ),
     "chart_daily_success_rate": on_payments(
         f"""SELECT dt, {_mean("sum(CAST(round(success_rate_pct * 100) AS BIGINT))", "count(*)")} / {_D100} AS success_rate
-            FROM daily_gmv WHERE dt >= '{SINCE}' GROUP BY dt ORDER BY dt LIMIT 100"""
+            FROM daily_gmv WHERE dt >= '{SINCE}' GROUP BY dt ORDER BY dt"""
     ),
     "chart_top_merchants": on_payments(
         """SELECT merchant_name, category, txn_count, gmv_rupees, failure_rate_pct, refund_rate_pct
@@ -301,10 +323,10 @@ ORACLES = {
     ),
     "chart_failure_codes": on_payments(
         f"""SELECT failure_code, CAST(sum(failed_count) AS BIGINT) AS failed FROM failure_reasons
-            WHERE dt >= '{SINCE}' GROUP BY failure_code ORDER BY failed DESC, failure_code LIMIT 10"""
+            WHERE dt >= '{SINCE}' GROUP BY failure_code ORDER BY failed DESC, failure_code"""
     ),
     "chart_retention_heatmap": on_payments(
         """SELECT cohort_week, weeks_since_signup, max(retention_pct) AS retention_pct FROM retention_weekly
-           GROUP BY 1, 2 ORDER BY 1, 2 LIMIT 500"""
+           GROUP BY 1, 2 ORDER BY 1, 2"""
     ),
 }

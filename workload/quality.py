@@ -125,29 +125,20 @@ def reconcile_counts(tx, lake):
 
 
 def curated_vs_source(spark, sf_dir):
-    """The curated metrics, altered in places, against an independent SQL formulation."""
+    """Both curated tables, altered in places, against independent formulations."""
     f = payments(spark, sf_dir)
-    expected = spark.sql(
-        """SELECT CAST(CAST(t.created_at AS DATE) AS STRING) AS dt, t.merchant_id, count(*) AS txn_count,
-                  count_if(t.status = 'SUCCESS') AS success_count, count_if(t.status = 'FAILED') AS failed_count,
-                  count_if(t.status = 'PENDING') AS pending_count,
-                  coalesce(sum(t.amount_paise) FILTER (WHERE t.status = 'SUCCESS'), 0) AS success_amount_paise,
-                  coalesce(sum(r.c), 0) AS refund_count, coalesce(sum(r.a), 0) AS refund_amount_paise
-           FROM {tx} t LEFT JOIN (SELECT txn_id, count(*) AS c, sum(amount_paise) AS a FROM {refunds}
-                WHERE status <> 'REJECTED' GROUP BY txn_id) r ON r.txn_id = t.txn_id
-           GROUP BY 1, 2""",
-        tx=f.transactions,
-        refunds=f.refunds,
-    )
     one = F.col("merchant_id")
-    actual = (
+    metrics = (
         f.daily_merchant_metrics.filter(one != 3)
         .withColumn("txn_count", F.col("txn_count") + F.when(one == 5, 1).otherwise(0))
         .withColumn("dt", F.when((one == 7) & (F.col("dt") < "1996-01-01"), "2030-01-01").otherwise(F.col("dt")))
         .dropDuplicates(["dt", "merchant_id"])
     )
-    measures = [c for c in expected.columns if c not in ("dt", "merchant_id")]
-    return reconcile.compare_tables(expected, actual, ["dt", "merchant_id"], measures)
+    week = F.col("weeks_since_signup")
+    cohorts = f.user_cohorts.filter(week != 2).withColumn(
+        "active_users", F.col("active_users") + F.when(week == 4, 1).otherwise(0)
+    )
+    return reconcile.curated_vs_source(f.users, f.transactions, f.transactions, f.refunds, metrics, cohorts)
 
 
 def dq_report(spark, sf_dir):
@@ -217,7 +208,6 @@ _GATE = """gated AS (
                     count(*) FILTER (WHERE txn_id IS NULL OR created_at IS NULL OR updated_at IS NULL
                                      OR payer_user_id IS NULL OR merchant_id IS NULL) AS nulls
              FROM lake GROUP BY dt) l ON l.dt = s.dt)"""
-_MEASURES = catalog.table("daily_merchant_metrics").column_names[3:10]
 
 ORACLES = {
     "dq_row_count": on_events(
@@ -288,25 +278,31 @@ ORACLES = {
     ),
     "curated_vs_source": on_payments(
         "\nUNION ALL\n".join(
-            f"SELECT '{finding}' AS finding, {column} AS row_count FROM totals"
-            for finding, column in [(c, c) for c in ("only_in_source", "only_in_lake", "matched")]
-            + [(f"differs:{c}", f"d_{c}") for c in _MEASURES]
+            [
+                f"SELECT 'daily_merchant_metrics' AS table_name, '{finding}' AS finding, {column} AS row_count FROM totals"
+                for finding, column in [(c, c) for c in ("only_in_source", "only_in_lake", "matched")]
+                + [(f"differs:{c}", f"d_{c}") for c in reconcile.METRIC_MEASURES]
+            ]
+            + [
+                f"SELECT 'user_cohorts', '{finding}', count(*) FILTER (WHERE {test}) FROM user_cohorts"
+                for finding, test in {
+                    "only_in_source": "weeks_since_signup = 2",
+                    "only_in_lake": "FALSE",
+                    "matched": "weeks_since_signup <> 2",
+                    "differs:cohort_size": "FALSE",
+                    "differs:active_users": "weeks_since_signup = 4",
+                }.items()
+            ]
         ),
-        f"""actual AS (
-              SELECT * REPLACE (CASE WHEN merchant_id = 5 THEN txn_count + 1 ELSE txn_count END AS txn_count)
-              FROM daily_merchant_metrics WHERE merchant_id <> 3 AND NOT (merchant_id = 7 AND dt < '1996-01-01')
-              UNION ALL
-              SELECT * REPLACE ('2030-01-01' AS dt) FROM (SELECT * FROM daily_merchant_metrics
-                WHERE merchant_id = 7 AND dt < '1996-01-01' LIMIT 1)),
-            joined AS MATERIALIZED (
-              SELECT e.dt AS e_dt, a.dt AS a_dt, {", ".join(f"e.{c} AS e_{c}, a.{c} AS a_{c}" for c in _MEASURES)}
-              FROM daily_merchant_metrics e FULL JOIN actual a ON a.dt = e.dt AND a.merchant_id = e.merchant_id),
+        f"""kept AS MATERIALIZED (SELECT * FROM daily_merchant_metrics),
+            moved AS (SELECT *, row_number() OVER () AS nth FROM kept WHERE merchant_id = 7 AND dt < '1996-01-01'),
             totals AS MATERIALIZED (
-              SELECT count(*) FILTER (WHERE a_dt IS NULL) AS only_in_source,
-                     count(*) FILTER (WHERE e_dt IS NULL) AS only_in_lake,
-                     count(*) FILTER (WHERE e_dt IS NOT NULL AND a_dt IS NOT NULL) AS matched,
-                     {", ".join(f"count(*) FILTER (WHERE e_dt IS NOT NULL AND a_dt IS NOT NULL AND e_{c} IS DISTINCT FROM a_{c}) AS d_{c}" for c in _MEASURES)}
-              FROM joined)""",
+              SELECT count(*) FILTER (WHERE merchant_id = 3 OR (merchant_id = 7 AND dt < '1996-01-01')) AS only_in_source,
+                     (SELECT count(*) FROM moved WHERE nth = 1) AS only_in_lake,
+                     count(*) FILTER (WHERE merchant_id <> 3 AND NOT (merchant_id = 7 AND dt < '1996-01-01')) AS matched,
+                     count(*) FILTER (WHERE merchant_id = 5) AS d_txn_count,
+                     {", ".join(f"CAST(0 AS BIGINT) AS d_{c}" for c in reconcile.METRIC_MEASURES if c != "txn_count")}
+              FROM kept)""",
     ),
     "dq_report": on_events(
         f"""SELECT t.table_name, c.check_name,

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import redaction
 from tidemark.operators import pii, retrieval
+from tidemark.session import scratch_path, small_frame
 from tidemark.sources import catalog
 from workload.fixtures import (
     CLEAN_CONTACT_TEXT,
+    CONTACT_FINDINGS,
     CONTACT_TEXT,
     contact_text,
     duck,
@@ -64,13 +66,18 @@ def redact_known_names(spark, sf_dir):
 
 
 def assert_clean(spark, sf_dir):
-    """Unclean rows per origin before and after redaction."""
+    """Unclean rows per origin before and after redaction; the gate itself passes the redacted texts."""
     texts = fixture(spark, sf_dir, ALL_TEXTS)
-    clean = pii.redact_text(texts, "text")
-    before = texts.select("origin", redaction.contains_pii(F.col("text")).alias("dirty"))
-    after = clean.select("origin", redaction.contains_pii(F.col("text")).alias("dirty"))
-    both = before.withColumn("stage", F.lit("before")).unionByName(after.withColumn("stage", F.lit("after")))
-    return both.groupBy("origin", "stage").agg(F.count_if("dirty").alias("unclean"))
+    clean = pii.redact_text(texts, "text").select(*texts.columns)
+    pii.assert_clean(clean, "text")
+    origins = texts.select("origin").distinct().crossJoin(small_frame(spark, [("before",), ("after",)], "stage string"))
+    unclean = (
+        pii.unclean_rows(texts, "text")
+        .withColumn("stage", F.lit("before"))
+        .unionByName(pii.unclean_rows(clean, "text").withColumn("stage", F.lit("after")))
+    )
+    counted = unclean.groupBy("origin", "stage").agg(F.count(F.lit(1)).alias("unclean"))
+    return origins.join(counted, ["origin", "stage"], "left").na.fill(0, ["unclean"])
 
 
 def pii_safe_projection(spark, sf_dir):
@@ -85,13 +92,27 @@ def pii_leak_scan(spark, sf_dir):
 
 
 def redact_audit_log(spark, sf_dir):
+    """Records with nested text, written as an audit log and read back."""
     turns = table(spark, sf_dir, "conversations").select(
         F.col("conv_id").alias("id"), F.col("role").alias("actor"), F.col("text").alias("question"), "turn"
     )
     contacts = contact_text(spark, sf_dir).select(
         "id", F.lit("user").alias("actor"), F.col("text").alias("question"), F.lit(0).cast("bigint").alias("turn")
     )
-    return pii.redact_records(turns.unionByName(contacts))
+    records = turns.unionByName(contacts).withColumns(
+        {
+            "attempts": F.array(F.lit("none"), "question"),
+            "reply": F.create_map(F.lit("body"), "question"),
+            "context": F.struct(F.col("question").alias("last"), "turn"),
+        }
+    )
+    path = scratch_path(spark, "audit-log")
+    pii.write_audit_log(records, path)
+    back = spark.read.schema(records.schema).json(path)
+    return back.select(
+        "id", "actor", "question", "turn", F.col("attempts")[1].alias("attempt"), F.col("reply")["body"].alias("reply"),
+        F.col("context.last").alias("last"),
+    )
 
 
 def question_vectors(spark, sf_dir):
@@ -188,8 +209,8 @@ def _users(column: str) -> str:
 ORACLES = {
     "redact_text": on_contacts(
         f"""SELECT origin, id,
-              {_KNOWN} '{CLEAN_CONTACT_TEXT}' ELSE regexp_replace(text, '{_MAIL}', '[EMAIL]', 'g') END AS text,
-              {_KNOWN} 'PHONE,EMAIL,VPA,UPI_REF'
+              {_KNOWN} {CLEAN_CONTACT_TEXT} ELSE regexp_replace(text, '{_MAIL}', '[EMAIL]', 'g') END AS text,
+              {_KNOWN} '{CONTACT_FINDINGS}'
                 ELSE array_to_string(list_transform(regexp_extract_all(text, '{_MAIL}'), lambda x: 'EMAIL'), ',')
               END AS findings
             FROM all_texts""",
@@ -219,20 +240,34 @@ ORACLES = {
         FROM ({duck(REQUESTS)}) GROUP BY question_set""",
     "pii_safe_projection": on_payments("SELECT user_id, city, kyc_status, created_at, updated_at, dt FROM users"),
     "pii_leak_scan": on_payments(
-        """SELECT i.kind, count(DISTINCT i.value) AS leaked, count(DISTINCT (i.value, t.origin, t.id)) AS texts
-           FROM identifiers i
-           JOIN (SELECT origin, id, unnest(regexp_extract_all(text, '[\\p{L}\\p{N}_@+%''.\\-]+')) AS word
-                 FROM all_texts) t ON trim(t.word, '.''-') = i.value
-           GROUP BY i.kind""",
+        """SELECT i.kind, count(DISTINCT i.value) AS leaked, count(DISTINCT (i.value, c.origin, c.id)) AS texts
+           FROM identifiers i JOIN candidates c ON c.run = i.value GROUP BY i.kind""",
         f"""{_TEXTS}, identifiers AS (
               {" UNION ALL ".join(_users(c) for c in ("full_name", "phone", "email", "vpa"))}
               UNION ALL SELECT DISTINCT 'merchants.contact_phone', contact_phone FROM merchants
-              UNION ALL SELECT DISTINCT 'transactions.upi_ref', upi_ref FROM transactions)""",
+              UNION ALL SELECT DISTINCT 'transactions.upi_ref', upi_ref FROM transactions),
+            digit_runs AS (SELECT origin, id, unnest(regexp_extract_all(text, '\\+?[0-9]+')) AS run FROM all_texts),
+            sides AS (SELECT DISTINCT strpos(value, '@') - 1 AS l, length(value) - strpos(value, '@') AS r
+                      FROM identifiers WHERE contains(value, '@')),
+            around AS (
+              SELECT origin, id, parts[k] AS a, parts[k + 1] AS b
+              FROM (SELECT origin, id, string_split(text, '@') AS parts, unnest(range(1, len(string_split(text, '@')))) AS k
+                    FROM all_texts WHERE contains(text, '@'))),
+            candidates AS (
+              SELECT origin, id, left(run, 13) AS run FROM digit_runs WHERE run LIKE '+%' AND length(run) >= 13
+              UNION ALL
+              SELECT origin, id, substring(run, i, 12) FROM (
+                SELECT origin, id, ltrim(run, '+') AS run, unnest(range(1, length(ltrim(run, '+')) - 10)) AS i FROM digit_runs)
+              UNION ALL
+              SELECT origin, id, right(a, l) || '@' || left(b, r) FROM around, sides WHERE length(a) >= l AND length(b) >= r
+              UNION ALL
+              SELECT origin, id, trim(unnest(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_@+%''.\\-]+')), '.''-') FROM all_texts)""",
     ),
     "redact_audit_log": on_contacts(
-        f"""SELECT conv_id AS id, role AS actor, regexp_replace(text, '{_MAIL}', '[EMAIL]', 'g') AS question, turn
-            FROM conversations
-            UNION ALL SELECT id, 'user', '{CLEAN_CONTACT_TEXT}', 0 FROM contact_text"""
+        f"""SELECT *, question AS attempt, question AS reply, question AS last FROM (
+              SELECT conv_id AS id, role AS actor, regexp_replace(text, '{_MAIL}', '[EMAIL]', 'g') AS question, turn
+              FROM conversations
+              UNION ALL SELECT id, 'user', {CLEAN_CONTACT_TEXT}, 0 FROM contact_text)"""
     ),
     "build_docs": f"""
         WITH c AS ({duck(PART_CATALOG)})
