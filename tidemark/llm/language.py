@@ -77,8 +77,11 @@ class Automata:
         self.width = len(seen) + 1
         tables = [suffix_automaton(texts[k], self._padded()) for k in self.langs]
         starts = np.cumsum([0, *(len(t) for t in tables[:-1])])
-        # One table for all: states of a language are shifted by those before it.
-        self.moves = np.concatenate([np.where(t >= 0, t + s, -1) for t, s in zip(tables, starts)]).astype(np.int32)
+        # One table for all: states of a language are shifted by those before it. The last state leads nowhere; a phrase that
+        # no suffix matches is there.
+        nowhere = np.full((1, self.width), -1, dtype=np.int32)
+        shifted = [np.where(t >= 0, t + s, -1) for t, s in zip(tables, starts)]
+        self.moves = np.concatenate([*shifted, nowhere]).astype(np.int32)
         self.roots = starts.astype(np.int32)
 
     def _padded(self) -> np.ndarray:
@@ -110,12 +113,12 @@ class Automata:
     def _parse(self, steps: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """``steps``: symbols by place and lane, lanes from the longest down."""
         flat, width, k = self.moves.reshape(-1), self.width, len(self.roots)
-        state = np.repeat(self.roots[:, None], len(sizes), axis=1)
-        count = np.ones((k, len(sizes)), dtype=np.int32)
-        # first[lang, symbol]: the state after a phrase of that symbol alone, or the root.
+        nowhere = len(self.moves) - 1
+        state = np.full((k, len(sizes)), nowhere, dtype=np.int32)
+        count = np.zeros((k, len(sizes)), dtype=np.int32)
+        # first[lang, symbol]: the state after a phrase of that symbol alone.
         first = self.moves[self.roots]
-        known = first >= 0
-        first = np.where(known, first, self.roots[:, None]).astype(np.int32)
+        first = np.where(first >= 0, first, nowhere).astype(np.int32)
         active = len(sizes)
         for t in range(len(steps)):
             while sizes[active - 1] <= t:

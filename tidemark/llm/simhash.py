@@ -142,5 +142,5 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Only ids travel to the decision; texts are read again and met by id.
     """
     groups = near_duplicates(docs, id_col, text_col)
-    keep = groups.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_keep")).distinct()
-    return docs.join(keep, F.col(id_col).eqNullSafe(F.col("_keep")), "left_semi")
+    keep = groups.filter(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_kept")).distinct()
+    return docs.join(keep, docs[id_col].eqNullSafe(keep["_kept"]), "left_semi")

@@ -192,8 +192,9 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
     share = min(1.0, LABELLED / max(1, known.count()))
     some = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     # About LABELLED rows of two numbers: below a megabyte whatever the input.
-    return docs.join(F.broadcast(some), F.col(id_col) == F.col("_id")).select(
-        F.coalesce(text_col, F.lit("")).alias("text"), "toxic", F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(2)).alias("fold")
+    own = docs.select(F.col(id_col).alias("_own"), F.coalesce(text_col, F.lit("")).alias("text"))
+    return own.join(F.broadcast(some), F.col("_own") == F.col("_id")).select(
+        "text", "toxic", F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(2)).alias("fold")
     )
 
 
