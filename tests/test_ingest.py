@@ -208,3 +208,61 @@ def test_external_table_counts_partitions(spark, tmp_path):
     assert lake.register_external_table(spark, name, path, TX) == 4
     assert spark.table(name).count() == 200
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_drift_stops_the_run_before_a_write(spark, tmp_path):
+    tx, lake = transactions(spark), ingest.Lake(spark, str(tmp_path))
+    for drifted in (tx.withColumn("amount_paise", F.col("amount_paise").cast("double")), tx.withColumn("note", F.lit("x"))):
+        with pytest.raises(DataQualityError, match="schema_drift"):
+            ingest.incremental_extract(drifted, "transactions", lake, ingest.EPOCH, DAY0 + timedelta(days=9))
+    assert os.listdir(tmp_path) == []
+
+
+def test_rows_without_a_creation_time_are_reported(spark, tmp_path):
+    tx, lake = transactions(spark), ingest.Lake(spark, str(tmp_path))
+    bad = tx.withColumn("created_at", F.when(F.col("txn_id") != 5, F.col("created_at")))
+    with pytest.raises(DataQualityError, match="created_at"):
+        ingest.incremental_extract(bad, "transactions", lake, ingest.EPOCH, DAY0 + timedelta(days=9))
+
+
+def test_a_late_row_adds_an_interval_and_not_the_years_between():
+    days = [f"2026-08-{d:02d}" for d in (20, 21, 22)]
+    assert ingest.intervals(["2023-01-05", *days]) == [
+        (datetime(2023, 1, 5), datetime(2023, 1, 5)),
+        (datetime(2026, 8, 20), datetime(2026, 8, 22)),
+    ]
+    many = [(datetime(2020, 1, 1) + timedelta(days=2 * i)).date().isoformat() for i in range(500)]
+    merged = ingest.intervals(many)
+    assert len(merged) == ingest.MAX_INTERVALS
+    assert all(any(a <= datetime.fromisoformat(d) <= b for a, b in merged) for d in many)
+
+
+def test_intervals_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "source")
+    tx = transactions(spark)
+    old = tx.limit(1).withColumn("created_at", F.lit(datetime(2023, 1, 5)).cast("timestamp_ntz"))
+    tx.unionByName(old.withColumn("txn_id", F.lit(99_999).cast("bigint"))).write.parquet(path)
+    source, seen = spark.read.parquet(path), []
+    lake = ingest.Lake(spark, str(tmp_path / "lake"))
+    real = ingest.rebuild_partitions
+    ingest.rebuild_partitions = lambda s, c, t: seen.append(s) or real(s, c, t)
+    try:
+        ingest.incremental_extract(source, "transactions", lake, ingest.EPOCH, DAY0 + timedelta(days=9))
+    finally:
+        ingest.rebuild_partitions = real
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    pushed = plan[plan.index("PushedFilters") :]
+    assert "Or(And(" in pushed and "2023-01-06" in pushed  # the first interval ends there
+    assert lake.raw("transactions").filter("dt = '2023-01-05'").count() == 1
+
+
+def test_state_is_one_set_of_files_per_table(spark, tmp_path):
+    lake = ingest.Lake(spark, str(tmp_path))
+    rows = [("t", f"2026-08-{d:02d}", d, 1, 10, "h") for d in range(1, 29)]
+    schema = "table_name string, dt string, rows bigint, files bigint, bytes bigint, content_hash string"
+    lake.save_manifest(spark.createDataFrame(rows, schema))
+    lake.save_manifest(spark.createDataFrame([("t", "2026-08-03", 77, 1, 10, "h"), ("u", "2026-08-03", 1, 1, 1, "h")], schema))
+    assert {r["dt"]: r["rows"] for r in lake.manifest("t").collect()} == {r[1]: r[2] for r in rows} | {"2026-08-03": 77}
+    assert lake.manifest("u").count() == 1
+    files = [f for _, _, names in os.walk(lake.manifest_path) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 4

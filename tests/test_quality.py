@@ -2,12 +2,15 @@ from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tests.helpers import bag, transactions
 from tidemark.operators import quality, reconcile
 from tidemark.operators.quality import DataQualityError
+from tidemark.sources import catalog
 
 DAY = "2026-08-21"
+NOW = datetime(2026, 8, 24)
 
 
 @pytest.fixture(scope="module")
@@ -42,13 +45,13 @@ def test_null_key_before_duplicate_key(tx):
     lake = tx.withColumn("txn_id", key_where(F.col("txn_id") == 60, F.lit(None)))
     found, failures = verdict(tx, lake)
     assert failures == [(DAY, "not_null")]
-    assert found.first()["detail"] == "column 'txn_id' has 1 NULL value(s) of 50 rows"
+    assert found.first()["detail"] == "txn_id is missing in 1 of 50 rows"
 
 
 def test_duplicate_key(tx):
     found, failures = verdict(tx, tx.withColumn("txn_id", key_where(F.col("txn_id") == 60, F.lit(61))))
     assert failures == [(DAY, "unique_key")]
-    assert found.first()["detail"] == "key 'txn_id' has 1 duplicate value(s) among 50 rows"
+    assert found.first()["detail"] == "txn_id repeats itself 1 times in 50 rows"
 
 
 def test_missing_partition(tx):
@@ -59,14 +62,14 @@ def test_missing_partition(tx):
 def test_null_foreign_key_names_its_column(tx):
     lake = tx.withColumn("merchant_id", F.when(F.col("txn_id") > 55, F.col("merchant_id")))
     found, _ = verdict(tx, lake)
-    assert "column 'merchant_id' has 50 NULL" in found.filter(F.col("dt") == "2026-08-20").first()["detail"]
+    assert "merchant_id is missing in 50 of" in found.filter(F.col("dt") == "2026-08-20").first()["detail"]
 
 
 def test_row_count_has_a_signed_difference(tx):
     short = tx.filter((F.col("dt") != DAY) | (F.col("txn_id") > 54))
     assert bag(quality.row_count(tx, short)) == [(DAY, 50, 45, -5)]
     quality.gate(quality.row_count_violations(quality.row_count(tx, tx), "transactions"))
-    with pytest.raises(DataQualityError, match="diff -5"):
+    with pytest.raises(DataQualityError, match="in the lake 45: -5"):
         quality.gate(quality.row_count_violations(quality.row_count(tx, short), "transactions"))
 
 
@@ -79,7 +82,7 @@ def test_not_null_counts_per_column(spark):
     df = spark.createDataFrame([("d", 1, None), ("d", None, None), ("e", 1, "x")], "dt string, a int, b string")
     assert bag(quality.not_null(df, ["a", "b"])) == [("d", 2, "a", 1), ("d", 2, "b", 2)]
     text = quality.not_null_violations(quality.not_null(df, ["b"]), "t").first()["detail"]
-    assert text == "column 'b' has 2 NULL value(s) of 2 rows"
+    assert text == "b is missing in 2 of 2 rows"
 
 
 def test_expected_dates(spark):
@@ -181,3 +184,26 @@ def test_report_has_a_row_per_table_and_check(spark):
         "check_name string, table_name string, dt string, detail string",
     )
     assert bag(quality.report(checks, bad)) == [("a", "not_null", "pass", "ok"), ("a", "row_count", "fail", "x")]
+
+
+def test_families_go_by_class():
+    kinds = {"decimal(18,0)": "float", "smallint": "int", "tinyint": "int", "varchar(10)": "str", "char(3)": "str", "float": "float"}
+    for ddl, family in (kinds | {"timestamp": "ts", "timestamp_ntz": "ts", "binary": "binary"}).items():
+        assert catalog.family(T.StructType.fromDDL(f"c {ddl}")["c"].dataType) == family, ddl
+
+
+def test_latest_report_looks_at_the_newest_day_only(spark, tx):
+    newest = tx.agg(F.max("dt")).first()[0]
+    old_fault = tx.filter(~((F.col("dt") < newest) & (F.col("txn_id") % 7 == 0)))
+    maxima = spark.createDataFrame([("transactions", NOW)], "table_name string, source_max_updated timestamp_ntz")
+    marks = spark.createDataFrame([("transactions", NOW)], "table_name string, high_watermark timestamp_ntz")
+
+    def status(lake, source=tx):
+        out = quality.latest_report({"transactions": (source, lake)}, marks, maxima, NOW).collect()
+        return {r["check_name"]: r["status"] for r in out if r["status"] != "pass"}
+
+    assert status(old_fault) == {}
+    assert status(tx.filter(F.col("dt") < newest)) == {"partition_exists": "fail"}
+    assert status(tx.filter(F.col("txn_id") % 7 != 0)) == {"row_count": "fail"}
+    assert status(tx, tx.withColumn("amount_paise", F.col("amount_paise").cast("double"))) == {"schema_drift": "fail"}
+    assert set(status(tx.drop("txn_id")).values()) == {"error"}

@@ -1,6 +1,8 @@
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,22 +29,37 @@ def brute_force(queries, docs, n):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("bound", [100, 4], ids=["queries sent to the documents", "blocks"])
-def test_vector_search_is_exact(spark, bound, monkeypatch):
-    monkeypatch.setattr(retrieval, "_BLOCK_DOCS", 50)
+@pytest.mark.parametrize("slice_bytes", [32 << 20, 200], ids=["one slice", "several slices"])
+def test_vector_search_is_exact(spark, slice_bytes, monkeypatch):
+    monkeypatch.setattr(retrieval, "QUERY_BYTES", slice_bytes)
     q_rows, q = vectors(spark, 15, 1, "query")
     d_rows, d = vectors(spark, 200, 2, "doc")
-    found = retrieval.vector_topk_docs(q, d, 6, max_queries=bound)
+    found = retrieval.vector_topk_docs(q, d, 6)
     assert bag(found.select("query_id", "doc_id", "doc_group", "rank")) == brute_force(q_rows, d_rows, 6)
 
 
+def test_many_queries_stay_fast_and_small():
+    """4,096 queries against 10,000 documents: one task's work."""
+    rng = np.random.default_rng(1)
+    queries = retrieval._unit_rows(rng.normal(size=(4096, 64)))
+    docs = pd.DataFrame({"doc_id": np.arange(10_000), "doc_group": "g", "embedding": list(rng.normal(size=(10_000, 64)))})
+    run = retrieval._score_against(np.arange(4096), queries, 10)
+    tracemalloc.start()
+    (out,) = run(iter([docs]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == 40_960 and peak < 300 << 20
+    best = (retrieval._unit_rows(docs["embedding"]) @ queries[7]).round(9)
+    assert out[out["query_id"] == 7]["doc_id"].tolist() == np.lexsort((docs["doc_id"], -best))[:10].tolist()
+
+
 def test_documents_are_not_shuffled_for_few_queries(spark):
     _, q = vectors(spark, 3, 1, "query")
     d = spark.range(100).select(
         F.col("id").alias("doc_id"), F.lit("g").alias("doc_group"), F.array(*[F.rand(i) for i in range(8)]).alias("embedding")
     )
     plan = retrieval.vector_topk_docs(q, d, 5)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and "WindowGroupLimit" in plan
+    assert plan.count("Exchange hashpartitioning") == 2 and "WindowGroupLimit" in plan
 
 
 def test_groups_score_as_their_best_document(spark):

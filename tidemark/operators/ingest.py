@@ -4,17 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import day, row_hash
-from tidemark.operators.quality import gate, partition_gate
+from tidemark.operators.quality import DataQualityError, gate, partition_gate, schema_gate
 from tidemark.session import checkpointed, small_frame
 from tidemark.sources import catalog
 from tidemark.sources.lake import read_partitioned, write_partition_overwrite
-from tidemark.sources.oltp import in_window
+from tidemark.sources.oltp import in_range, in_window
 
 EPOCH = datetime(1970, 1, 1)
 
@@ -176,6 +177,24 @@ def updates_in_window(source: DataFrame, lo: datetime, hi: datetime) -> DataFram
     )
 
 
+MAX_INTERVALS = 64  # ranges in one pushed filter; the narrowest gaps between more are read along
+
+
+def intervals(dates: list[str]) -> list[tuple[datetime, datetime]]:
+    """Sorted dates as (first, last) of their runs of days, so that days between late ones are not read."""
+    out: list[list[datetime]] = []
+    for day_ in map(datetime.fromisoformat, dates):
+        if out and day_ - out[-1][1] <= timedelta(days=1):
+            out[-1][1] = day_
+        else:
+            out.append([day_, day_])
+    while len(out) > MAX_INTERVALS:
+        gaps = [b[0] - a[1] for a, b in zip(out, out[1:])]
+        k = gaps.index(min(gaps))
+        out[k : k + 2] = [[out[k][0], out[k + 1][1]]]
+    return [(a, b) for a, b in out]
+
+
 @dataclass(frozen=True)
 class Lake:
     """Paths of one lake: raw tables, their manifests and their watermarks."""
@@ -259,22 +278,34 @@ def incremental_extract(
 ) -> DataFrame:
     """Bring the lake up to date for ``[lo, hi)`` and return the manifest rows of the touched partitions.
 
-    The watermark moves only after the quality gate has passed, and not for a run restricted to given
+    A source whose schema has drifted from the catalog, or that has changed rows without a creation time, stops the run
+    before anything is written (unless ``check`` is off). The watermark moves only after the quality gate has passed, and not for a run restricted to given
     partitions, which says nothing about the window. Every step overwrites, so a failed or repeated run
     is repaired by running it again.
     """
     spark = lake.spark
+    if check:
+        drift = schema_gate(source, table)
+        if drift:
+            raise DataQualityError(drift)
     if only_partitions:
         dates = sorted(set(only_partitions))
     else:
         # The list of changed dates is the one thing the driver keeps: it is bounded by the calendar and
         # turns the later reads into directory-pruned scans.
-        dates = sorted(r.dt for r in changed_partitions(source, lo, hi).collect() if r.dt is not None)
+        found = [r.dt for r in changed_partitions(source, lo, hi).collect()]
+        dates = sorted(d for d in found if d is not None)
+        if check and len(dates) < len(found):
+            raise DataQualityError([("not_null", table, None, "changed rows without created_at belong to no day")])
     if dates:
         changed = small_frame(spark, [(d,) for d in dates], "dt string")
-        # The enclosing range reaches the scan (row-group or index skipping); the semi-join is exact.
-        first, last = datetime.fromisoformat(dates[0]), datetime.fromisoformat(dates[-1])
-        source = in_window(source, first, last + timedelta(days=1), "created_at")
+        # The intervals reach the scan (row-group or index skipping); the semi-join is exact.
+        source = source.filter(
+            reduce(
+                lambda a, b: a | b,
+                [in_range(F.col("created_at"), first, last + timedelta(days=1)) for first, last in intervals(dates)],
+            )
+        )
         rebuilt = rebuild_partitions(source, changed, table)
         write_partition_overwrite(rebuilt, lake.raw_path(table), "dt", [catalog.table(table).pk])
         written = lake.raw(table).filter(F.col("dt").isin(dates))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,7 +65,7 @@ def row_count(source: DataFrame, lake: DataFrame) -> DataFrame:
 
 def row_count_violations(counts: DataFrame, table: str) -> DataFrame:
     detail = F.format_string(
-        "source has %d rows but the lake partition has %d (diff %+d)", "source_rows", "lake_rows", "diff"
+        "rows at the source %d, in the lake %d: %+d", "source_rows", "lake_rows", "diff"
     )
     return _violations(counts, "row_count", table, detail)
 
@@ -79,7 +80,7 @@ def not_null(lake: DataFrame, columns: list[str]) -> DataFrame:
 
 def not_null_violations(nulls: DataFrame, table: str) -> DataFrame:
     detail = F.format_string(
-        "column '%s' has %d NULL value(s) of %d rows", "column_name", "null_rows", "rows"
+        "%s is missing in %d of %d rows", "column_name", "null_rows", "rows"
     )
     return _violations(nulls, "not_null", table, detail)
 
@@ -103,7 +104,7 @@ def unique_key(lake: DataFrame, keys: list[str], partition: str = "dt") -> DataF
 
 
 def unique_key_violations(duplicates: DataFrame, table: str, key: str) -> DataFrame:
-    detail = F.format_string(f"key '{key}' has %d duplicate value(s) among %d rows", "duplicates", "rows")
+    detail = F.format_string(f"{key} repeats itself %d times in %d rows", "duplicates", "rows")
     return _violations(duplicates, "unique_key", table, detail)
 
 
@@ -145,9 +146,9 @@ def freshness_violations(verdicts: DataFrame) -> DataFrame:
     hour = "yyyy-MM-dd HH:mm"
     mark, ahead = F.date_format("high_watermark", hour), F.date_format("source_max_updated", hour)
     detail = (
-        F.when(F.col("verdict") == "never_loaded", "no watermark recorded: the table was never loaded")
-        .when(F.col("verdict") == "watermark_behind_now", F.concat(F.lit("watermark is old: "), mark))
-        .otherwise(F.concat(F.lit("source has changes up to "), ahead, F.lit(", watermark is "), mark))
+        F.when(F.col("verdict") == "never_loaded", "nothing was loaded yet")
+        .when(F.col("verdict") == "watermark_behind_now", F.concat(F.lit("last load reached "), mark))
+        .otherwise(F.concat(F.lit("changes until "), ahead, F.lit(" were loaded until "), mark))
     )
     return verdicts.filter(F.col("verdict") != "fresh").select(
         F.lit("freshness").alias("check_name"),
@@ -180,7 +181,7 @@ def freshness_status(
 def schema_columns(spark: SparkSession, schemas: dict[str, T.StructType]) -> DataFrame:
     """``(table_name, column_name, family)`` of live schemas; schemas are driver metadata, not data."""
     rows = [
-        (name, f.name, catalog.SPARK_FAMILY.get(f.dataType.simpleString(), f.dataType.simpleString()))
+        (name, f.name, catalog.family(f.dataType))
         for name, schema in schemas.items()
         for f in schema.fields
     ]
@@ -210,13 +211,24 @@ def schema_drift(live: DataFrame, declared: DataFrame) -> DataFrame:
     return joined.withColumn("drift", drift).filter(F.col("drift").isNotNull())
 
 
+def schema_gate(source: DataFrame, table: str) -> list[tuple[str, str, None, str]]:
+    """Violations of one live schema, from driver metadata alone: no job runs. The partition column may be there or not."""
+    live = {f.name: catalog.family(f.dataType) for f in source.schema.fields if f.name != "dt"}
+    declared = {c.name: catalog.DECLARED_FAMILY[c.type] for c in catalog.table(table).columns if c.name != "dt"}
+    found = []
+    for name in sorted(live.keys() | declared.keys()):
+        if live.get(name) != declared.get(name):
+            text = f"{name}: {declared.get(name, 'not declared')} expected, {live.get(name, 'no such column')} found"
+            found.append(("schema_drift", table, None, text))
+    return found
+
+
 def schema_drift_violations(drift: DataFrame) -> DataFrame:
     detail = F.format_string(
-        "column '%s' %s (live %s, declared %s)",
+        "%s: %s expected, %s found",
         "column_name",
-        "drift",
-        F.coalesce("live_family", F.lit("-")),
-        F.coalesce("declared_family", F.lit("-")),
+        F.coalesce("declared_family", F.lit("not declared")),
+        F.coalesce("live_family", F.lit("no such column")),
     )
     return drift.select(
         F.lit("schema_drift").alias("check_name"),
@@ -258,16 +270,16 @@ def partition_gate(
     null_detail, any_null = F.lit(None).cast("string"), F.lit(False)
     for c in reversed(columns):
         nulls = F.col(f"_null_{c}")
-        text = F.format_string(f"column '{c}' has %d NULL value(s) of %d rows", nulls, lake_rows)
+        text = F.format_string(f"{c} is missing in %d of %d rows", nulls, lake_rows)
         null_detail = F.when(nulls > 0, text).otherwise(null_detail)
         any_null = any_null | (nulls > 0)
     tests = [
-        ("partition_exists", lake_rows.isNull(), F.lit("expected partition is missing from the lake")),
+        ("partition_exists", lake_rows.isNull(), F.lit("the lake has no such day")),
         (
             "row_count",
             source_rows != lake_rows,
             F.format_string(
-                "source has %d rows but the lake partition has %d (diff %+d)",
+                "rows at the source %d, in the lake %d: %+d",
                 source_rows,
                 lake_rows,
                 lake_rows - source_rows,
@@ -278,7 +290,7 @@ def partition_gate(
             "unique_key",
             lake_rows != keys,
             F.format_string(
-                f"key '{spec.pk}' has %d duplicate value(s) among %d rows", lake_rows - keys, lake_rows
+                f"{spec.pk} repeats itself %d times in %d rows", lake_rows - keys, lake_rows
             ),
         ),
     ]
@@ -315,3 +327,43 @@ def latest_partition(df: DataFrame) -> DataFrame:
     return df.join(F.broadcast(newest), "dt", "left_semi")
 
 
+CHECKS = ("schema_drift", "partition_exists", "row_count", "not_null", "unique_key", "freshness")
+
+
+def latest_report(
+    tables: dict[str, tuple[DataFrame, DataFrame]], watermarks: DataFrame, source_max: DataFrame, now: datetime
+) -> DataFrame:
+    """``table_name, check_name, status, message`` for every check on the newest day of every table.
+
+    ``tables``: source and lake by name. The newest day is the source's, fetched as one row, so that both reads are pruned
+    to it. Status ``error``: the check itself could not run; the message names the kind of failure and nothing of the data.
+    Per table one verdict row comes to the driver.
+    """
+    spark = source_max.sparkSession
+    stale = {r["table_name"]: r["detail"] for r in freshness_violations(freshness(watermarks, source_max, now)).collect()}
+    rows = []
+    for name, (source, lake) in tables.items():
+        found: dict[str, str] = {}
+        broken: str | None = None
+        drift = schema_gate(source, name)
+        try:
+            newest = source.agg(F.max(day("created_at")).alias("dt")).first()["dt"]
+            if newest is not None:
+                start = F.lit(newest).cast("timestamp_ntz")
+                recent = source.filter((F.col("created_at") >= start) & (F.col("created_at") < F.timestamp_add("DAY", F.lit(1), start)))
+                expected = small_frame(spark, [(newest,)], "dt string")
+                verdicts = partition_gate(recent, lake.filter(F.col("dt") == newest), name, expected).collect()
+                found = {r["failed_check"]: r["detail"] for r in verdicts if r["failed_check"]}
+        except PySparkException as error:
+            broken = error.getCondition() or type(error).__name__
+        for check in CHECKS:
+            if check == "schema_drift":
+                status, message = ("fail", "; ".join(d[3] for d in drift)) if drift else ("pass", "ok")
+            elif check == "freshness":
+                status, message = ("fail", stale[name]) if name in stale else ("pass", "ok")
+            elif broken:
+                status, message = "error", broken
+            else:
+                status, message = ("fail", found[check]) if check in found else ("pass", "ok")
+            rows.append((name, check, status, message))
+    return small_frame(spark, rows, "table_name string, check_name string, status string, message string")

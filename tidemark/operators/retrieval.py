@@ -11,13 +11,13 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.session import small_frame
+from tidemark.session import checkpointed, small_frame
 
 # The task functions below travel with their code, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MAX_QUERIES = 4096  # with embeddings of 1,000 numbers, 32 MB of query vectors per task
-_BLOCK_DOCS = 50_000  # documents per block on the path for many queries
+QUERY_BYTES = 32 << 20  # query vectors that are sent to the tasks at a time
+SCORE_BYTES = 16 << 20  # one matrix of scores inside a task
 _SCORE_DIGITS = 9  # ranks compare scores at this precision, so equal vectors tie exactly
 
 
@@ -70,102 +70,86 @@ def _unit_rows(vectors) -> np.ndarray:
     return np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0)
 
 
-def _best(query_ids: np.ndarray, doc_ids: np.ndarray, groups: np.ndarray, scores: np.ndarray, n: int):
-    """The ``n`` best documents of every query, scores in a (document, query) matrix."""
-    frames = []
-    for column, query_id in enumerate(query_ids):
-        order = np.lexsort((doc_ids, -scores[:, column]))[:n]
-        frames.append(
-            pd.DataFrame(
-                {
-                    "query_id": query_id,
-                    "doc_id": doc_ids[order],
-                    "doc_group": groups[order],
-                    "score": scores[order, column],
-                }
-            )
-        )
-    return pd.concat(frames, ignore_index=True)
+_RESULT = "query_id bigint, doc_id bigint, doc_group string, score double"
+_COLUMNS = ["query_id", "doc_id", "doc_group", "score"]
 
 
-_RESULT = "query_id bigint, doc_id bigint, doc_group string, score double"
+def _first(rows: pd.DataFrame, n: int) -> pd.DataFrame:
+    """The ``n`` best rows of every query."""
+    rows = rows.iloc[np.lexsort((rows["doc_id"], -rows["score"], rows["query_id"]))]
+    return rows[rows.groupby("query_id", sort=False).cumcount() < n]
 
 
 def _score_against(query_ids: np.ndarray, queries: np.ndarray, n: int):
-    """Task function for documents: keeps the running best ``n`` per query and emits only those."""
+    """Task function for documents: keeps the running best ``n`` per query and emits only those.
+
+    Scores are computed for slices of documents and queries whose matrix stays within ``SCORE_BYTES``.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept = None
+        kept = pd.DataFrame(columns=_COLUMNS)
         for batch in batches:
-            if len(batch) == 0:
-                continue
-            scores = np.round(_unit_rows(batch["embedding"]) @ queries.T, _SCORE_DIGITS)
-            best = _best(
-                query_ids, batch["doc_id"].to_numpy(), batch["doc_group"].to_numpy(dtype=object), scores, n
-            )
-            both = best if kept is None else pd.concat([kept, best], ignore_index=True)
-            both = both.sort_values(["query_id", "score", "doc_id"], ascending=[True, False, True])
-            kept = both.groupby("query_id", sort=False).head(n)
-        if kept is not None:
+            for at in range(0, len(batch), 4096):
+                docs = batch.iloc[at : at + 4096]
+                matrix, found = _unit_rows(docs["embedding"]), []
+                width = max(1, SCORE_BYTES // (8 * len(docs)))
+                for q in range(0, len(query_ids), width):
+                    scores = np.round(matrix @ queries[q : q + width].T, _SCORE_DIGITS)
+                    # The n-th best score of a query; what ties with it stays until ids decide.
+                    least = np.partition(scores, max(0, len(docs) - n), axis=0)[max(0, len(docs) - n)]
+                    doc, query = np.nonzero(scores >= least)
+                    rows = pd.DataFrame(
+                        {
+                            "query_id": query_ids[q + query],
+                            "doc_id": docs["doc_id"].to_numpy()[doc],
+                            "doc_group": docs["doc_group"].to_numpy(dtype=object)[doc],
+                            "score": scores[doc, query],
+                        }
+                    )
+                    found.append(_first(rows, n))
+                kept = _first(pd.concat([*([kept] if len(kept) else []), *found], ignore_index=True), n)
+        if len(kept):
             yield kept
 
     return run
 
 
-def _score_blocks(n: int):
-    def run(docs: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
-        if len(docs) == 0 or len(queries) == 0:
-            return pd.DataFrame(columns=["query_id", "doc_id", "doc_group", "score"])
-        scores = np.round(_unit_rows(docs["embedding"]) @ _unit_rows(queries["embedding"]).T, _SCORE_DIGITS)
-        return _best(
-            queries["query_id"].to_numpy(),
-            docs["doc_id"].to_numpy(),
-            docs["doc_group"].to_numpy(dtype=object),
-            scores,
-            n,
-        )
+def _query_slices(queries: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Query ids and unit vectors, ``QUERY_BYTES`` at a time; the driver holds one slice."""
+    ids, vectors, held = [], [], 0
+    for query_id, vector in queries.toLocalIterator():
+        ids.append(query_id)
+        vectors.append(vector)
+        held += 8 * len(vector)
+        if held >= QUERY_BYTES:
+            yield np.array(ids, dtype=np.int64), _unit_rows(vectors)
+            ids, vectors, held = [], [], 0
+    if ids:
+        yield np.array(ids, dtype=np.int64), _unit_rows(vectors)
 
-    return run
 
-
-def vector_topk_docs(
-    queries: DataFrame, docs: DataFrame, n_docs: int, max_queries: int = MAX_QUERIES
-) -> DataFrame:
+def vector_topk_docs(queries: DataFrame, docs: DataFrame, n_docs: int) -> DataFrame:
     """The ``n_docs`` nearest documents of each query by cosine, exact, ties by document id.
 
     ``queries``: ``query_id, embedding``. ``docs``: ``doc_id, doc_group, embedding``.
 
-    Few queries are sent to where the documents are: documents are scanned once, never shuffled, and
-    each task returns its best ``n_docs`` per query. Their number is checked first. Above the bound both
-    sides are cut into blocks of bounded size by a hash of their ids, and each pair of blocks is one
-    task's matrix product, so any number of queries works and no task holds more than two blocks.
+    Queries go to where the documents are, a slice of bounded size at a time: documents are scanned once per slice and
+    never shuffled, and each task returns its best ``n_docs`` per query. These are ranked in two steps, so that the tasks'
+    answers to one query do not all meet at once.
     """
     docs = docs.select("doc_id", F.col("doc_group").cast("string").alias("doc_group"), "embedding")
     docs = docs.filter(F.col("embedding").isNotNull())
     queries = queries.select("query_id", "embedding").filter(F.col("embedding").isNotNull())
-    probe = queries.limit(max_queries + 1).collect()
-    if not probe:
+    partial = None
+    for ids, matrix in _query_slices(queries):
+        part = docs.mapInPandas(_score_against(ids, matrix, n_docs), _RESULT)
+        # A slice is answered before the next one is fetched.
+        partial = part if partial is None else checkpointed(partial.unionByName(part))
+    if partial is None:
         return small_frame(docs.sparkSession, [], _RESULT + ", rank int")
-    if len(probe) <= max_queries:
-        ids = np.array([r["query_id"] for r in probe], dtype=np.int64)
-        matrix = _unit_rows([r["embedding"] for r in probe])
-        partial = docs.mapInPandas(_score_against(ids, matrix, n_docs), _RESULT)
-    else:
-        doc_blocks = max(1, -(-docs.count() // _BLOCK_DOCS))
-        query_blocks = -(-queries.count() // max_queries)
-
-        def block(key: str, blocks: int):
-            return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-
-        def every(blocks: int):
-            return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-
-        d = docs.withColumn("db", block("doc_id", doc_blocks)).withColumn("qb", every(query_blocks))
-        q = queries.withColumn("qb", block("query_id", query_blocks)).withColumn("db", every(doc_blocks))
-        partial = (
-            d.groupBy("db", "qb").cogroup(q.groupBy("db", "qb")).applyInPandas(_score_blocks(n_docs), _RESULT)
-        )
-    return _ranked(partial, ["query_id"], ["doc_id"], n_docs)
+    some = F.pmod(F.xxhash64("doc_id"), F.lit(16))
+    first = _ranked(partial.withColumn("_some", some), ["query_id", "_some"], ["doc_id"], n_docs)
+    return _ranked(first.drop("_some", "rank"), ["query_id"], ["doc_id"], n_docs)
 
 
 def _ranked(df: DataFrame, by: list[str], tie: list[str], k: int) -> DataFrame:

@@ -17,15 +17,19 @@ SPARK_TYPES = {
 }
 
 # Type families used for drift detection: width changes inside a family are not drift.
-SPARK_FAMILY = {
-    "bigint": "int",
-    "int": "int",
-    "string": "str",
-    "timestamp_ntz": "ts",
-    "timestamp": "ts",
-    "double": "float",
-    "float": "float",
-}
+_FAMILIES = (
+    (T.IntegralType, "int"),
+    ((T.FractionalType, T.DecimalType), "float"),
+    ((T.StringType, T.VarcharType, T.CharType), "str"),
+    ((T.TimestampType, T.TimestampNTZType), "ts"),
+)
+
+
+def family(kind: T.DataType) -> str:
+    """Type family of a live column, by class and not by spelling."""
+    return next((name for types, name in _FAMILIES if isinstance(kind, types)), kind.simpleString())
+
+
 DECLARED_FAMILY = {"bigint": "int", "integer": "int", "varchar": "str", "timestamp": "ts", "double": "float"}
 
 

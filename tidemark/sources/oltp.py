@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -39,7 +39,11 @@ def read_source(
     return spark.read.format("jdbc").options(**options).load()
 
 
-def in_window(df: DataFrame, lo: datetime, hi: datetime, column: str = "updated_at") -> DataFrame:
-    """Rows of the half-open window ``[lo, hi)``; a plain range, so it is pushed into the source."""
+def in_range(column: Column, lo: datetime, hi: datetime) -> Column:
+    """``column`` in the half-open window ``[lo, hi)``; a plain range, so it is pushed into the source."""
     ntz = "timestamp_ntz"
-    return df.filter((F.col(column) >= F.lit(lo).cast(ntz)) & (F.col(column) < F.lit(hi).cast(ntz)))
+    return (column >= F.lit(lo).cast(ntz)) & (column < F.lit(hi).cast(ntz))
+
+
+def in_window(df: DataFrame, lo: datetime, hi: datetime, column: str = "updated_at") -> DataFrame:
+    return df.filter(in_range(F.col(column), lo, hi))

@@ -142,24 +142,23 @@ def curated_vs_source(spark, sf_dir):
 
 
 def dq_report(spark, sf_dir):
-    """Every check on every source table; the transactions carry the injected faults."""
+    """Every check on the newest day of every source table.
+
+    The transactions carry the injected faults, the source of the merchants has a retyped and an added column, and the lake
+    of the users has lost its key, so that its checks cannot run.
+    """
     f = payments(spark, sf_dir)
     tx = event_transactions(spark, sf_dir)
+    drifted = f.merchants.withColumns({"merchant_id": F.col("merchant_id").cast("double"), "note": F.lit("x")})
     tables = {
-        "users": (f.users, f.users),
-        "merchants": (f.merchants, f.merchants),
+        "users": (f.users, f.users.drop("user_id")),
+        "merchants": (drifted, f.merchants),
         "refunds": (f.refunds, f.refunds),
         "transactions": (tx, faulty_lake(tx)),
     }
-    found = []
-    for name, (source, lake) in tables.items():
-        verdicts = quality.partition_gate(source, lake, name).filter(F.col("failed_check").isNotNull())
-        found.append(verdicts.select(F.col("failed_check").alias("check_name"), "table_name", "dt", "detail"))
     maxima = source_maxima(spark, sf_dir)
-    found.append(quality.freshness_violations(quality.freshness(watermarks(maxima), maxima, NOW)))
-    names = ("partition_exists", "row_count", "not_null", "unique_key", "freshness")
-    checks = small_frame(spark, [(t, c) for t in tables for c in names], "table_name string, check_name string")
-    return quality.report(checks, reduce(DataFrame.unionByName, found)).select("table_name", "check_name", "status")
+    found = quality.latest_report(tables, watermarks(maxima), maxima, NOW)
+    return found.select("table_name", "check_name", "status")
 
 
 QUERIES = {
@@ -262,15 +261,12 @@ ORACLES = {
     "reconcile_recent": on_events(
         """SELECT 'transactions' AS table_name, dt, source_rows, lake_rows, failed_check,
              CASE failed_check
-               WHEN 'row_count' THEN 'source has ' || source_rows || ' rows but the lake partition has ' || lake_rows
-                    || ' (diff ' || CASE WHEN lake_rows > source_rows THEN '+' ELSE '' END
-                    || (lake_rows - source_rows) || ')'
-               WHEN 'not_null' THEN 'column ''' || CASE WHEN null_txn > 0 THEN 'txn_id' ELSE 'payer_user_id' END
-                    || ''' has ' || CASE WHEN null_txn > 0 THEN null_txn ELSE null_payer END
-                    || ' NULL value(s) of ' || lake_rows || ' rows'
-               WHEN 'unique_key' THEN 'key ''txn_id'' has ' || (lake_rows - k) || ' duplicate value(s) among '
-                    || lake_rows || ' rows'
-               ELSE 'expected partition is missing from the lake' END AS detail
+               WHEN 'row_count' THEN 'rows at the source ' || source_rows || ', in the lake ' || lake_rows || ': '
+                    || CASE WHEN lake_rows > source_rows THEN '+' ELSE '' END || (lake_rows - source_rows)
+               WHEN 'not_null' THEN CASE WHEN null_txn > 0 THEN 'txn_id' ELSE 'payer_user_id' END || ' is missing in '
+                    || CASE WHEN null_txn > 0 THEN null_txn ELSE null_payer END || ' of ' || lake_rows || ' rows'
+               WHEN 'unique_key' THEN 'txn_id repeats itself ' || (lake_rows - k) || ' times in ' || lake_rows || ' rows'
+               ELSE 'the lake has no such day' END AS detail
            FROM gated
            WHERE failed_check IS NOT NULL
              AND CAST(dt AS DATE) > (SELECT max(CAST(created_at AS DATE)) FROM transactions) - 14""",
@@ -306,11 +302,15 @@ ORACLES = {
     ),
     "dq_report": on_events(
         f"""SELECT t.table_name, c.check_name,
-                   CASE WHEN c.check_name = 'freshness' AND {_FRESHNESS} <> 'fresh' THEN 'fail'
-                        WHEN t.table_name = 'transactions' AND c.check_name IN (SELECT failed_check FROM gated)
-                          THEN 'fail' ELSE 'pass' END AS status
-            FROM order_marks t CROSS JOIN (SELECT unnest(['partition_exists', 'row_count', 'not_null', 'unique_key',
-                                                           'freshness']) AS check_name) c""",
+                   CASE WHEN c.check_name = 'freshness' THEN CASE WHEN {_FRESHNESS} <> 'fresh' THEN 'fail' ELSE 'pass' END
+                        WHEN c.check_name = 'schema_drift'
+                          THEN CASE WHEN t.table_name = 'merchants' THEN 'fail' ELSE 'pass' END
+                        WHEN t.table_name = 'users' THEN 'error'
+                        WHEN t.table_name = 'transactions' AND c.check_name IN (
+                          SELECT failed_check FROM gated WHERE dt = (SELECT max(dt) FROM transactions)) THEN 'fail'
+                        ELSE 'pass' END AS status
+            FROM order_marks t CROSS JOIN (SELECT unnest(['schema_drift', 'partition_exists', 'row_count',
+                                                           'not_null', 'unique_key', 'freshness']) AS check_name) c""",
         f"""{_LAKE}, {_GATE}, order_marks AS (
               SELECT *, CASE table_name WHEN 'merchants' THEN NULL
                         WHEN 'transactions' THEN source_max_updated - INTERVAL 30 HOUR
