@@ -24,7 +24,8 @@ LEVELS = 7
 # Tokens further than this from every sign are clean; the others form the stretches that the field tags.
 REACH = 4
 LONGEST = 128
-TRAIN_STRETCHES = 20_000
+# Documents with signs that the field and the weights are fitted on, stretches of each, and distinct stretches.
+TRAIN_DOCS, TRAIN_PARTS, TRAIN_STRETCHES = 5000, 20, 2048
 REMEMBERED = 1 << 18
 
 
@@ -74,7 +75,9 @@ class Field:
     moves: np.ndarray
     start: np.ndarray
 
-    def marginals(self, rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def marginals(
+        self, rows: list[np.ndarray], weights: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Forward-backward over stretches side by side: padded levels, mask, P(toxic) by place, expected moves."""
         n, width = len(rows), max(map(len, rows))
         x = np.zeros((n, width), dtype=np.int64)
@@ -96,35 +99,56 @@ class Field:
         total = np.logaddexp.reduce(ahead[:, -1], axis=1)
         toxic = np.exp(ahead[:, :, 1] + back[:, :, 1] - total[:, None]) * mask
         pair = np.zeros((2, 2))
-        if width > 1:
+        if width > 1 and weights is not None:
             joint = (
                 ahead[:, :-1, :, None] + self.moves + (emit[:, 1:] + back[:, 1:])[:, :, None, :] - total[:, None, None, None]
             )
-            pair = (np.exp(joint) * mask[:, 1:, None, None]).sum(axis=(0, 1))
+            pair = (np.exp(joint) * (mask[:, 1:] * weights[:, None])[:, :, None, None]).sum(axis=(0, 1))
         return x, mask, toxic, pair
 
+    def tagged(self, rows: list[np.ndarray]) -> list[np.ndarray]:
+        """P(toxic) of every token of every stretch."""
+        out: list[np.ndarray] = [np.zeros(0)] * len(rows)
+        order = sorted(range(len(rows)), key=lambda i: len(rows[i]))
+        for at in range(0, len(order), 512):
+            some = order[at : at + 512]
+            toxic = self.marginals([rows[i] for i in some])[2]
+            for k, i in enumerate(some):
+                out[i] = toxic[k, : len(rows[i])]
+        return out
+
 
-def fit_field(rows: list[np.ndarray], toxic: list[bool], rounds: int = 150, decay: float = 1.0) -> Field:
-    """Maximum likelihood with a quadratic penalty. A token is labelled toxic if it is a sign in a toxic document."""
+def fit_field(stretches_: dict[tuple[bytes, bool], int], rounds: int = 120, decay: float = 1.0) -> Field:
+    """Maximum likelihood with a quadratic penalty. A token is labelled toxic if it is a sign in a toxic document.
+
+    ``stretches_``: levels of a stretch and whether its document is toxic, with how often that occurs.
+    """
     field = Field(np.zeros(LEVELS + 1), np.zeros((2, 2)), np.zeros(2))
-    if not rows:
+    if not stretches_:
         field.level[:] = -4.0
         return field
-    size = sum(map(len, rows))
+    frequent = sorted(stretches_.items(), key=lambda s: (-s[1], s[0]))[:TRAIN_STRETCHES]
+    frequent.sort(key=lambda s: (len(s[0][0]), s[0]))
+    rows = [np.frombuffer(levels, dtype=np.uint8) for (levels, _), _ in frequent]
+    weights = np.array([n for _, n in frequent], dtype=np.float64)
+    size = sum(len(r) * w for r, w in zip(rows, weights))
     names = ("level", "moves", "start")
     first = {k: np.zeros_like(getattr(field, k)) for k in names}
     second = {k: np.zeros_like(getattr(field, k)) for k in names}
-    labels = [(r > 0) & y for r, y in zip(rows, toxic)]
-    seen = np.zeros(LEVELS + 1)
-    moves, start = np.zeros((2, 2)), np.zeros(2)
-    for r, y in zip(rows, labels):
-        np.add.at(seen, r, y)
-        np.add.at(moves, (y[:-1].astype(int), y[1:].astype(int)), 1)
-        start[int(y[0])] += 1
+    seen, moves, start = np.zeros(LEVELS + 1), np.zeros((2, 2)), np.zeros(2)
+    for r, w, ((_, toxic), _) in zip(rows, weights, frequent):
+        y = ((r > 0) & toxic).astype(int)
+        np.add.at(seen, r, y * w)
+        np.add.at(moves, (y[:-1], y[1:]), w)
+        start[y[0]] += w
     for k in range(1, rounds + 1):
-        x, mask, p, pair = field.marginals(rows)
-        expected = np.bincount(x[mask], weights=p[mask], minlength=LEVELS + 1)
-        begin = np.array([len(rows) - p[:, 0].sum(), p[:, 0].sum()])
+        expected, pair, begin = np.zeros(LEVELS + 1), np.zeros((2, 2)), np.zeros(2)
+        for at in range(0, len(rows), 512):
+            w = weights[at : at + 512]
+            x, mask, p, both = field.marginals(rows[at : at + 512], w)
+            expected += np.bincount(x[mask], weights=(p * w[:, None])[mask], minlength=LEVELS + 1)
+            pair += both
+            begin += [(w * (1 - p[:, 0])).sum(), (w * p[:, 0]).sum()]
         ups = {"level": seen - expected, "moves": moves - pair, "start": start - begin}
         for name in names:
             value = getattr(field, name)
@@ -148,15 +172,7 @@ class Model:
         """Per text: its stretches and the P(toxic) of their tokens, one after the other."""
         found = [list(map(levels.__getitem__, tokens_of(t))) for t in texts]
         parts = [stretches(x) if any(x) else [] for x in found]
-        rows = [np.array(x[a : z + 1]) for x, s in zip(found, parts) for a, z in s]
-        p: list[np.ndarray] = []
-        order = sorted(range(len(rows)), key=lambda i: len(rows[i]))
-        p = [np.zeros(0)] * len(rows)
-        for at in range(0, len(order), 512):
-            some = order[at : at + 512]
-            toxic = self.field.marginals([rows[i] for i in some])[2]
-            for k, i in enumerate(some):
-                p[i] = toxic[k, : len(rows[i])]
+        p = self.field.tagged([np.array(x[a : z + 1]) for x, s in zip(found, parts) for a, z in s])
         out, used = [], 0
         for s in parts:
             out.append((s, np.concatenate([np.zeros(0), *p[used : used + len(s)]])))
@@ -174,13 +190,13 @@ def summaries(marginals: list[np.ndarray]) -> np.ndarray:
     return np.array(rows).reshape(-1, 3)
 
 
-def fit_scores(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> np.ndarray:
+def fit_scores(x: np.ndarray, y: np.ndarray, weights: np.ndarray, rounds: int = 30) -> np.ndarray:
     """Logistic regression by Newton steps with a slight quadratic penalty."""
     w = np.zeros(x.shape[1])
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-x @ w))
-        slope = x.T @ (y - p) - 0.1 * w
-        bend = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(w))
+        slope = x.T @ (weights * (y - p)) - 0.1 * w
+        bend = (x * (weights * p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(len(w))
         w = w + np.clip(np.linalg.solve(bend, slope), -2, 2)
     return w
 
@@ -256,32 +272,28 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
         if not worker:
             worker.append(Levels(shared.value))
         found = [list(map(worker[0].__getitem__, tokens_of(t))) for t in texts_of(batch)]
-        parts = [[x[a : z + 1] for a, z in stretches(x)] for x in found]
+        parts = [[bytes(x[a : z + 1]) for a, z in stretches(x)] for x in found]
         return {"toxic": [int(y > 0) for y in batch.column("toxic").to_pylist()], "parts": parts}
 
-    tagged = checkpointed(each_batch(known.filter("fold = 1"), levels, "toxic int, parts array<array<int>>"))
+    tagged = checkpointed(each_batch(known.filter("fold = 1"), levels, "toxic int, parts array<binary>"))
+    # At most TRAIN_DOCS documents' stretches come to the driver, one byte a token.
     signed = tagged.filter(F.size("parts") > 0)
-    n = max(1, signed.count())
-    # At most some TRAIN_STRETCHES documents' stretches come to the driver, a few kilobytes each at the very most.
-    rows = signed.select("toxic", F.slice("parts", 1, 20).alias("parts")).limit(min(n, TRAIN_STRETCHES)).collect()
-    parts = [(np.array(p), bool(r["toxic"])) for r in rows for p in r["parts"]]
-    parts.sort(key=lambda x: (len(x[0]), x[0].tolist(), x[1]))
-    some = parts[:: max(1, len(parts) // TRAIN_STRETCHES)]
-    model = Model(signs, fit_field([p for p, _ in some], [y for _, y in some]), np.zeros(3))
-    sums, y = [], []
-    for r in sorted(rows, key=lambda r: (r["parts"], r["toxic"])):
-        p = [np.array(x) for x in r["parts"]]
-        toxic = model.field.marginals(p)[2]
-        sums.append(toxic[toxic > 0])
-        y.append(float(r["toxic"]))
+    rows = signed.select("toxic", F.slice("parts", 1, TRAIN_PARTS).alias("parts")).limit(TRAIN_DOCS).collect()
+    given = Counter((bytes(p), bool(r["toxic"])) for r in rows for p in r["parts"])
+    model = Model(signs, fit_field(given), np.zeros(3))
+    distinct = sorted({levels for levels, _ in given})
+    p = dict(zip(distinct, model.field.tagged([np.frombuffer(levels, dtype=np.uint8) for levels in distinct])))
+    sums = [np.concatenate([p[bytes(x)] for x in r["parts"]]) for r in rows]
+    y = [float(r["toxic"]) for r in rows]
+    share = len(rows) / max(1, signed.count())
     bare = {r["toxic"]: r["count"] for r in tagged.filter(F.size("parts") == 0).groupBy("toxic").count().collect()}
     x, y = summaries(sums), np.array(y)
-    # Documents without a sign all look alike: a few weighted copies stand for them.
-    scale = max(1, sum(bare.values()) // 2000)
+    weights = np.ones(len(y))
+    # Documents without a sign all look alike: one row of each label stands for them.
     for label, count in sorted(bare.items()):
-        k = round(count / scale)
-        x, y = np.vstack([x, np.tile([1.0, 0.0, 0.0], (k, 1))]), np.append(y, np.full(k, float(label)))
-    model.weights = fit_scores(x, y) if len(y) else np.array([-4.0, 1.0, 1.0])
+        x, y = np.vstack([x, [1.0, 0.0, 0.0]]), np.append(y, float(label))
+        weights = np.append(weights, count * share if rows else count)
+    model.weights = fit_scores(x, y, weights) if len(y) else np.array([-4.0, 1.0, 1.0])
     return model
 
 
