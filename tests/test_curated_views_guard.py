@@ -7,7 +7,7 @@ from tests.helpers import bag, refunds, transactions
 from tidemark.operators import curated, views
 from tidemark.plans import charts, guarded, questions
 from tidemark.plans.frames import Frames
-from tidemark.plans.guarded import Predicate, Request
+from tidemark.plans.guarded import Aggregate, Join, Predicate, Request
 from tidemark.sources import catalog, lake
 
 EQ_DAY = (Predicate("dt", "=", "2026-08-21"),)
@@ -110,8 +110,28 @@ GOOD = [
     Request("raw.transactions", ("dt",), 10, (Predicate("dt", "in", ("a", "b")), Predicate("status", "=", "FAILED"))),
     Request("raw.refunds", ("*",), 5, EQ_DAY),
     Request("analytics.merchant_leaderboard", ("*",), 1000),
-]
+    Request("raw.users", (), 1, aggregates=(Aggregate("count", None, "n"),)),
+    Request("raw.transactions", ("status",), 9, EQ_DAY, (("n", False),), (Aggregate("count_distinct", "merchant_id", "n"),)),
+    Request(
+        "raw.transactions", ("merchants.category",), 9, EQ_DAY, (("merchants.category", True),),
+        (Aggregate("sum", "amount_paise", "p"),), Join("raw.merchants", ("merchant_id", "merchant_id")),
+    ),
+]
+JOINED = Join("raw.users", ("payer_user_id", "user_id"))
+N = (Aggregate("count", None, "n"),)
 BAD = [
+    (Request("raw.users", ("phone",), 5, aggregates=N), "PII"),
+    (Request("raw.users", (), 5, aggregates=(Aggregate("count_distinct", "email", "n"),)), "PII"),
+    (Request("raw.users", ("city",), 5, aggregates=(Aggregate("median", "user_id", "n"),)), "one of"),
+    (Request("raw.users", ("city",), 5, aggregates=(Aggregate("sum", None, "n"),)), "needs a column"),
+    (Request("raw.users", ("*",), 5, aggregates=N), "groups must be named"),
+    (Request("raw.users", ("city",), 5, order_by=(("kyc_status", True),), aggregates=N), "neither a group"),
+    (Request("raw.transactions", ("users.phone",), 5, EQ_DAY, join=JOINED), "PII"),
+    (Request("raw.transactions", ("users.nope",), 5, EQ_DAY, join=JOINED), "does not exist"),
+    (Request("raw.transactions", ("dt",), 5, EQ_DAY, join=Join("raw.secrets", ("a", "b"))), "allow-list"),
+    (Request("raw.transactions", ("dt",), 5, EQ_DAY, join=Join("raw.users", ("upi_ref", "vpa"))), "PII"),
+    (Request("raw.transactions", ("dt",), 5, EQ_DAY, join=Join("raw.refunds", ("txn_id", "txn_id"))), "partitioned"),
+    (Request("raw.transactions", ("*",), 5, EQ_DAY, join=JOINED), "SELECT *"),
     (Request("raw.secrets", ("x",), 1), "allow-list"),
     (Request("transactions", ("dt",), 1, EQ_DAY), "allow-list"),
     (Request("raw.transactions", ("dt",), None, EQ_DAY), "LIMIT"),
@@ -176,3 +196,15 @@ def test_order_and_limit(frames, manifest):
     plan = guarded.guarded_read(frames.by_key(), request, manifest)
     assert [r["txn_id"] for r in plan.collect()] == [99, 98, 97]
     assert "TakeOrderedAndProject" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_aggregates_over_a_join(frames, spark):
+    known = [("transactions", "2026-08-21", 50), ("merchants", "2026-01-01", 4)]
+    manifest = spark.createDataFrame(known, "table_name string, dt string, rows bigint")
+    request = GOOD[-1]
+    assert guarded.estimated_rows(request, manifest) == (54, 2)
+    found = {r[0]: r["p"] for r in guarded.guarded_read(frames.by_key(), request, manifest).collect()}
+    day = frames.transactions.filter("dt = '2026-08-21'").join(frames.merchants, "merchant_id")
+    assert found == {r["category"]: r["p"] for r in day.groupBy("category").agg(F.sum("amount_paise").alias("p")).collect()}
+    with pytest.raises(guarded.GuardError, match="no statistics"):
+        guarded.guarded_read(frames.by_key(), request, manifest.filter("table_name = 'transactions'"))

@@ -1,7 +1,9 @@
 """Guarded reads: what an analyst or assistant may read without supervision.
 
-A request is data, not SQL text: table, columns, predicates, order, limit. It is checked against the
-catalog and against the rows its partitions hold before anything is read.
+A request is data, not SQL text: table, columns, one join, predicates, groups, aggregates, order, limit. It is checked
+against the catalog and against the rows its partitions hold before anything is read.
+
+Columns of the joined table are written ``table.column``; all others belong to the first table.
 """
 
 from __future__ import annotations
@@ -58,67 +60,123 @@ class Predicate:
         return _OPS[self.op](F.col(self.column), self.value)
 
 
+_AGGREGATES = {
+    "count": lambda c: F.count(F.lit(1)) if c is None else F.count(c),
+    "count_distinct": F.count_distinct,
+    "sum": F.sum,
+    "avg": F.avg,
+    "min": F.min,
+    "max": F.max,
+}
+
+
+@dataclass(frozen=True)
+class Aggregate:
+    function: str
+    column: str | None  # None counts rows
+    name: str
+
+
+@dataclass(frozen=True)
+class Join:
+    table: str  # catalog key
+    on: tuple[str, str]  # column of the first table, column of this one
+
+
 @dataclass(frozen=True)
 class Request:
+    """With ``aggregates``, ``columns`` are the groups, and the order may name an aggregate."""
+
     table: str  # catalog key such as raw.transactions
     columns: tuple[str, ...]
     limit: int | None
     where: tuple[Predicate, ...] = ()
     order_by: tuple[tuple[str, bool], ...] = ()  # (column, ascending)
+    aggregates: tuple[Aggregate, ...] = ()
+    join: Join | None = None
+
+
+def _owner(request: Request, column: str) -> tuple[str, str]:
+    """Catalog key and bare name of a column."""
+    if request.join and column.startswith(f"{request.join.table.split('.')[-1]}."):
+        return request.join.table, column.split(".", 1)[1]
+    return request.table, column
 
 
 def violations(request: Request) -> list[str]:
     """Every rule the request breaks; nothing is read to find out."""
     allowed = {t.key: t for t in catalog.TABLES.values()}
-    spec = allowed.get(request.table)
-    if spec is None:
-        return [f"table '{request.table}' is not in the allow-list"]
+    keys = [request.table, *([request.join.table] if request.join else [])]
+    unknown = [k for k in keys if k not in allowed]
+    if unknown:
+        return [f"no table '{k}' on the allow-list" for k in unknown]
     errors = []
     limit = request.limit
     if not isinstance(limit, int) or isinstance(limit, bool) or limit < 0:
-        errors.append(f"a literal LIMIT (<= {MAX_LIMIT}) is required")
+        errors.append(f"give a LIMIT from 0 to {MAX_LIMIT}")
     elif limit > MAX_LIMIT:
-        errors.append(f"LIMIT {limit} exceeds the maximum of {MAX_LIMIT}")
+        errors.append(f"LIMIT {limit} exceeds {MAX_LIMIT}")
 
+    results = {a.name for a in request.aggregates}
     used = [c for c in request.columns if c != "*"]
-    used += [p.column for p in request.where] + [c for c, _ in request.order_by]
-    for name in dict.fromkeys(used):
-        if name in spec.pii_columns:
-            errors.append(f"column '{name}' is PII and may not be selected or filtered")
-        elif name not in spec.column_names:
-            errors.append(f"column '{name}' does not exist in '{spec.key}'")
-    if "*" in request.columns and spec.pii_columns:
-        errors.append(f"SELECT * is not allowed because '{spec.key}' contains PII columns")
+    used += [p.column for p in request.where] + [c for c, _ in request.order_by if c not in results]
+    used += [a.column for a in request.aggregates if a.column is not None]
+    if request.join:
+        used += [request.join.on[0], f"{request.join.table.split('.')[-1]}.{request.join.on[1]}"]
+    for column in dict.fromkeys(used):
+        key, name = _owner(request, column)
+        if name in allowed[key].pii_columns:
+            errors.append(f"'{name}' is PII: neither shown, filtered, joined nor counted")
+        elif name not in allowed[key].column_names:
+            errors.append(f"'{name}' does not exist in '{key}'")
+    if "*" in request.columns:
+        errors += [f"SELECT * would show PII of '{k}'" for k in keys if allowed[k].pii_columns]
+        if request.aggregates:
+            errors.append("groups must be named, not *")
+    for a in request.aggregates:
+        if a.function not in _AGGREGATES or (a.column is None and a.function != "count"):
+            errors.append(f"'{a.name}' needs a column and one of {sorted(_AGGREGATES)}")
+    if request.aggregates:
+        loose = [c for c, _ in request.order_by if c not in results and c not in request.columns]
+        errors += [f"order by '{c}', which is neither a group nor an aggregate" for c in loose]
 
     for p in request.where:
         if p.op not in _OPS or not p.is_literal():
-            errors.append(f"predicate on '{p.column}' must compare with literals using {sorted(_OPS)}")
-    if spec.partition_filter_required and not any(_prunes(p, spec) for p in request.where):
-        errors.append(f"'{spec.key}' is partitioned: add a literal filter on {spec.partition_column}")
+            errors.append(f"compare '{p.column}' with literals, by one of {sorted(_OPS)}")
+    for key in keys:
+        spec = allowed[key]
+        if spec.partition_filter_required and not _pruning(request, spec):
+            errors.append(f"'{key}' is partitioned: filter {spec.partition_column} by literals")
     return errors
 
 
+def _pruning(request: Request, spec: catalog.Table) -> list[Predicate]:
+    """Predicates on the partition column of a table of the request, under its bare name."""
+    own = [Predicate(_owner(request, p.column)[1], p.op, p.value) for p in request.where if _owner(request, p.column)[0] == spec.key]
+    return [p for p in own if _prunes(p, spec)]
+
+
 def _prunes(p: Predicate, spec: catalog.Table) -> bool:
     return p.column == spec.partition_column and p.op in _PRUNING_OPS and p.is_literal()
 
 
 def estimated_rows(request: Request, manifest: DataFrame) -> tuple[int | None, int]:
-    """Rows and partitions the request will scan, from the manifest; rows are None if it knows nothing."""
-    spec = catalog.TABLES[request.table.split(".")[1]]
-    stored = _VIEW_SOURCE.get(spec.name, spec.name)
-    known = manifest.filter(F.col("table_name") == stored)
-    pruning = [
-        p.expression() if p.column == "dt" else Predicate("dt", p.op, p.value).expression()
-        for p in request.where
-        if _prunes(p, spec)
-    ]
-    inside = reduce(lambda a, b: a & b, pruning, F.lit(True))
-    row = known.agg(
-        F.count(F.lit(1)).alias("known"),
-        F.sum(F.when(inside, F.col("rows"))).alias("rows"),
-        F.count_if(inside).alias("partitions"),
-    ).first()
-    return (int(row["rows"] or 0) if row["known"] else None), row["partitions"]
+    """Rows and partitions the request will scan, from the manifest; rows are None if it knows nothing of a table."""
+    rows, partitions = 0, 0
+    for key in [request.table, *([request.join.table] if request.join else [])]:
+        spec = catalog.TABLES[key.split(".")[1]]
+        known = manifest.filter(F.col("table_name") == _VIEW_SOURCE.get(spec.name, spec.name))
+        pruning = [Predicate("dt", p.op, p.value).expression() for p in _pruning(request, spec)]
+        inside = reduce(lambda a, b: a & b, pruning, F.lit(True))
+        row = known.agg(
+            F.count(F.lit(1)).alias("known"),
+            F.sum(F.when(inside, F.col("rows"))).alias("rows"),
+            F.count_if(inside).alias("partitions"),
+        ).first()
+        if not row["known"]:
+            return None, 0
+        rows, partitions = rows + int(row["rows"] or 0), partitions + row["partitions"]
+    return rows, partitions
 
 
 def guarded_read(
@@ -137,9 +195,29 @@ def guarded_read(
     if rows > max_scan_rows:
         raise GuardError([f"estimated scan of {rows:,} rows exceeds the limit of {max_scan_rows:,}"])
     df = frames[request.table]
+    star = df.columns
+    if request.join:
+        alias = request.join.table.split(".")[-1]
+        other = frames[request.join.table]
+        # Columns of the joined table carry its name, so that equal names stay apart.
+        other = other.select(*[F.col(c).alias(f"{alias}.{c}") for c in other.columns])
+        df = df.join(other, df[request.join.on[0]] == other[f"`{alias}.{request.join.on[1]}`"])
+        star = df.columns
+        quoted = {c: f"`{c}`" for c in other.columns}
+    else:
+        quoted = {}
+
+    def col(name: str) -> Column:
+        return F.col(quoted.get(name, name))
+
     for p in request.where:
-        df = df.filter(p.expression())
-    columns = df.columns if "*" in request.columns else list(request.columns)
+        df = df.filter(_OPS[p.op](col(p.column), p.value))
+    columns = star if "*" in request.columns else list(request.columns)
+    if request.aggregates:
+        groups = [col(c).alias(c) for c in columns]
+        named = [_AGGREGATES[a.function](None if a.column is None else col(a.column)).alias(a.name) for a in request.aggregates]
+        df = df.groupBy(*groups).agg(*named)
+        columns += [a.name for a in request.aggregates]
     if request.order_by:
-        df = df.orderBy(*[F.col(c).asc() if up else F.col(c).desc() for c, up in request.order_by])
-    return df.select(*columns).limit(request.limit)
+        df = df.orderBy(*[col(c).asc() if up else col(c).desc() for c, up in request.order_by])
+    return df.select(*[col(c) for c in columns]).limit(request.limit)

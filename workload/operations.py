@@ -8,7 +8,7 @@ from tidemark.operators import cost, evaluation, runs
 from tidemark.plans import guarded
 from tidemark.sources import lake
 from workload.fixtures import duck, event_lake, event_transactions, fixture, on_events, on_payments
-from workload.fixtures import payments
+from workload.fixtures import event_frames, payments
 
 E_DAY, E_FIRST, E_LAST = "2024-01-15", "2024-01-09", "2024-01-15"
 SCAN_LIMIT = 1000
@@ -149,6 +149,33 @@ def guarded_read(spark, sf_dir):
     return guarded.guarded_read(frames, request, _event_manifest(spark, sf_dir))
 
 
+def guarded_aggregate(spark, sf_dir):
+    """Failed payments and their sum per category: an aggregate over a join, as a request."""
+    request = guarded.Request(
+        table="raw.transactions",
+        columns=("merchants.category",),
+        join=guarded.Join("raw.merchants", ("merchant_id", "merchant_id")),
+        where=(
+            guarded.Predicate("dt", "between", (E_FIRST, E_LAST)),
+            guarded.Predicate("status", "=", "FAILED"),
+        ),
+        aggregates=(
+            guarded.Aggregate("count", None, "failed"),
+            guarded.Aggregate("sum", "amount_paise", "paise"),
+            guarded.Aggregate("count_distinct", "payer_user_id", "payers"),
+        ),
+        order_by=(("failed", False), ("merchants.category", True)),
+        limit=100,
+    )
+    f = event_frames(spark, sf_dir)
+    frames = {"raw.transactions": f.transactions, "raw.merchants": f.merchants}
+    manifest = _event_manifest(spark, sf_dir).unionByName(
+        f.merchants.groupBy("dt").agg(F.count(F.lit(1)).alias("rows")).withColumn("table_name", F.lit("merchants")),
+        allowMissingColumns=True,
+    )
+    return guarded.guarded_read(frames, request, manifest).withColumnRenamed("merchants.category", "category")
+
+
 def scan_profile(spark, sf_dir):
     """What the four scan variants open and how many rows qualify."""
     _, tx = event_lake(spark, sf_dir)
@@ -171,6 +198,7 @@ QUERIES = {
     "storage_growth": storage_growth,
     "scan_estimate": scan_estimate,
     "guarded_read": guarded_read,
+    "guarded_aggregate": guarded_aggregate,
     "scan_profile": scan_profile,
     "latency_percentiles": lambda spark, sf_dir: cost.latency_percentiles(
         fixture(spark, sf_dir, RUN_LOG), "value", ["job"]
@@ -255,6 +283,12 @@ ORACLES = {
         FROM requests r
         LEFT JOIN manifest m ON m.table_name = r.table_name AND m.dt >= r.lo AND m.dt <= r.hi
         GROUP BY r.request_id, r.table_name""",
+    "guarded_aggregate": on_events(
+        f"""SELECT m.category, count(*) AS failed, CAST(sum(t.amount_paise) AS BIGINT) AS paise,
+                   count(DISTINCT t.payer_user_id) AS payers
+            FROM transactions t JOIN merchants m USING (merchant_id)
+            WHERE t.dt BETWEEN '{E_FIRST}' AND '{E_LAST}' AND t.status = 'FAILED' GROUP BY m.category"""
+    ),
     "guarded_read": on_events(
         f"""SELECT txn_id, merchant_id, amount_paise, dt FROM transactions
             WHERE dt BETWEEN '{E_FIRST}' AND '{E_LAST}' AND status = 'FAILED'
