@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import bag, refunds, transactions
 from tidemark.operators import curated, views
+from tidemark.operators.ingest import Lake
 from tidemark.plans import charts, guarded, questions
 from tidemark.plans.frames import Frames
 from tidemark.plans.guarded import Aggregate, Join, Predicate, Request
@@ -208,3 +209,40 @@ def test_aggregates_over_a_join(frames, spark):
     assert found == {r["category"]: r["p"] for r in day.groupBy("category").agg(F.sum("amount_paise").alias("p")).collect()}
     with pytest.raises(guarded.GuardError, match="no statistics"):
         guarded.guarded_read(frames.by_key(), request, manifest.filter("table_name = 'transactions'"))
+
+
+def test_transform_writes_both_tables_and_their_statistics(frames, spark, tmp_path):
+    lake_ = Lake(spark, str(tmp_path))
+    args = (frames.users, frames.merchants, frames.transactions, frames.refunds, lake_)
+    findings = {(r["table_name"], r["finding"]): r["row_count"] for r in curated.transform(*args, date(2026, 8, 23)).collect()}
+    assert findings["daily_merchant_metrics", "matched"] == 20 and findings["user_cohorts", "matched"] > 0
+    assert sum(findings.values()) == findings["daily_merchant_metrics", "matched"] + findings["user_cohorts", "matched"]
+    assert bag(lake_.curated("daily_merchant_metrics")) == bag(frames.daily_merchant_metrics)
+    assert bag(lake_.curated("user_cohorts")) == bag(frames.user_cohorts)
+    stored = Frames(
+        frames.users, frames.merchants, frames.transactions, frames.refunds,
+        lake_.curated("daily_merchant_metrics"), lake_.curated("user_cohorts"),
+    )
+    manifest = lake_.manifest("daily_merchant_metrics").unionByName(lake_.manifest("user_cohorts"))
+    request = Request("analytics.daily_gmv", ("dt", "gmv_rupees"), 10, EQ_DAY)
+    assert guarded.guarded_read(stored.by_key(), request, manifest).count() == 1
+    plan = charts.daily_gmv(stored, "2026-08-22")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(dt" in plan and plan.count("FileScan") == 1
+
+
+def test_transform_stops_at_a_difference(frames, spark, tmp_path, monkeypatch):
+    real = curated.daily_merchant_metrics
+    monkeypatch.setattr(
+        curated, "daily_merchant_metrics", lambda *a, **k: real(*a, **k).withColumn("txn_count", F.col("txn_count") + 1)
+    )
+    lake_ = Lake(spark, str(tmp_path))
+    with pytest.raises(curated.CuratedError, match="txn_count"):
+        curated.transform(frames.users, frames.merchants, frames.transactions, frames.refunds, lake_, date(2026, 8, 23))
+    assert lake_.manifest("daily_merchant_metrics").count() == 0
+
+
+def test_charts_read_the_stored_tables_only():
+    """A chart over stored curated tables opens no fact table; failures alone come from the payments."""
+    for fn in (charts.total_gmv, charts.daily_gmv, charts.daily_success_rate, charts.top_merchants, charts.retention_cells):
+        names = set(fn.__code__.co_names)
+        assert not names & {"transactions", "refunds"}, fn.__name__

@@ -205,8 +205,12 @@ def test_external_table_counts_partitions(spark, tmp_path):
     name = "ext_" + tmp_path.name.replace("-", "_")
     assert lake.register_external_table(spark, name, path, TX) == 3
     lake.write_partition_overwrite(transactions(spark, days=4), path)
-    assert lake.register_external_table(spark, name, path, TX) == 4
+    assert lake.register_external_table(spark, name, path, TX, touched=["2026-08-23"]) == 4
     assert spark.table(name).count() == 200
+    with pytest.raises(ValueError, match="registered at"):
+        lake.register_external_table(spark, name, path + "2", TX)
+    with pytest.raises(ValueError, match="other columns"):
+        lake.register_external_table(spark, name, path, catalog.struct_type("refunds"))
     spark.sql(f"DROP TABLE {name}")
 
 

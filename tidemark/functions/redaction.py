@@ -157,7 +157,11 @@ def taken_spans(text: Column, names: Column | None = None) -> Column:
         return F.when(span["start"] >= acc["pos"], grown).otherwise(acc)
 
     taken = let(F.array_sort(F.concat(*found)), lambda x: F.when(F.size(x) > 1, _fold(x, step)).otherwise(x))
-    return F.coalesce(taken, _no_spans())
+    # Most texts leave here.
+    worth = _worth_searching(text, "EMAIL") | _worth_searching(text, "PHONE")
+    if names is not None:
+        worth = worth | (F.size(F.coalesce(names, _no_spans())) > 0)
+    return F.coalesce(F.when(worth, taken), _no_spans())
 
 
 def _label(rank: Column) -> Column:

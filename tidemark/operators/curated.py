@@ -186,7 +186,9 @@ def transform(
         touched = metrics if name == "daily_merchant_metrics" else frame
         lake.save_manifest(partition_manifest(touched, name, partition=partition))
         if register:
+            # Partition values of the run: bounded by the days of its range.
+            values = [r[0] for r in touched.select(partition).distinct().collect()] if name != "user_cohorts" else None
             register_external_table(
-                lake.spark, f"{register}.{name}", lake.curated_path(name), catalog.struct_type(name), partition
+                lake.spark, f"{register}.{name}", lake.curated_path(name), catalog.struct_type(name), partition, touched=values
             )
     return small_frame(lake.spark, [tuple(r) for r in rows], "table_name string, finding string, row_count bigint")

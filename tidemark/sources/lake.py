@@ -9,22 +9,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_partitioned(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_partitioned(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, partition: str = "dt"
+) -> DataFrame:
     """Read a Hive-layout table with its partition column as text.
 
     With a declared schema nothing is inferred and no file footer is opened for it, and the partition
-    column keeps the declared string type, so a literal filter on it prunes directories.
+    column keeps the declared string type, so a literal filter on it prunes directories. Without one the schema is
+    inferred first and its partition column then declared as text; no session setting is touched.
     """
     reader = spark.read.option("basePath", path)
-    if schema is not None:
-        return reader.schema(schema).parquet(path)
-    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "false")
-    try:
-        return reader.parquet(path)
-    finally:
-        spark.conf.set(key, before)
+    if schema is None:
+        fields = reader.parquet(path).schema.fields
+        schema = T.StructType([T.StructField(f.name, T.StringType()) if f.name == partition else f for f in fields])
+    return reader.schema(schema).parquet(path)
 
 
 def by_partition(df: DataFrame, partition: str, sort_by: list[str] | None = None) -> DataFrame:
@@ -124,16 +122,33 @@ def register_external_table(
     schema: T.StructType,
     partition: str = "dt",
     analyze: bool = True,
+    touched: list[str] | None = None,
 ) -> int:
-    """Create the external table if it is missing, sync its partitions with the folders, count them.
+    """Create the external table if it is missing, bring its partitions up to date, count them.
 
-    Statistics are collected per partition (row counts only, a metadata-sized scan) when asked for.
+    A table of that name with another path or other columns is an error. ``touched`` names the partitions a run wrote: only
+    they are added and analysed. Without it all partitions are synchronised with the folders. Statistics are row
+    counts from the file footers.
     """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY (`{partition}`) LOCATION '{path}'"
-    )
-    spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
-    if analyze:
-        spark.sql(f"ANALYZE TABLE {name} PARTITION (`{partition}`) COMPUTE STATISTICS")
+    if spark.catalog.tableExists(name):
+        known = spark.table(name).schema
+        place = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'").first()["data_type"]
+        plain = lambda p: p.removeprefix("file:").rstrip("/")
+        if plain(place) != plain(path):
+            raise ValueError(f"{name} is registered at {place}, not at {path}")
+        if {(f.name, f.dataType) for f in known} != {(f.name, f.dataType) for f in schema}:
+            raise ValueError(f"{name} is registered with other columns: {known.simpleString()}")
+    else:
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY (`{partition}`) LOCATION '{path}'")
+        touched = None
+    if touched is None:
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+        if analyze:
+            spark.sql(f"ANALYZE TABLE {name} PARTITION (`{partition}`) COMPUTE STATISTICS")
+    elif touched:
+        parts = [f"PARTITION (`{partition}` = '{value}')" for value in sorted(set(touched))]
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(parts)}")
+        for part in parts if analyze else []:
+            spark.sql(f"ANALYZE TABLE {name} {part} COMPUTE STATISTICS")
     return spark.sql(f"SHOW PARTITIONS {name}").count()

@@ -14,6 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions.expr import day
 from tidemark.operators.ingest import EPOCH, Lake, incremental_extract
+from tidemark.operators.quality import DataQualityError
 
 
 def follow_changes(
@@ -29,7 +30,8 @@ def follow_changes(
     def apply(batch: DataFrame, batch_id: int) -> None:
         # One row per changed date, bounded by the calendar.
         touched = batch.groupBy(day("created_at").alias("dt")).agg(F.max("updated_at").alias("latest")).collect()
-        touched = [r for r in touched if r["dt"] is not None]
+        if any(r["dt"] is None for r in touched):
+            raise DataQualityError([("not_null", table, None, "changes without created_at belong to no day")])
         if not touched:
             return
         run_id = f"batch-{batch_id}"
