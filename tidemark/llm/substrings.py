@@ -34,7 +34,7 @@ from tidemark.llm.common import comparable_id, each_batch, prepared, shuffle_par
 LENGTH = 50
 BIG = 100_000
 # Text that is sorted at a time.
-BLOB_BYTES = 4 << 20
+BLOB_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
 WHOLE, CONTEXT, WINDOWS = 1, 2, 3
@@ -233,9 +233,10 @@ def contexts(docs: DataFrame, length: int) -> DataFrame:
 def common_extension(hashes: PrefixHashes, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
     """Length, up to ``most``, in which the suffixes at a and b agree: a binary search over prefix hashes."""
     low, high = np.zeros(len(a), dtype=np.int64), np.full(len(a), most, dtype=np.int64)
+    sums, sum_a, sum_b, down_a, down_b = hashes.sums, hashes.sums[a], hashes.sums[b], hashes.down[a], hashes.down[b]
     for _ in range(int(most).bit_length()):
-        middle = (low + high + 1) // 2
-        same = hashes.of(a, a + middle) == hashes.of(b, b + middle)
+        middle = (low + high + 1) >> 1
+        same = (sums[a + middle] - sum_a) * down_a == (sums[b + middle] - sum_b) * down_b
         low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
     return low
 
@@ -258,21 +259,18 @@ def suffix_sort(data: np.ndarray, hashes: PrefixHashes, starts: np.ndarray, buck
         other = first[at] + (mine ^ 1) * run
         low, stop = other.copy(), np.minimum(other + run, end[at])
         low = np.minimum(low, stop)
-        own = starts[order[at]]
-        left = mine % 2 == 0
-        bottom = low.copy()
-        high = stop
-        while (low < high).any():
-            open_ = low < high
-            middle = (low + high) // 2
-            probe = starts[order[np.minimum(middle, n - 1)]]
-            same = common_extension(hashes, own, probe, most)
-            full = same >= most
-            a, b = data[np.minimum(own + same, len(data) - 1)], data[np.minimum(probe + same, len(data) - 1)]
+        own, left, bottom, high = starts[order[at]], mine % 2 == 0, low.copy(), stop
+        todo = np.flatnonzero(low < high)
+        while len(todo):
+            middle = (low[todo] + high[todo]) >> 1
+            x, probe = own[todo], starts[order[middle]]
+            same = common_extension(hashes, x, probe, most)
+            end_x, end_probe = np.minimum(x + same, len(data) - 1), np.minimum(probe + same, len(data) - 1)
             # The left run's elements stand before equal ones of the right run.
-            before = np.where(full, ~left, b < a)
-            low = np.where(open_ & before, middle + 1, low)
-            high = np.where(open_ & ~before, middle, high)
+            before = np.where(same >= most, ~left[todo], data[end_probe] < data[end_x])
+            low[todo[before]] = middle[before] + 1
+            high[todo[~before]] = middle[~before]
+            todo = todo[low[todo] < high[todo]]
         target = first[at] + (mine // 2) * 2 * run + place % run + (low - bottom)
         merged = order.copy()
         merged[target] = order[at]
@@ -280,6 +278,27 @@ def suffix_sort(data: np.ndarray, hashes: PrefixHashes, starts: np.ndarray, buck
     return order
 
 
+def anchor_places(
+    keys: np.ndarray, row: np.ndarray, starts: np.ndarray, hashes: PrefixHashes, length: int
+) -> np.ndarray:
+    """How far into each window its anchor stands first; 0 for a window that is its own key.
+
+    Equal windows have equal places, so only windows with the same one have to be compared.
+    """
+    size = max(1, length // 3)
+    at = np.arange(len(hashes.sums) - size)
+    # A place of the joined contexts that carries an anchor's hash may stand for the anchor of a window around it only
+    # if that is the window's key.
+    owner = np.zeros(len(at) + 1, dtype=np.int64)
+    first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1])))
+    owner[starts[first]] = np.diff(np.concatenate(([0], row[first])))
+    owner = np.cumsum(owner)[: len(at)]
+    marked = at[mixed(hashes.of(at, at + size)).view(np.int64) == keys[owner]]
+    nth = np.searchsorted(marked, starts)
+    place = marked[np.minimum(nth, max(0, len(marked) - 1))] - starts if len(marked) else np.full(len(starts), -1)
+    return np.where((nth < len(marked)) & (place >= 0) & (place <= length - size), place, 0)
+
+
 def removed_windows(keys: np.ndarray, content: list[bytes], docs: np.ndarray, length: int) -> list[np.ndarray]:
     """For every context, which of its windows an earlier document's context of the same key holds as well.
 
@@ -292,21 +311,27 @@ def removed_windows(keys: np.ndarray, content: list[bytes], docs: np.ndarray, le
     nth = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
     starts = (np.cumsum(size) - size)[row] + nth
     hashes = PrefixHashes(data)
-    order = np.argsort(_key_numbers(keys)[row], kind="stable")
-    bucket = _key_numbers(keys)[row][order]
-    order = order[suffix_sort(data, hashes, starts[order], bucket, length)]
-    a, b = starts[order[:-1]], starts[order[1:]]
-    same = (bucket[1:] == bucket[:-1]) & (common_extension(hashes, a, b, length) >= length)
-    pairs = np.flatnonzero(same)
-    for at in range(0, len(pairs), 1 << 16):
-        some = pairs[at : at + (1 << 16), None]
-        span = np.arange(length)
-        same[some[:, 0]] = (data[a[some] + span] == data[b[some] + span]).all(axis=1)
-    lead = np.flatnonzero(np.concatenate(([True], ~same)))
-    doc = docs[row[order]]
-    least = np.repeat(np.minimum.reduceat(doc, lead), np.diff(np.append(lead, len(doc))))
+    bucket = _key_numbers(keys)[row] * length + anchor_places(keys, row, starts, hashes, length)
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    # A window alone in its bucket equals no other.
+    alone = np.diff(np.append(np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))), len(bucket)))
+    shared = np.repeat(alone, alone) > 1
     flags = np.zeros(len(row), dtype=bool)
-    flags[order] = doc > least
+    order, bucket = order[shared], bucket[shared]
+    if len(order):
+        order = order[suffix_sort(data, hashes, starts[order], bucket, length)]
+        a, b = starts[order[:-1]], starts[order[1:]]
+        same = (bucket[1:] == bucket[:-1]) & (hashes.of(a, a + length) == hashes.of(b, b + length))
+        pairs = np.flatnonzero(same)
+        span = np.arange(length)
+        for at in range(0, len(pairs), 1 << 16):
+            some = pairs[at : at + (1 << 16)]
+            same[some] = (data[a[some, None] + span] == data[b[some, None] + span]).all(axis=1)
+        lead = np.flatnonzero(np.concatenate(([True], ~same)))
+        doc = docs[row[order]]
+        least = np.repeat(np.minimum.reduceat(doc, lead), np.diff(np.append(lead, len(doc))))
+        flags[order] = doc > least
     return np.split(flags, np.cumsum(count)[:-1])
 
 
