@@ -114,13 +114,33 @@ def windows(docs: DataFrame, least: int, hashes: int) -> DataFrame:
                     key = (values[found[:, 1]] // np.uint64(hashes) * np.uint64(hashes) + np.uint64(k)).view(np.int64)
                     shift = starts[owner]
                     ids_ = np.array(docs_here, dtype=np.int64)[owner]
-                    out.append(np.stack([key, ids_, *(found - shift[:, None]).T]))
+                    out.append(_joined(np.stack([key, ids_, *(found - shift[:, None]).T]), owner))
         rows = np.concatenate(out, axis=1) if out else np.zeros((5, 0), dtype=np.int64)
         return {n: rows[i] if i < 2 else rows[i].astype(np.int32) for i, n in enumerate(("key", "doc", "l", "c", "r"))}
 
     return each_batch(docs, work, "key bigint, doc bigint, l int, c int, r int")
 
 
+def _joined(rows: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Rows (key, doc, l, c, r) with overlapping windows of a key in a text joined.
+
+    A text that repeats itself has a window for every repetition; what counts later is which places they cover.
+    """
+    rows, owner = (x[..., order] for order in [np.lexsort((rows[2], rows[0], owner))] for x in (rows, owner))
+    again = np.zeros(len(owner), dtype=bool)
+    again[1:] = (owner[1:] == owner[:-1]) & (rows[0, 1:] == rows[0, :-1])
+    keep, last = np.ones(len(owner), dtype=bool), 0
+    for i in np.flatnonzero(again).tolist():
+        if not again[i - 1]:
+            last = i - 1
+        if rows[2, i] <= rows[4, last] + 1:
+            rows[4, last] = max(rows[4, last], rows[4, i])
+            keep[i] = False
+        else:
+            last = i
+    return rows[:, keep]
+
+
 def meetings(found: DataFrame, hashes: int) -> DataFrame:
     """``a, b, k`` and both windows: each window next to that of the earliest document (b) with its key."""
     ordered = found.repartition(shuffle_parts(found.sparkSession), "key").sortWithinPartitions("key", "doc", "c")
