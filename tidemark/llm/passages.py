@@ -6,8 +6,8 @@ that at c. The windows of a text are the nodes of the Cartesian tree over its to
 shortest passage number about two per such width, whatever the text. Two similar passages lie in windows of the same
 smallest token for most hash functions.
 
-1. Windows of all texts meet by hash function and smallest token. Each is linked to the earliest document's window there,
-   not to every other one, so a token that many documents share costs one row for each.
+1. Windows of all texts meet by hash function and smallest token. Windows of equal words fold into those of the earliest
+   document that holds them, one row for each; of the different ones every two meet.
 2. Links meet by pair of documents. Intervals covered under enough hash functions are candidate passages.
 3. Candidates are verified on the words: matching shingles, and their Jaccard similarity.
 4. Verified links join documents into classes.
@@ -34,6 +34,8 @@ LEAST_WORDS = 50
 # Hash functions, and how many of them have to agree on a passage before it is verified.
 HASHES, ENOUGH = 5, 2
 CHUNK_BYTES = 1 << 20
+# Windows of a key that meet in one group of the join: blocks of so many next to each other.
+BLOCK = 256
 
 
 def shingle_hashes(words: list[bytes]) -> np.ndarray:
@@ -83,7 +85,9 @@ def compact_windows(values: np.ndarray, least: int) -> list[tuple[int, int, int]
 
 
 def windows(docs: DataFrame, least: int, hashes: int) -> DataFrame:
-    """``key, doc, l, c, r``: all wide compact windows; the low digits of a key name the hash function."""
+    """``key, words, doc, l, r``: all wide compact windows, the low digits of a key name the hash function; ``words`` is a hash of
+    the words of l..r.
+    """
 
     def work(batch) -> dict:
         out: list[np.ndarray] = []
@@ -100,6 +104,9 @@ def windows(docs: DataFrame, least: int, hashes: int) -> DataFrame:
                 at += 1
             starts = np.array(first, dtype=np.int64)
             tokens = shingle_hashes(words)
+            length = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+            end = np.cumsum(length + 1) - 1
+            hashes_of = PrefixHashes(np.frombuffer(b" ".join(words), dtype=np.uint8)).of if words else None
             ends = np.append(starts[1:], len(words))
             # Shingles that would reach into the next text become walls.
             wall = np.zeros(len(words), dtype=bool)
@@ -112,13 +119,16 @@ def windows(docs: DataFrame, least: int, hashes: int) -> DataFrame:
                 if len(found):
                     owner = np.searchsorted(starts, found[:, 1], side="right") - 1
                     key = (values[found[:, 1]] // np.uint64(hashes) * np.uint64(hashes) + np.uint64(k)).view(np.int64)
-                    shift = starts[owner]
                     ids_ = np.array(docs_here, dtype=np.int64)[owner]
-                    out.append(_joined(np.stack([key, ids_, *(found - shift[:, None]).T]), owner))
+                    rows = _joined(np.stack([key, ids_, *found.T]), owner)
+                    lo, hi = rows[2], rows[4]
+                    text = mixed(hashes_of(end[lo] - length[lo], end[hi + SHINGLE - 1])).view(np.int64)
+                    shift = starts[np.searchsorted(starts, rows[3], side="right") - 1]
+                    out.append(np.stack([rows[0], text, rows[1], lo - shift, hi - shift]))
         rows = np.concatenate(out, axis=1) if out else np.zeros((5, 0), dtype=np.int64)
-        return {n: rows[i] if i < 2 else rows[i].astype(np.int32) for i, n in enumerate(("key", "doc", "l", "c", "r"))}
+        return {n: rows[i] if i < 3 else rows[i].astype(np.int32) for i, n in enumerate(("key", "words", "doc", "l", "r"))}
 
-    return each_batch(docs, work, "key bigint, doc bigint, l int, c int, r int")
+    return each_batch(docs, work, "key bigint, words bigint, doc bigint, l int, r int")
 
 
 def _joined(rows: np.ndarray, owner: np.ndarray) -> np.ndarray:
@@ -141,39 +151,112 @@ def _joined(rows: np.ndarray, owner: np.ndarray) -> np.ndarray:
     return rows[:, keep]
 
 
-def meetings(found: DataFrame, hashes: int) -> DataFrame:
-    """``a, b, k`` and both windows: each window next to that of the earliest document (b) with its key."""
-    ordered = found.repartition(shuffle_parts(found.sparkSession), "key").sortWithinPartitions("key", "doc", "c")
-    schema = T.StructType.fromDDL("a bigint, b bigint, k int, a_l int, a_r int, b_l int, b_r int")
+def folded(found: DataFrame) -> DataFrame:
+    """``key, doc, l, r, at, b, b_l, b_r``: windows that share their key with another one.
+
+    Windows of the earliest document that holds their words, at every place, are numbered by ``at`` within their key. The
+    others have -1 there, and the first such window of the earliest document in b.
+    """
+    ordered = found.repartition(shuffle_parts(found.sparkSession), "key").sortWithinPartitions("key", "words", "doc", "l")
+    schema = T.StructType.fromDDL("key bigint, doc bigint, l int, r int, at bigint, b bigint, b_l int, b_r int")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark.sql.pandas.types import to_arrow_schema
 
         target = to_arrow_schema(schema)
-        lead = np.zeros((5, 0), dtype=np.int64)
+        # Of the last row settled: key and words, the window it folds into (doc, l, r), numbers given within its key.
+        last, base, given = None, np.zeros((3, 1), dtype=np.int64), 0
+
+        def settle(x: np.ndarray, following: int | None) -> pa.RecordBatch:
+            nonlocal last, base, given
+            key, words, doc = x[:3]
+            other_key, other = np.ones(len(key), dtype=bool), np.ones(len(key), dtype=bool)
+            other_key[1:] = key[1:] != key[:-1]
+            other[1:] = other_key[1:] | (words[1:] != words[:-1])
+            if last is not None:
+                other_key[0], other[0] = key[0] != last[0], (key[0], words[0]) != last
+            bases = np.concatenate([base, x[2:, np.flatnonzero(other)]], axis=1)[:, np.cumsum(other)]
+            first = doc == bases[0]
+            before = np.cumsum(first) - first
+            at = before - np.append(-given, before[other_key])[np.cumsum(other_key)]
+            ends = np.append(key[1:] != key[:-1], following is None or key[-1] != following)
+            met = ~(other_key & ends)
+            last, base, given = (key[-1], words[-1]), bases[:, -1:], int(at[-1] + first[-1])
+            arrays = (v[met] for v in (key, doc, x[3], x[4], np.where(first, at, -1), *bases))
+            return pa.RecordBatch.from_arrays([pa.array(v.astype(f.type.to_pandas_dtype())) for v, f in zip(arrays, target)], schema=target)
+
+        held = np.zeros((5, 0), dtype=np.int64)
         for batch in batches:
-            if not batch.num_rows:
-                continue
             new = np.stack([batch.column(i).to_numpy().astype(np.int64) for i in range(5)])
-            x = np.concatenate([lead, new], axis=1)
-            begin = np.flatnonzero(np.concatenate(([True], x[0][1:] != x[0][:-1])))
-            base = np.repeat(x[:, begin], np.diff(np.append(begin, x.shape[1])), axis=1)
-            later = x[1] > base[1]
-            a, b = x[:, later], base[:, later]
-            k = (a[0].view(np.uint64) % np.uint64(hashes)).astype(np.int32)
-            arrays = (a[1], b[1], k, a[2], a[4], b[2], b[4])
-            yield pa.RecordBatch.from_arrays([pa.array(v.astype(f.type.to_pandas_dtype())) for v, f in zip(arrays, target)], schema=target)
-            lead = x[:, begin[-1:]]
+            x = np.concatenate([held, new], axis=1)
+            if x.shape[1] > 1:
+                yield settle(x[:, :-1], int(x[0, -1]))
+            held = x[:, -1:]
+        if held.shape[1]:
+            yield settle(held, None)
 
     return ordered.mapInArrow(run, schema)
 
 
+def meetings(found: DataFrame, hashes: int) -> DataFrame:
+    """``a, b, k`` and both windows, ``also``: every two different windows of a key, b in the earlier document.
+
+    A folded window meets the one it folds into, and no other. ``also`` has a bit for each other hash function under which
+    the pair may have met, had not a window at that place of a or b been folded into one of a third document; a folded window
+    and its own have all bits, as equal words need no second function.
+    """
+    rows = stored(folded(found), "passage-windows")
+    rows = rows.withColumn("k", _function(hashes))
+    away, own = rows.filter("at < 0"), rows.filter("at >= 0").select("key", "k", "doc", "l", "r", "at")
+    equal = away.filter("doc > b").select(
+        F.col("doc").alias("a"), "b", "k", F.col("l").alias("a_l"), F.col("r").alias("a_r"), "b_l", "b_r",
+        F.lit((1 << hashes) - 1).cast("bigint").alias("also"),
+    )
+    sizes = own.groupBy("key").agg(F.max("at").alias("most"), F.min("doc").alias("lo"), F.max("doc").alias("hi"))
+    many = own.join(sizes.filter("most > 0 AND lo < hi").select("key", "most"), "key")
+    gone = away.groupBy("doc").agg(F.collect_list(F.struct("k", "l", "r")).alias("gone"))
+    bits = "coalesce(aggregate(gone, 0L, (s, w) -> if(w.l <= r AND w.r >= l, s | shiftleft(1L, w.k), s)), 0L)"
+    many = many.join(gone, "doc", "left").withColumn("also", F.expr(bits)).drop("gone")
+    many = many.withColumn("block", F.floor(F.col("at") / BLOCK)).withColumn("blocks", F.floor(F.col("most") / BLOCK))
+    many = stored(many, "passage-different")
+    columns = ("k", "doc", "l", "r", "at", "also")
+
+    def side(name: str, span: str, i: str, j: str) -> DataFrame:
+        spread = many.withColumn("z", F.explode(F.expr(span)))
+        return spread.select("key", F.col(i).alias("i"), F.col(j).alias("j"), *(F.col(c).alias(f"{name}_{c}") for c in columns))
+
+    # A window of block i meets those before it in blocks 0..i.
+    pairs = side("x", "sequence(0L, block)", "block", "z").join(side("y", "sequence(block, blocks)", "z", "block"), ["key", "i", "j"])
+    pairs = pairs.filter("x_at > y_at AND x_doc <> y_doc")
+    later = F.col("x_doc") > F.col("y_doc")
+
+    def ends(c: str) -> tuple:
+        return F.when(later, F.col(f"x_{c}")).otherwise(F.col(f"y_{c}")), F.when(later, F.col(f"y_{c}")).otherwise(F.col(f"x_{c}"))
+
+    (a, b), (a_l, b_l), (a_r, b_r) = ends("doc"), ends("l"), ends("r")
+    different = pairs.select(
+        a.alias("a"), b.alias("b"), F.col("x_k").alias("k"), a_l.alias("a_l"), a_r.alias("a_r"), b_l.alias("b_l"), b_r.alias("b_r"),
+        F.col("x_also").bitwiseOR(F.col("y_also")).alias("also"),
+    )
+    return equal.unionAll(different)
+
+
+def _function(hashes: int):
+    """The hash function of ``key``: the remainder of its unsigned value."""
+    high, low = F.shiftrightunsigned("key", 1), F.col("key").bitwiseAND(F.lit(1).cast("bigint"))
+    return F.pmod(F.pmod(high, F.lit(hashes)) * 2 + low, F.lit(hashes)).cast("int")
+
+
 def covered(rows: list[tuple], least: int, enough: int) -> list[tuple[int, int, int, int]]:
     """Stretches of a's places inside windows of ``enough`` hash functions, with the stretch of b that goes with each.
 
-    ``rows``: (k, a_l, a_r, b_l, b_r).
+    ``rows``: (k, a_l, a_r, b_l, b_r, also); the functions of the bits of ``also`` count next to k.
     """
-    events = sorted([(r[1], 0, r[0]) for r in rows] + [(r[2] + 1, 1, r[0]) for r in rows], key=lambda e: (e[0], -e[1]))
+    functions = [1 << r[0] | r[5] for r in rows]
+    if np.bitwise_or.reduce(functions).item().bit_count() < enough:
+        return []
+    each = [(r, k) for r, bits in zip(rows, functions) for k in range(bits.bit_length()) if bits >> k & 1]
+    events = sorted([(r[1], 0, k) for r, k in each] + [(r[2] + 1, 1, k) for r, k in each], key=lambda e: (e[0], -e[1]))
     open_: dict[int, int] = {}
     stretches, since = [], None
     for at, ends, k in events:
@@ -222,7 +305,7 @@ def candidates(met: DataFrame, least: int, enough: int) -> DataFrame:
                 found.append((pair[0], a_lo, a_hi, pair[1], b_lo, b_hi))
 
         for batch in batches:
-            for a, b, *window in zip(*(batch.column(i).to_pylist() for i in range(7))):
+            for a, b, *window in zip(*(batch.column(i).to_pylist() for i in range(8))):
                 if (a, b) != pair:
                     if rows:
                         close()
@@ -385,14 +468,14 @@ def near_passages(
 
     ``passages``: stretches of at least ``least_words`` words (places [start, end) in the words of the text) whose
     five-word shingles have a Jaccard similarity of ``similarity`` or more with a stretch of the earlier document ``other``.
-    A passage is compared with the earliest documents that hold its smallest shingles, not with every later copy; documents
-    with verified passages form classes, named by the smallest id. ``n_links``: documents that a document is linked to
-    directly, in either direction.
+    A passage is compared with every different one that has its smallest shingles; of equal windows only the earliest
+    document's is compared, and the later ones are linked to it. Documents with verified passages form classes, named by the
+    smallest id. ``n_links``: documents that a document is linked to directly, in either direction.
 
     Words are those of ASCII letters, digits and all that is not ASCII, in lower case. Null, empty or shorter text: no
     passages, a class of its own. Rows of one id are one document: linked once, each row with its own text's passages.
     Null id: larger than every other, class null if alone. Empty input: no rows. A passage is missed if fewer than
-    ``enough`` of the ``hashes`` functions agree on it: never one copied word by word from the earliest holder.
+    ``enough`` of the ``hashes`` functions agree on it.
     """
     spark = prepared(docs.sparkSession)
     least = least_words - SHINGLE + 1
