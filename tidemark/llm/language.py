@@ -132,23 +132,26 @@ class Automata:
 
 
 def training_texts(docs: DataFrame, text_col: str, lang_col: str) -> dict[str, bytes]:
-    """A bounded sample of labelled text per language: the documents with the smallest hashes, copies once.
+    """A bounded sample of labelled text per language: the distinct texts with the smallest hashes.
 
-    Spark ranks within each task before anything is shuffled, so a hot language ships ``TRAIN_DOCS`` texts per task.
+    Copies are dropped by hash before anything is ranked, one row for each in a task. Spark ranks within each task before the
+    texts are shuffled, so a hot language ships ``TRAIN_DOCS`` texts per task.
     """
-    order = Window.partitionBy("lang").orderBy("at", "text")
-    some = (
+    order = Window.partitionBy("lang").orderBy("at")
+    known = (
         docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
         .filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
         .withColumn("at", F.xxhash64("text"))
-        .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= TRAIN_DOCS)
-        .select("lang", "text")
     )
-    parts: dict[str, dict[str, None]] = {}
-    for r in some.collect():
-        parts.setdefault(r["lang"], {})[r["text"]] = None
-    out = {k: b" ".join(letters_of(t) for t in sorted(v))[:TRAIN_BYTES] for k, v in parts.items()}
+    least = (
+        known.select("lang", "at").distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= TRAIN_DOCS)
+    )
+    # The chosen hashes, TRAIN_DOCS numbers per language, travel to the texts.
+    some = known.join(F.broadcast(least.select("lang", "at")), ["lang", "at"]).groupBy("lang", "at").agg(F.min("text").alias("text"))
+    parts: dict[str, list[bytes]] = {}
+    for r in some.select("lang", "text").collect():
+        parts.setdefault(r["lang"], []).append(letters_of(r["text"]))
+    out = {k: b" ".join(sorted(v))[:TRAIN_BYTES] for k, v in parts.items()}
     return {k: v for k, v in out.items() if v.strip()}
 
 
