@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import regex
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -131,8 +132,32 @@ class Automata:
         return count.T
 
 
+def sample_of(texts: list[bytes], size: int) -> bytes:
+    """At most ``size`` bytes with an equal share of every text: short texts whole, of a longer one pieces from all over it.
+
+    The pieces of a text, and their order, are picked by their hashes; what short texts leave goes to the longer ones.
+    """
+    out, left = [], size
+    for i, text in enumerate(sorted(texts, key=lambda t: (len(t), t))):
+        share = max(0, left // (len(texts) - i) - 1)
+        if len(text) > share:
+            pieces = [text[a : a + PIECE] for a in range(0, len(text), PIECE)]
+            length = min(PIECE, max(1, share))
+            ranked = sorted(range(len(pieces)), key=lambda k: (xxhash.xxh64_intdigest(pieces[k], k), k))
+            some, held = [], 0
+            for k in ranked:
+                if held >= share:
+                    break
+                some.append(pieces[k][: min(length, share - held)])
+                held += len(some[-1]) + 1
+            text = b" ".join(some)[:share]
+        out.append(text)
+        left -= len(text) + 1
+    return b" ".join(out)
+
+
 def training_texts(docs: DataFrame, text_col: str, lang_col: str) -> dict[str, bytes]:
-    """A bounded sample of labelled text per language: the distinct texts with the smallest hashes.
+    """A bounded sample of labelled text per language: the distinct texts with the smallest hashes, an equal share of each.
 
     Copies are dropped by hash before anything is ranked, one row for each in a task. Spark ranks within each task before the
     texts are shuffled, so a hot language ships ``TRAIN_DOCS`` texts per task.
@@ -151,7 +176,7 @@ def training_texts(docs: DataFrame, text_col: str, lang_col: str) -> dict[str, b
     parts: dict[str, list[bytes]] = {}
     for r in some.select("lang", "text").collect():
         parts.setdefault(r["lang"], []).append(letters_of(r["text"]))
-    out = {k: b" ".join(sorted(v))[:TRAIN_BYTES] for k, v in parts.items()}
+    out = {k: sample_of(v, TRAIN_BYTES) for k, v in parts.items()}
     return {k: v for k, v in out.items() if v.strip()}
 
 
