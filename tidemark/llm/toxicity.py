@@ -24,7 +24,9 @@ LEVELS = 7
 # Tokens further than this from every sign are clean; the others form the stretches that the field tags.
 REACH = 4
 LONGEST = 128
-# Documents with signs that the field and the weights are fitted on, stretches of each, and distinct stretches.
+# Documents with signs that the weights are fitted on, about so many and whole; hashes of the ids pick them. The field is
+# fitted on about TRAIN_PARTS stretches for each, picked by hash from all over the texts of all documents with signs, up to
+# TRAIN_STRETCHES distinct ones.
 TRAIN_DOCS, TRAIN_PARTS, TRAIN_STRETCHES = 5000, 20, 2048
 REMEMBERED = 1 << 18
 
@@ -127,16 +129,15 @@ def fit_field(stretches_: dict[tuple[bytes, bool], int], rounds: int = 120, deca
     if not stretches_:
         field.level[:] = -4.0
         return field
-    frequent = sorted(stretches_.items(), key=lambda s: (-s[1], s[0]))[:TRAIN_STRETCHES]
-    frequent.sort(key=lambda s: (len(s[0][0]), s[0]))
-    rows = [np.frombuffer(levels, dtype=np.uint8) for (levels, _), _ in frequent]
-    weights = np.array([n for _, n in frequent], dtype=np.float64)
+    given = sorted(stretches_.items(), key=lambda s: (len(s[0][0]), s[0]))
+    rows = [np.frombuffer(levels, dtype=np.uint8) for (levels, _), _ in given]
+    weights = np.array([n for _, n in given], dtype=np.float64)
     size = sum(len(r) * w for r, w in zip(rows, weights))
     names = ("level", "moves", "start")
     first = {k: np.zeros_like(getattr(field, k)) for k in names}
     second = {k: np.zeros_like(getattr(field, k)) for k in names}
     seen, moves, start = np.zeros(LEVELS + 1), np.zeros((2, 2)), np.zeros(2)
-    for r, w, ((_, toxic), _) in zip(rows, weights, frequent):
+    for r, w, ((_, toxic), _) in zip(rows, weights, given):
         y = ((r > 0) & toxic).astype(int)
         np.add.at(seen, r, y * w)
         np.add.at(moves, (y[:-1], y[1:]), w)
@@ -202,7 +203,7 @@ def fit_scores(x: np.ndarray, y: np.ndarray, weights: np.ndarray, rounds: int =
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """``text, toxic, fold`` of about ``LABELLED`` labelled documents. The labels travel to the texts, not the texts."""
+    """``text, toxic, fold, pick`` of about ``LABELLED`` labelled documents. The labels travel to the texts, not the texts."""
     known = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
     known = known.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("toxic"))
     share = min(1.0, LABELLED / max(1, known.count()))
@@ -210,7 +211,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: st
     # About LABELLED rows of two numbers: below a megabyte whatever the input.
     own = docs.select(F.col(id_col).alias("_own"), F.coalesce(text_col, F.lit("")).alias("text"))
     return own.join(F.broadcast(some), F.col("_own") == F.col("_id")).select(
-        "text", "toxic", F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(2)).alias("fold")
+        "text", "toxic", F.pmod(F.xxhash64("_id", F.lit(1)), F.lit(2)).alias("fold"), F.xxhash64("_id", F.lit(2)).alias("pick")
     )
 
 
@@ -257,6 +258,44 @@ def _strongest(counted: DataFrame, docs, toxic: str, clean: str) -> dict[bytes,
     return {bytes(r["feature"]): min(LEVELS, int(r["least"])) for r in top}
 
 
+def _picked(df: DataFrame, hash_: str, bound: int) -> DataFrame:
+    """About ``bound`` rows of ``df``, those whose hash is small enough."""
+    share = min(1.0, bound / max(1, df.count()))
+    return df.filter(F.pmod(hash_, F.lit(1_000_000)) < int(share * 1_000_000))
+
+
+def sampled_stretches(signed: DataFrame) -> Counter:
+    """Levels and label of stretches, with how often each occurs among those picked in the order of their hashes."""
+    each = signed.select("toxic", "pick", F.posexplode("parts").alias("at", "part"))
+    each = each.select("toxic", "part", F.xxhash64("pick", "at", F.lit(3)).alias("hash"))
+    rows = _picked(each, "hash", TRAIN_DOCS * TRAIN_PARTS).collect()
+    given: Counter = Counter()
+    for r in sorted(rows, key=lambda r: (r["hash"], r["part"], r["toxic"])):
+        key = bytes(r["part"]), bool(r["toxic"])
+        if key not in given and len(given) == TRAIN_STRETCHES:
+            break
+        given[key] += 1
+    return given
+
+
+def document_summaries(signed: DataFrame, field: Field) -> list:
+    """``toxic, surprise, most`` of about ``TRAIN_DOCS`` documents: of all their stretches, as in scoring, in Spark tasks."""
+    shared = signed.sparkSession.sparkContext.broadcast(field)
+
+    def work(batch) -> dict:
+        found = batch.column("parts").to_pylist()
+        p = shared.value.tagged([np.frombuffer(x, dtype=np.uint8) for own in found for x in own])
+        sums, used = [], 0
+        for own in found:
+            sums.append(np.concatenate([np.zeros(0), *p[used : used + len(own)]]))
+            used += len(own)
+        x = summaries(sums)
+        return {"toxic": batch.column("toxic"), "surprise": x[:, 1], "most": x[:, 2]}
+
+    some = _picked(signed, "pick", TRAIN_DOCS)
+    return sorted(each_batch(some, work, "toxic int, surprise double, most double").collect())
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> Model:
     """Signs from Spark, then the field and the score weights from a bounded number of stretches and summaries.
 
@@ -273,21 +312,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
             worker.append(Levels(shared.value))
         found = [list(map(worker[0].__getitem__, tokens_of(t))) for t in texts_of(batch)]
         parts = [[bytes(x[a : z + 1]) for a, z in stretches(x)] for x in found]
-        return {"toxic": [int(y > 0) for y in batch.column("toxic").to_pylist()], "parts": parts}
+        toxic = [int(y > 0) for y in batch.column("toxic").to_pylist()]
+        return {"toxic": toxic, "pick": batch.column("pick"), "parts": parts}
 
-    tagged = checkpointed(each_batch(known.filter("fold = 1"), levels, "toxic int, parts array<binary>"))
-    # At most TRAIN_DOCS documents' stretches come to the driver, one byte a token.
+    tagged = checkpointed(each_batch(known.filter("fold = 1"), levels, "toxic int, pick bigint, parts array<binary>"))
     signed = tagged.filter(F.size("parts") > 0)
-    rows = signed.select("toxic", F.slice("parts", 1, TRAIN_PARTS).alias("parts")).limit(TRAIN_DOCS).collect()
-    given = Counter((bytes(p), bool(r["toxic"])) for r in rows for p in r["parts"])
-    model = Model(signs, fit_field(given), np.zeros(3))
-    distinct = sorted({levels for levels, _ in given})
-    p = dict(zip(distinct, model.field.tagged([np.frombuffer(levels, dtype=np.uint8) for levels in distinct])))
-    sums = [np.concatenate([p[bytes(x)] for x in r["parts"]]) for r in rows]
+    # A bounded number of stretches, one byte a token, and three numbers a document come to the driver.
+    model = Model(signs, fit_field(sampled_stretches(signed)), np.zeros(3))
+    rows = document_summaries(signed, model.field)
     y = [float(r["toxic"]) for r in rows]
     share = len(rows) / max(1, signed.count())
     bare = {r["toxic"]: r["count"] for r in tagged.filter(F.size("parts") == 0).groupBy("toxic").count().collect()}
-    x, y = summaries(sums), np.array(y)
+    x, y = np.array([[1.0, r["surprise"], r["most"]] for r in rows]).reshape(-1, 3), np.array(y)
     weights = np.ones(len(y))
     # Documents without a sign all look alike: one row of each label stands for them.
     for label, count in sorted(bare.items()):
