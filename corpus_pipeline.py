@@ -15,7 +15,7 @@ from tidemark.llm.common import prepared, stored
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
-# No stage of learning can be said in SQL; tests/llm compares the stages with brute force.
+# No stage of learning can be said in SQL; what tests/llm compares of the stages is in the README.
 ORACLE_SQL = None
 
 
