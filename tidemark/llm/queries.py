@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    alignment,
     decontamination,
     hosts,
     language,
@@ -118,6 +119,11 @@ def op10_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_alignment(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))[0]
+
+
 QUERIES = {
     "op1_host_rules": op1_host_rules,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -129,6 +135,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_quality": op9_quality,
     "op10_mixing": op10_mixing,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLES = {
