@@ -16,6 +16,7 @@ from tidemark.llm import (
     substrings,
     tokens,
     toxicity,
+    trie,
 )
 
 TOKENIZER = "word_bpe_49k.json"
@@ -119,6 +120,13 @@ def op10_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_prefix_trie(spark, sf_dir):
+    nodes, _ = trie.prefix_trie(table(spark, sf_dir, "conversations"), trie.head_of_fifth)
+    return nodes.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"
+    )
+
+
 def op13_alignment(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return alignment.align(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))[0]
@@ -135,6 +143,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_quality": op9_quality,
     "op10_mixing": op10_mixing,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_alignment": op13_alignment,
 }
 
@@ -143,4 +152,5 @@ ORACLES = {
     "op2_suffix_dedup": substrings.SQL,
     "op5_decontamination": decontamination.SQL,
     "op10_mixing": mixing.SQL,
+    "op12_prefix_trie": trie.SQL,
 }
