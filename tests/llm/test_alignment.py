@@ -116,3 +116,10 @@ def test_remembered_chunks_start_over(spark, monkeypatch):
 def test_other_vocabularies_are_refused():
     with pytest.raises(ValueError):
         alignment.TokenizerA(tokenizer_path("word_bpe_49k.json"))
+
+
+def test_ranks_and_library_give_the_same_ids():
+    path = tokenizer_path(A)
+    a = alignment.TokenizerA(path)
+    texts = [" " + t for t in odd_texts(9, 300)]
+    assert a.encode(texts) == a._by_library(path)(texts)
