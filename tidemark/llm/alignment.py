@@ -31,8 +31,10 @@ from tidemark.llm.common import each_batch, prepared, stored, texts_of
 
 # The broadcast table: at most so many pairs, 17 bytes each. It decides how a count is found, never the count.
 FREQUENT = 1 << 18
-# Chunks a worker remembers, and their bytes, before it starts over (some 150 MB).
-REMEMBERED, REMEMBERED_BYTES = 400_000, 16 << 20
+# Chunks a worker remembers, and their bytes, before it starts over.
+REMEMBERED, REMEMBERED_BYTES = 250_000, 16 << 20
+# Text that is aligned at a time; a longer text is aligned whole.
+PIECE_BYTES = 2 << 20
 BLANK = "▁"
 DOUBTFUL = re.compile(r"\s(?: |\Z)")
 
@@ -285,7 +287,12 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: st
     def work(batch) -> dict:
         if not worker:
             worker.append(Aligner(path_a, path_b))
-        return {id_col: batch.column(id_col)} | worker[0].texts(texts_of(batch, text_col))
+        texts = texts_of(batch, text_col)
+        cut = np.cumsum(np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))) // PIECE_BYTES
+        edges = [0, *(np.flatnonzero(np.diff(cut)) + 1).tolist(), len(texts)]
+        parts = [worker[0].texts(texts[i:z]) for i, z in zip(edges, edges[1:])]
+        columns = {c: [x for p in parts for x in p[c]] if c == "groups_sha256" else pa.concat_arrays([p[c] for p in parts]) for c in parts[0]}
+        return {id_col: batch.column(id_col)} | columns
 
     fields = (
         "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, pairs array<bigint>, times array<int>"

@@ -9,6 +9,7 @@ from tidemark.llm import (
     decontamination,
     hosts,
     language,
+    minhash,
     mixing,
     passages,
     quality,
@@ -120,6 +121,10 @@ def op10_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_minhash(spark, sf_dir):
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark, sf_dir):
     nodes, _ = trie.prefix_trie(table(spark, sf_dir, "conversations"), trie.head_of_fifth)
     return nodes.select(
@@ -143,6 +148,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_quality": op9_quality,
     "op10_mixing": op10_mixing,
+    "op11_minhash": op11_minhash,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_alignment": op13_alignment,
 }
