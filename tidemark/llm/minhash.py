@@ -3,10 +3,10 @@
 1. A document's shingles become 64-bit hashes. Documents of one set of hashes are one node.
 2. Seven bits of a hash choose one of 128 buckets; a bucket keeps the smallest hash that falls into it, compressed to its
    number of leading zeros and the ``MANTISSA`` bits after them. Four registers make a band; nodes that agree in a band meet.
-3. Of those that meet, each is compared with the one that meets most others. Verified links make components. Where
-   members of several components still meet, those of different components are compared too, in blocks: inside a
-   component nothing more can be gained. So no pairs are written within a group of copies, and no link between
-   components is lost.
+3. Of those that meet, each is compared with the one that meets most others. Verified links make components; inside of
+   one nothing more can be gained. Where members of several components still meet, their full sets are searched for
+   further links by an exact prefix filter. So no pairs are written within a group of copies, nor among documents that
+   share a common line, and no link between components is lost.
 4. A comparison asks for sizes that allow the similarity, then for an estimate from the registers, corrected for
    chance collisions, then intersects the full sets.
 """
@@ -175,16 +175,43 @@ def meetings(nodes: DataFrame) -> DataFrame:
     return each.join(counts, "key")
 
 
-def crossings(mixed_keys: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes of different components that agree in a band, but for those with its hub, once each."""
+def crossings(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs of nodes of different components whose sets may be similar enough; none that are is left out.
+
+    ``members``: ``node, n, component``. Put the shingles of a set in any order that is the same for all sets; then two
+    similar sets share one of their first n - ceil(n * percent / 100) + 1. Here those that one component alone holds come
+    first: they join nothing, and a node with enough of them has no partner at all. The others follow, rarest
+    first, so that a line which very many documents share stands at the end of every order.
+    """
+    own = sets.join(members.select("node", "component"), "node")
+    each = own.select("node", "component", F.explode("set").alias("shingle"))
+    counts = each.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("held"), F.min("component").alias("_l"), F.max("component").alias("_h")
+    )
+    several = counts.filter("_l < _h").select("shingle", "held")
+    listed = (
+        each.select("node", "shingle")
+        .join(several, "shingle")
+        .groupBy("node")
+        .agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("order"))
+        .join(members, "node")
+    )
+    first = F.expr(f"cast(n - (n * {percent} + 99) div 100 + 1 - (n - size(order)) as int)")
+    ahead = listed.withColumn("first", first).filter("first > 0")
+    columns = ("node", "n", "component")
+    ahead = ahead.select(*columns, F.explode(F.slice("order", F.lit(1), F.col("first"))).alias("s"))
+    ahead = stored(ahead.select(*columns, F.col("s.shingle").alias("shingle")), "minhash-ahead")
+    met = ahead.groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("met"), F.min("component").alias("_l"), F.max("component").alias("_h")
+    )
+    met = ahead.join(met.filter("_l < _h").select("shingle", "met"), "shingle")
     blocks = F.ceil(F.col("met") / BLOCK).cast("int")
-    own = mixed_keys.withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("node"), blocks).cast("int")})
+    cut = met.withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("node"), blocks).cast("int")})
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    columns = ("key", "node", "n", "component")
-    a = own.select(*columns, "own", other).toDF("key", "a", "n_a", "c_a", "i", "j")
-    b = own.select(*columns, "own", other).toDF("key", "b", "n_b", "c_b", "j", "i")
+    x = cut.select("shingle", *columns, "own", other).toDF("shingle", "a", "n_a", "c_a", "i", "j")
+    y = cut.select("shingle", *columns, "own", other).toDF("shingle", "b", "n_b", "c_b", "j", "i")
     apart = (F.col("c_a") < F.col("c_b")) & sizes_allow(F.col("n_a"), F.col("n_b"), percent)
-    return a.join(b, ["key", "i", "j"]).filter(apart).select("a", "b").distinct()
+    return x.join(y, ["shingle", "i", "j"]).filter(apart).select("a", "b").distinct()
 
 
 def near_duplicates(
@@ -228,11 +255,11 @@ def near_duplicates(
         "minhash-stars",
     )
     near = components(stars)
-    labelled = around.join(near, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    labelled = met.select("key", "node", "n").join(near, "node", "left")
+    labelled = stored(labelled.withColumn("component", F.coalesce("component", "node")), "minhash-labelled")
     several = labelled.groupBy("key").agg(F.min("component").alias("_l"), F.max("component").alias("_h"))
-    several = several.filter("_l < _h").select("key")
-    rest = stored(labelled.join(several, "key", "left_semi"), "minhash-several")
-    more = verified(crossings(rest, percent), nodes, sets, percent)
+    rest = labelled.join(several.filter("_l < _h").select("key"), "key", "left_semi")
+    more = verified(crossings(rest.select("node", "n", "component").distinct(), sets, percent), nodes, sets, percent)
     linked = components(stars.unionByName(stored(more, "minhash-crossings")))
     member = nodes.select("digest", "node", "id").join(linked, "node", "left")
     member = member.withColumn("component", F.coalesce("component", "node"))
