@@ -141,19 +141,6 @@ def test_components_of_a_long_chain(spark):
     assert {r["node"]: r["component"] for r in found if r["node"] != r["component"]} == expected
 
 
-def test_links_at_two_bits_and_not_at_three(spark):
-    rng = random.Random(9)
-    prints = [rng.getrandbits(64) for _ in range(40)]
-    for p in prints[:30]:
-        for k in (1, 2, 3):
-            prints.append(p ^ sum(1 << b for b in rng.sample(range(64), k)))
-    rows = [(p - 2**64 if p >> 63 else p, i) for i, p in enumerate(dict.fromkeys(prints))]
-    edges = simhash.links(spark.createDataFrame(rows, "print bigint, node bigint")).collect()
-    near = {(j, i) for i, (p, _) in enumerate(rows) for j, (q, _) in enumerate(rows) if i < j and ((p ^ q) % 2**64).bit_count() <= 2}
-    linked = {(r["a"], r["b"]) for r in edges}
-    assert linked <= near and {a for a, _ in near} <= {a for a, _ in linked} | {b for _, b in linked}
-
-
 def test_tokens(spark):
     from tokenizers import Tokenizer
 
