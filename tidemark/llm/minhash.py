@@ -181,7 +181,8 @@ def crossings(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     ``members``: ``node, n, component``. Put the shingles of a set in any order that is the same for all sets; then two
     similar sets share one of their first n - ceil(n * percent / 100) + 1. Here those that one component alone holds come
     first: they join nothing, and a node with enough of them has no partner at all. The others follow, rarest
-    first, so that a line which very many documents share stands at the end of every order.
+    first, so that a line which very many documents share stands at the end of every order. Where two sets meet first,
+    what stands behind in either order bounds their intersection.
     """
     own = sets.join(members.select("node", "component"), "node")
     each = own.select("node", "component", F.explode("set").alias("shingle"))
@@ -198,9 +199,12 @@ def crossings(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
     first = F.expr(f"cast(n - (n * {percent} + 99) div 100 + 1 - (n - size(order)) as int)")
     ahead = listed.withColumn("first", first).filter("first > 0")
-    columns = ("node", "n", "component")
-    ahead = ahead.select(*columns, F.explode(F.slice("order", F.lit(1), F.col("first"))).alias("s"))
-    ahead = stored(ahead.select(*columns, F.col("s.shingle").alias("shingle")), "minhash-ahead")
+    ahead = ahead.select(
+        "node", "n", "component", F.size("order").alias("m"), F.posexplode(F.slice("order", F.lit(1), F.col("first"))).alias("at", "s")
+    )
+    columns = ("node", "n", "component", "left")
+    left = (F.col("m") - F.col("at")).cast("bigint").alias("left")
+    ahead = stored(ahead.select("node", "n", "component", left, F.col("s.shingle").alias("shingle")), "minhash-ahead")
     met = ahead.groupBy("shingle").agg(
         F.count(F.lit(1)).alias("met"), F.min("component").alias("_l"), F.max("component").alias("_h")
     )
@@ -208,10 +212,11 @@ def crossings(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     blocks = F.ceil(F.col("met") / BLOCK).cast("int")
     cut = met.withColumns({"blocks": blocks, "own": F.pmod(F.xxhash64("node"), blocks).cast("int")})
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    x = cut.select("shingle", *columns, "own", other).toDF("shingle", "a", "n_a", "c_a", "i", "j")
-    y = cut.select("shingle", *columns, "own", other).toDF("shingle", "b", "n_b", "c_b", "j", "i")
-    apart = (F.col("c_a") < F.col("c_b")) & sizes_allow(F.col("n_a"), F.col("n_b"), percent)
-    return x.join(y, ["shingle", "i", "j"]).filter(apart).select("a", "b").distinct()
+    x = cut.select("shingle", *columns, "own", other).toDF("shingle", "a", "n_a", "c_a", "l_a", "i", "j")
+    y = cut.select("shingle", *columns, "own", other).toDF("shingle", "b", "n_b", "c_b", "l_b", "j", "i")
+    common = F.least("l_a", "l_b")
+    enough = common * 100 >= (F.col("n_a") + F.col("n_b") - common) * percent
+    return x.join(y, ["shingle", "i", "j"]).filter((F.col("c_a") < F.col("c_b")) & enough).select("a", "b").distinct()
 
 
 def near_duplicates(
