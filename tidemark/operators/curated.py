@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from datetime import date, timedelta
 from typing import TYPE_CHECKING
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import week_start
 from tidemark.session import small_frame
 from tidemark.sources import catalog
-from tidemark.sources.lake import read_partitioned, write_partition_overwrite
+from tidemark.sources.lake import read_partitioned, write_bucketed, write_partition_overwrite
 
 if TYPE_CHECKING:
     from tidemark.operators.ingest import Lake
@@ -44,6 +45,7 @@ def daily_merchant_metrics(
     merchants: DataFrame,
     start: str | None = None,
     end: str | None = None,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """Counts, successful amount and refunds per payment day and merchant.
 
@@ -51,6 +53,9 @@ def daily_merchant_metrics(
     belong to, whatever their own date: only they meet the payments of the range, on ``txn_id``, which is unique there and
     therefore even. Both sums are then added up per day and merchant, and names are joined to that aggregate. A merchant that
     owns a third of the payments is combined on the map side.
+
+    ``keys`` may hold ``txn_id, dt, merchant_id`` of the payments a second time, laid out for the join with ``refunds``
+    (:func:`store_join_copies`).
     """
     tx = in_range(transactions, start, end).select("txn_id", "dt", "merchant_id", "status", "amount_paise")
     ok = F.col("status") == "SUCCESS"
@@ -66,7 +71,8 @@ def daily_merchant_metrics(
     paid = tx.groupBy("dt", "merchant_id").agg(*(c.alias(n) for n, c in counts.items()))
     given_back = refunds.filter(F.col("status") != "REJECTED").select("txn_id", F.col("amount_paise").alias("refunded"))
     given_back = (
-        tx.select("txn_id", "dt", "merchant_id")
+        (tx if keys is None else in_months(in_range(keys, start, end), start, end))
+        .select("txn_id", "dt", "merchant_id")
         .join(given_back, "txn_id")
         .groupBy("dt", "merchant_id")
         .agg(*(c.alias(n) for n, c in returns.items()))
@@ -83,6 +89,45 @@ def daily_merchant_metrics(
     )
 
 
+def in_months(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
+    """Inclusive range of days on the ``month`` partition of a join copy."""
+    df = df.filter(F.col("month") >= start[:7]) if start else df
+    return df.filter(F.col("month") <= end[:7]) if end else df
+
+
+@dataclass(frozen=True)
+class JoinCopies:
+    """Catalog tables with the columns that payments and refunds meet on, bucketed and sorted by payment.
+
+    Partitions are months of the rows' own ``dt``, so that a bucket is not cut into a file per day.
+    """
+
+    payments: str
+    refunds: str
+    root: str
+    buckets: int
+
+    def keys(self, spark: SparkSession) -> DataFrame:
+        return spark.table(self.payments)
+
+    def given_back(self, spark: SparkSession) -> DataFrame:
+        return spark.table(self.refunds)
+
+
+def store_join_copies(
+    transactions: DataFrame, refunds: DataFrame, copies: JoinCopies, start: str | None = None, end: str | None = None
+) -> None:
+    """Bring the copies up to date for days ``start`` to ``end`` of either table: their months are written anew."""
+    for df, name, columns in (
+        (transactions, copies.payments, ("txn_id", "merchant_id", "dt")),
+        (refunds, copies.refunds, ("txn_id", "amount_paise", "status", "dt")),
+    ):
+        df = df.filter(F.col("dt") >= f"{start[:7]}-01") if start else df
+        df = df.filter(F.col("dt") <= f"{end[:7]}-31") if end else df
+        month = F.substring("dt", 1, 7).alias("month")
+        write_bucketed(df.select(*columns, month), name, f"{copies.root}/{name}", "txn_id", copies.buckets, "month")
+
+
 def user_cohorts(users: DataFrame, transactions: DataFrame) -> DataFrame:
     """Cohort size and active payers per sign-up week and whole weeks since sign-up.
 
@@ -121,16 +166,23 @@ def transform_range(
     path: str,
     end: date,
     start: date | None = None,
+    copies: JoinCopies | None = None,
 ) -> int:
     """Rebuild the metric partitions of the range in place; return the rows the range holds afterwards.
 
-    They are counted from the footers of the written files, not by running the plan a second time.
+    With ``copies``, kept up to date by :func:`store_join_copies`, neither payments nor refunds are shuffled to meet. Rows
+    are counted from the footers of the written files, not by running the plan a second time.
     """
     first, last = transform_window(end, start)
-    metrics = daily_merchant_metrics(transactions, refunds, merchants, first, last)
+    spark = transactions.sparkSession
+    if copies:
+        metrics = daily_merchant_metrics(
+            transactions, copies.given_back(spark), merchants, first, last, copies.keys(spark)
+        )
+    else:
+        metrics = daily_merchant_metrics(transactions, refunds, merchants, first, last)
     write_partition_overwrite(metrics, path, "dt", ["merchant_id"])
     schema = catalog.struct_type("daily_merchant_metrics")
-    spark = transactions.sparkSession
     try:
         return in_range(read_partitioned(spark, path, schema), first, last).count()
     except AnalysisException as error:  # nothing was ever written there
@@ -160,21 +212,30 @@ def transform(
 ) -> DataFrame:
     """One run over both curated tables: write, compare with the source, save statistics, register.
 
-    Metrics are rebuilt for the range, cohorts as a whole, since old cohorts gain weeks. Both are then read back and compared
-    with independent formulations; a difference raises :class:`CuratedError` before statistics or catalog say anything
+    Metrics are rebuilt for the range, and so is what the range adds to the cohorts (all days on the first run, see
+    :mod:`tidemark.operators.cohorts`). Both are then read back and compared, in the range and in the weeks counted anew, with
+    independent formulations; a difference raises :class:`CuratedError` before statistics or catalog say anything
     about the run. ``register`` names a database to (re-)attach the tables in. Returns the findings.
     """
     from tidemark.operators import reconcile
+    from tidemark.operators.cohorts import refresh_cohorts
     from tidemark.operators.ingest import partition_manifest
     from tidemark.sources.lake import register_external_table
 
     first, last = transform_window(end, start)
     transform_range(transactions, refunds, merchants, lake.curated_path("daily_merchant_metrics"), end, start)
-    write_cohorts(users, transactions, lake.curated_path("user_cohorts"))
+    weeks = refresh_cohorts(users, transactions, lake, date.fromisoformat(first), date.fromisoformat(last))
     stored = {name: lake.curated(name) for name in ("daily_merchant_metrics", "user_cohorts")}
     metrics = in_range(stored["daily_merchant_metrics"], first, last)
+    low, high = weeks or (date.max, date.min)
+    paid_in = F.date_add(F.col("cohort_week").cast("date"), F.col("weeks_since_signup") * 7)
     findings = reconcile.curated_vs_source(
-        users, in_range(transactions, first, last), transactions, refunds, metrics, stored["user_cohorts"]
+        users,
+        in_range(transactions, first, last),
+        in_range(transactions, low.isoformat(), (high + timedelta(days=6)).isoformat()) if weeks else transactions.limit(0),
+        refunds,
+        metrics,
+        stored["user_cohorts"].filter(paid_in.between(low, high)),
     )
     # A dozen rows, one per kind of finding.
     rows = findings.collect()

@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import curated
+from tidemark.operators import cohorts, curated
 from tidemark.operators.ingest import Lake
 from tidemark.plans import charts
 from tidemark.plans import questions as q
@@ -62,12 +62,42 @@ def transform_cohorts(spark, sf_dir):
     return lake.curated("user_cohorts").join(known, "cohort_week", "left")
 
 
+def user_cohorts_incremental(spark, sf_dir):
+    """The cohorts that a first run and a run over the last days leave behind.
+
+    At the time of the first run some payments of those days were not settled, and some users not known.
+    """
+    f = payments(spark, sf_dir)
+    lake = Lake(spark, scratch_path(spark, "cohort-lake"))
+    first, last = date(2001, 7, 20), date(2001, 8, 31)
+    unsettled = (F.col("dt") >= first.isoformat()) & (F.col("txn_id") % 2 == 0)
+    early = f.transactions.filter("dt < '2001-07-30'").withColumn("status", F.when(unsettled, "PENDING").otherwise(F.col("status")))
+    cohorts.refresh_cohorts(f.users.filter("user_id % 10 <> 3"), early, lake)
+    cohorts.refresh_cohorts(f.users, f.transactions, lake, first, last)
+    return lake.curated("user_cohorts")
+
+
+def transform_range_bucketed(spark, sf_dir):
+    """A range of metrics over payments and refunds that are stored for their join."""
+    f = payments(spark, sf_dir)
+    lake = Lake(spark, scratch_path(spark, "bucketed-lake"))
+    mark = lake.root.rsplit("-", 1)[-1][:12]
+    copies = curated.JoinCopies(f"payments_by_txn_{mark}", f"refunds_by_txn_{mark}", lake.root, 8)
+    curated.store_join_copies(f.transactions, f.refunds, copies)
+    path = lake.curated_path("daily_merchant_metrics")
+    for end in (date(1997, 5, 24), date(1997, 5, 28)):
+        curated.transform_range(f.transactions, f.refunds, f.merchants, path, end, copies=copies)
+    return lake.curated("daily_merchant_metrics")
+
+
 QUERIES = {
     "refunds_per_txn": _p(lambda f: curated.refunds_per_txn(f.refunds)),
     "daily_merchant_metrics": _p(lambda f: f.daily_merchant_metrics),
     "user_cohorts": _p(lambda f: f.user_cohorts),
     "transform_range": transform_range,
     "transform_cohorts": transform_cohorts,
+    "user_cohorts_incremental": user_cohorts_incremental,
+    "transform_range_bucketed": transform_range_bucketed,
     "daily_gmv": _c(lambda f: f.daily_gmv),
     "merchant_leaderboard": _c(lambda f: f.merchant_leaderboard),
     "failure_reasons": _p(lambda f: f.failure_reasons),
@@ -147,6 +177,12 @@ ORACLES = {
     "transform_range": on_payments(
         f"SELECT {METRIC_COLUMNS} FROM daily_merchant_metrics WHERE dt BETWEEN '1997-05-17' AND '1997-05-28'"
     ),
+    "transform_range_bucketed": on_payments(
+        f"SELECT {METRIC_COLUMNS} FROM daily_merchant_metrics WHERE dt BETWEEN '1997-05-17' AND '1997-05-28'"
+    ),
+    "user_cohorts_incremental": on_payments(
+        "SELECT weeks_since_signup, cohort_size, active_users, cohort_week FROM user_cohorts"
+    ),
     "transform_cohorts": on_payments(
         """SELECT weeks_since_signup, cohort_size, active_users, cohort_week, count(*) OVER (PARTITION BY cohort_week) AS rows
            FROM user_cohorts"""
