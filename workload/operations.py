@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from tidemark.operators import cost, evaluation, runs
-from tidemark.plans import guarded
-from tidemark.sources import lake
+from tidemark.plans import guarded, sqltext
+from tidemark.session import small_frame
+from tidemark.sources import catalog, footers, lake
 from workload.fixtures import duck, event_lake, event_transactions, fixture, on_events, on_payments
 from workload.fixtures import event_frames, payments
 
@@ -190,6 +194,90 @@ def scan_profile(spark, sf_dir):
     return profile.select("variant", "partitions", "files", "rows", (F.col("bytes") > 0).alias("has_bytes"))
 
 
+def scan_bytes(spark, sf_dir):
+    """What the scan variants read: by the footers, and by Spark's own input metrics of a run."""
+    _, tx = event_lake(spark, sf_dir)
+    week = tx.filter(F.col("dt").between(E_FIRST, E_LAST))
+    day = (datetime.fromisoformat(E_DAY), datetime.fromisoformat(f"{E_DAY} 23:59:59.999999"))
+    variants = {
+        "full": footers.Scan(tx, ("amount_paise",)),
+        "one_day": footers.Scan(tx.filter(F.col("dt") == E_DAY), ("amount_paise",)),
+        "created_at_day": footers.Scan(tx, ("amount_paise",), {"created_at": day}),
+        "all_columns_week": footers.Scan(week),
+        "two_columns_week": footers.Scan(week, ("txn_id", "amount_paise")),
+    }
+    ran = footers.executed_bytes({label: scan.rows() for label, scan in variants.items()})
+    ran = ran.select("variant", F.col("bytes_read").alias("bytes_read_by_spark"))
+    return footers.scan_bytes(variants).join(ran, "variant")
+
+
+# Texts as an analyst would write them; each returns a key and a number.
+ANALYST_TEXTS = {
+    "category": f"""SELECT m.category AS k, count(*) AS n FROM lake.raw.transactions t
+        JOIN lake.raw.merchants m ON m.merchant_id = t.merchant_id
+        WHERE t.dt BETWEEN '{E_FIRST}' AND '{E_LAST}' GROUP BY m.category ORDER BY n DESC LIMIT 1000""",
+    "with": f"""WITH per_day AS (
+          SELECT dt, sum(success_count) AS n FROM lake.curated.daily_merchant_metrics WHERE dt >= '{E_DAY}' GROUP BY 1)
+        SELECT dt AS k, n FROM per_day WHERE n > 0 LIMIT 1000""",
+    "union": f"""SELECT concat('failed ', dt) AS k, count(*) AS n FROM lake.raw.transactions
+        WHERE dt IN ('{E_FIRST}', '{E_LAST}') AND status = 'FAILED' GROUP BY dt
+        UNION ALL SELECT concat('day ', dt), txn_count FROM lake.analytics.daily_gmv WHERE dt >= '{E_FIRST}' LIMIT 1000""",
+    "exists": f"""SELECT city AS k, count(*) AS n FROM lake.raw.users u WHERE EXISTS (
+          SELECT 1 FROM lake.raw.transactions t WHERE t.dt = '{E_DAY}' AND t.payer_user_id = u.user_id)
+        GROUP BY city LIMIT 1000""",
+    "no filter": "SELECT status AS k, count(*) AS n FROM lake.raw.transactions GROUP BY status LIMIT 10",
+    "personal": "SELECT min(email) AS k, count(*) AS n FROM lake.raw.users",
+}
+
+
+def guarded_sql(spark, sf_dir):
+    """Accepted texts and what they return; refused ones with the number of rules they break."""
+    frames = event_frames(spark, sf_dir).by_key()
+    out = []
+    for name, text in ANALYST_TEXTS.items():
+        report = sqltext.validate(spark, text)
+        if report.ok:
+            rows = sqltext.guarded_sql(spark, text, frames, max_scan_rows=None)
+            out.append(rows.select(F.lit(name).alias("text"), "k", F.col("n").cast("bigint").alias("n")))
+        else:
+            out.append(small_frame(spark, [(name, "refused", len(report.errors))], "text string, k string, n bigint"))
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
+# Inclusive bounds of each request, and a further predicate that is not on the partition column.
+ESTIMATED = {
+    "day": (E_DAY, E_DAY, ""),
+    "week": (E_FIRST, E_LAST, ""),
+    "from": (E_DAY, "9999-12-31", ""),
+    "from failed": (E_DAY, "9999-12-31", " AND status = 'FAILED' AND amount_paise > 100"),
+    "before": ("1999-01-01", "1999-12-31", ""),
+}
+
+
+def scan_estimate_planned(spark, sf_dir):
+    """Rows that the planner would scan of the registered table, next to those that the manifest counts."""
+    path, _ = event_lake(spark, sf_dir)
+    name = "transactions_" + path.rsplit("-", 1)[-1][:12]
+    lake.register_external_table(spark, name, path, catalog.struct_type("transactions"))
+    texts = {
+        k: f"SELECT count(*) AS n FROM lake.raw.transactions WHERE dt BETWEEN '{a}' AND '{z}'{more} LIMIT 1"
+        for k, (a, z, more) in ESTIMATED.items()
+    }
+    planned = sqltext.planned_estimates(spark, texts, {"raw.transactions": spark.table(name)}, SCAN_LIMIT)
+    requests = small_frame(
+        spark,
+        [(k, "transactions", a, z) for k, (a, z, _) in ESTIMATED.items()],
+        "request_id string, table_name string, dt_from string, dt_to string",
+    )
+    counted = cost.scan_estimate(_event_manifest(spark, sf_dir), requests, SCAN_LIMIT)
+    columns = ("estimated_rows", "partitions", "verdict")
+    planned, counted = (
+        df.select("request_id", *[F.col(c).alias(f"{who}_{c}") for c in columns])
+        for who, df in (("planner", planned), ("manifest", counted))
+    )
+    return planned.join(counted, "request_id")
+
+
 QUERIES = {
     "resultset_equal": resultset_equal,
     "order_only_diffs": order_only_diffs,
@@ -200,6 +288,9 @@ QUERIES = {
     "guarded_read": guarded_read,
     "guarded_aggregate": guarded_aggregate,
     "scan_profile": scan_profile,
+    "scan_bytes": scan_bytes,
+    "guarded_sql": guarded_sql,
+    "scan_estimate_planned": scan_estimate_planned,
     "latency_percentiles": lambda spark, sf_dir: cost.latency_percentiles(
         fixture(spark, sf_dir, RUN_LOG), "value", ["job"]
     ),
@@ -306,6 +397,27 @@ ORACLES = {
             )
         )
     ),
+    "guarded_sql": on_events(
+        f"""SELECT 'category' AS text, category AS k, count(*) AS n FROM transactions JOIN merchants USING (merchant_id)
+              WHERE transactions.dt BETWEEN '{E_FIRST}' AND '{E_LAST}' GROUP BY category
+            UNION ALL SELECT 'with', dt, count(*) FROM transactions WHERE dt >= '{E_DAY}' AND status = 'SUCCESS' GROUP BY dt
+            UNION ALL SELECT 'union', concat('failed ', dt), count(*) FROM transactions
+              WHERE dt IN ('{E_FIRST}', '{E_LAST}') AND status = 'FAILED' GROUP BY dt
+            UNION ALL SELECT 'union', concat('day ', dt), count(*) FROM transactions WHERE dt >= '{E_FIRST}' GROUP BY dt
+            UNION ALL SELECT 'exists', city, count(*) FROM users
+              WHERE user_id IN (SELECT payer_user_id FROM transactions WHERE dt = '{E_DAY}') GROUP BY city
+            UNION ALL SELECT * FROM (VALUES ('no filter', 'refused', 1), ('personal', 'refused', 2))"""
+    ),
+    "scan_estimate_planned": on_events(
+        "\nUNION ALL\n".join(
+            f"""SELECT '{name}' AS request_id, n AS planner_estimated_rows, days AS planner_partitions, v AS planner_verdict,
+                       n AS manifest_estimated_rows, days AS manifest_partitions, v AS manifest_verdict
+                FROM (SELECT count(*) AS n, count(DISTINCT dt) AS days,
+                             CASE WHEN count(*) > {SCAN_LIMIT} THEN 'over_limit' ELSE 'ok' END AS v
+                      FROM transactions WHERE dt BETWEEN '{first}' AND '{last}')"""
+            for name, (first, last, _) in ESTIMATED.items()
+        )
+    ),
     "latency_percentiles": f"""{_LOG}
         SELECT job, n, v[1 + least(n - 1, n * 50 // 100)] AS p50, v[1 + least(n - 1, n * 95 // 100)] AS p95,
                v[1 + least(n - 1, n * 99 // 100)] AS p99
