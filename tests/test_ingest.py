@@ -248,12 +248,12 @@ def test_intervals_reach_the_scan(spark, tmp_path):
     tx.unionByName(old.withColumn("txn_id", F.lit(99_999).cast("bigint"))).write.parquet(path)
     source, seen = spark.read.parquet(path), []
     lake = ingest.Lake(spark, str(tmp_path / "lake"))
-    real = ingest.rebuild_partitions
-    ingest.rebuild_partitions = lambda s, c, t: seen.append(s) or real(s, c, t)
+    real = ingest.snapshot
+    ingest.snapshot = lambda s, name: seen.append(s) or real(s, name)
     try:
         ingest.incremental_extract(source, "transactions", lake, ingest.EPOCH, DAY0 + timedelta(days=9))
     finally:
-        ingest.rebuild_partitions = real
+        ingest.snapshot = real
     plan = seen[0]._jdf.queryExecution().executedPlan().toString()
     pushed = plan[plan.index("PushedFilters") :]
     assert "Or(And(" in pushed and "2023-01-06" in pushed  # the first interval ends there
@@ -270,3 +270,24 @@ def test_state_is_one_set_of_files_per_table(spark, tmp_path):
     assert lake.manifest("u").count() == 1
     files = [f for _, _, names in os.walk(lake.manifest_path) for f in names if f.endswith(".parquet")]
     assert len(files) <= 4
+
+
+def test_rows_that_fail_the_gate_never_reach_readers(spark, tmp_path):
+    lake_ = ingest.Lake(spark, str(tmp_path))
+    tx = transactions(spark)
+    ingest.incremental_extract(tx, "transactions", lake_, ingest.EPOCH, datetime(2030, 1, 1))
+    before = bag(lake_.raw("transactions"))
+    broken = tx.withColumn("merchant_id", F.when(F.col("txn_id") == 7, None).otherwise(F.col("merchant_id")))
+    with pytest.raises(DataQualityError):
+        ingest.incremental_extract(broken, "transactions", lake_, ingest.EPOCH, datetime(2030, 1, 1))
+    assert bag(lake_.raw("transactions")) == before
+
+
+def test_what_is_gated_is_what_is_written(spark, tmp_path):
+    """A source that answers every scan of its rows differently: the lake holds one answer, and it has passed the gate."""
+    lake_ = ingest.Lake(spark, str(tmp_path))
+    tx = transactions(spark).withColumn("amount_paise", (F.rand() * 1e12).cast("bigint"))
+    ingest.incremental_extract(tx, "transactions", lake_, ingest.EPOCH, datetime(2030, 1, 1))
+    assert bag(lake_.raw("transactions").select("amount_paise")) == bag(lake_.raw("transactions").select("amount_paise"))
+    manifest = lake_.manifest("transactions")
+    assert manifest.agg(F.sum("rows")).first()[0] == lake_.raw("transactions").count()

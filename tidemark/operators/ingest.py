@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.expr import day, row_hash
 from tidemark.operators.quality import DataQualityError, gate, partition_gate, schema_gate
-from tidemark.session import checkpointed, small_frame
+from tidemark.session import checkpointed, scratch_path, small_frame
 from tidemark.sources import catalog
 from tidemark.sources.lake import read_partitioned, write_partition_overwrite
 from tidemark.sources.oltp import in_range, in_window
@@ -256,6 +256,13 @@ class Lake:
         _replace_partitions(small_frame(self.spark, merged, WATERMARK_SCHEMA), self.watermark_path, ["table_name"])
 
 
+def snapshot(df: DataFrame, name: str) -> DataFrame:
+    """The rows as they are now, as Parquet in the shared folder."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _replace_partitions(df: DataFrame, path: str, keys: list[str]) -> None:
     (
         df.hint("rebalance", *[F.col(k) for k in keys])
@@ -279,9 +286,10 @@ def incremental_extract(
     """Bring the lake up to date for ``[lo, hi)`` and return the manifest rows of the touched partitions.
 
     A source whose schema has drifted from the catalog, or that has changed rows without a creation time, stops the run
-    before anything is written (unless ``check`` is off). The watermark moves only after the quality gate has passed, and not for a run restricted to given
-    partitions, which says nothing about the window. Every step overwrites, so a failed or repeated run
-    is repaired by running it again.
+    before anything is written (unless ``check`` is off). The rows of the touched days are read from the source once, into
+    the shared folder; readers of the lake see them after they have passed the quality gate. The watermark moves last, and
+    not for a run restricted to given partitions, which says nothing about the window. Every step overwrites, so a failed
+    or repeated run is repaired by running it again.
     """
     spark = lake.spark
     if check:
@@ -306,13 +314,15 @@ def incremental_extract(
                 [in_range(F.col("created_at"), first, last + timedelta(days=1)) for first, last in intervals(dates)],
             )
         )
-        rebuilt = rebuild_partitions(source, changed, table)
+        # A source goes on changing: what is gated and what is written are the same rows, read once.
+        extract = snapshot(source, f"extract-{table}")
+        rebuilt = rebuild_partitions(extract, changed, table)
+        if check:
+            verdicts = partition_gate(extract, rebuilt, table, changed)
+            gate(verdicts.filter(F.col("failed_check").isNotNull()))
         write_partition_overwrite(rebuilt, lake.raw_path(table), "dt", [catalog.table(table).pk])
         written = lake.raw(table).filter(F.col("dt").isin(dates))
         lake.save_manifest(partition_manifest(written, table))
-        if check:
-            verdicts = partition_gate(source, written, table, changed)
-            gate(verdicts.filter(F.col("failed_check").isNotNull()))
     if not only_partitions:
         lake.save_watermark(table, hi, run_id)
     return lake.manifest(table).filter(F.col("dt").isin(dates))
