@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import redaction
-from tidemark.operators import pii, retrieval
+from tidemark.operators import pii, pivots, retrieval
 from tidemark.session import scratch_path
 from tidemark.sources import catalog
 from workload.fixtures import (
@@ -132,6 +133,47 @@ def nearest(spark, sf_dir):
     return retrieval.vector_topk_docs(question_vectors(spark, sf_dir), docs, N_DOCS)
 
 
+def every_50th(spark, sf_dir):
+    """Every vector whose id is divisible by 50, as a question."""
+    return table(spark, sf_dir, "embeddings").filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+
+
+def embedded(spark, sf_dir):
+    return table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("doc_id"), F.col("label").cast("string").alias("doc_group"), "embedding"
+    )
+
+
+def vector_topk_pruned(spark, sf_dir):
+    """The nearest vectors of every 50th, by an index that skips blocks."""
+    index = pivots.build_pivot_index(embedded(spark, sf_dir))
+    return pivots.pivot_topk_docs(every_50th(spark, sf_dir), index, N_DOCS)[0].withColumn("score", F.round("score", 4))
+
+
+def vector_blocks_skipped(spark, sf_dir):
+    """How many pairs of blocks and questions that search looked at, and how many of them it skipped."""
+    index = pivots.build_pivot_index(embedded(spark, sf_dir))
+    counts = pivots.pivot_topk_docs(every_50th(spark, sf_dir), index, N_DOCS)[1]
+    return counts.withColumn("share", F.round(F.col("skipped") / F.col("pairs"), 3))
+
+
+def vector_topk_groups_all(spark, sf_dir):
+    nearest_ = retrieval.vector_topk_docs(every_50th(spark, sf_dir), embedded(spark, sf_dir), N_DOCS)
+    return retrieval.vector_topk_groups(nearest_, K_GROUPS)
+
+
+def recall_at_k_all(spark, sf_dir):
+    """Does a vector find its own label among the others?"""
+    found = retrieval.vector_topk_docs(every_50th(spark, sf_dir), embedded(spark, sf_dir), N_DOCS + 1)
+    others = found.filter("query_id <> doc_id").withColumn(
+        "rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.col("score").desc(), "doc_id"))
+    )
+    ranked = retrieval.vector_topk_groups(others.filter(F.col("rank") <= N_DOCS).drop("rank"), 5)
+    groups = ranked.groupBy("query_id").agg(F.sort_array(F.collect_list(F.struct("rank", "doc_group"))).alias("g"))
+    own = embedded(spark, sf_dir).select(F.col("doc_id").alias("query_id"), F.array("doc_group").alias("gold"))
+    return retrieval.recall_at_k(groups.join(own, "query_id").select("gold", F.col("g.doc_group").alias("retrieved")))
+
+
 def vector_topk_docs(spark, sf_dir):
     return nearest(spark, sf_dir).withColumn("score", F.round("score", 4))
 
@@ -174,6 +216,10 @@ QUERIES = {
         table(spark, sf_dir, "documents"), ["source", "lang", "text"], KEYWORDS
     ).select("doc_id", "source"),
     "recall_at_k": recall_at_k,
+    "vector_topk_pruned": vector_topk_pruned,
+    "vector_blocks_skipped": vector_blocks_skipped,
+    "vector_topk_groups_all": vector_topk_groups_all,
+    "recall_at_k_all": recall_at_k_all,
 }
 
 # The given documents hold mail addresses, whose first part also looks like a payment address; the other
@@ -183,16 +229,21 @@ _TEXTS = f"all_texts AS ({duck(ALL_TEXTS)})"
 _KNOWN = "CASE WHEN origin = 'contact' THEN"
 _INTENT = "(?i)" + redaction.INTENT_PATTERN
 
-_VECTORS = f"""
-  questions AS (
+_BY_LABEL = """
     SELECT query_id, list(x ORDER BY pos) AS embedding FROM (
       SELECT CAST(label AS BIGINT) AS query_id, pos, avg(x) AS x FROM (
         SELECT label, unnest(range(1, 65)) AS pos, unnest(embedding::DOUBLE[]) AS x FROM embeddings) GROUP BY 1, 2)
-    GROUP BY query_id),
+    GROUP BY query_id"""
+_EVERY_50TH = "SELECT vec_id AS query_id, embedding::DOUBLE[] AS embedding FROM embeddings WHERE vec_id % 50 = 0"
+
+
+def _vectors(questions: str, but: str = "false") -> str:
+    return f"""
+  questions AS ({questions}),
   scored AS (
     SELECT q.query_id, e.vec_id AS doc_id, CAST(e.label AS VARCHAR) AS doc_group,
            round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding), 9) AS score
-    FROM questions q CROSS JOIN embeddings e),
+    FROM questions q CROSS JOIN embeddings e WHERE NOT ({but})),
   nearest AS (
     SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM scored
     QUALIFY rank <= {N_DOCS}),
@@ -203,6 +254,9 @@ _VECTORS = f"""
     FROM grouped)"""
 
 
+_VECTORS = _vectors(_BY_LABEL)
+
+
 def _users(column: str) -> str:
     return f"SELECT DISTINCT 'users.{column}' AS kind, {column} AS value FROM users"
 
@@ -299,4 +353,17 @@ ORACLES = {
                round(avg(CAST(hit = wanted AS INTEGER)), 3) AS all_gold,
                round(avg(CAST(hit > 0 AS INTEGER)), 3) AS any_gold
         FROM matched GROUP BY k""",
+    "vector_topk_pruned": f"""
+        WITH {_vectors(_EVERY_50TH)} SELECT query_id, doc_id, doc_group, round(score, 4) AS score, rank FROM nearest""",
+    "vector_topk_groups_all": f"""
+        WITH {_vectors(_EVERY_50TH)}
+        SELECT query_id, doc_group, round(best, 4) AS score, rank FROM ranked WHERE rank <= {K_GROUPS}""",
+    "recall_at_k_all": f"""
+        WITH {_vectors(_EVERY_50TH, "q.query_id = e.vec_id")},
+        placed AS (SELECT query_id, min(rank) FILTER (WHERE doc_group = CAST(label AS VARCHAR)) AS place
+                   FROM ranked JOIN embeddings ON vec_id = query_id GROUP BY query_id),
+        hits AS (SELECT k, CAST(coalesce(place <= k, false) AS INTEGER) AS hit
+                 FROM placed CROSS JOIN (SELECT CAST(unnest([1, 3, 5]) AS BIGINT) AS k))
+        SELECT k, count(*) AS questions, round(avg(hit), 3) AS recall, round(avg(hit), 3) AS all_gold,
+               round(avg(hit), 3) AS any_gold FROM hits GROUP BY k""",
 }
