@@ -141,6 +141,13 @@ def register_external_table(spark, sf_dir):
     )
 
 
+def compact_clustered(spark, sf_dir):
+    """Small files rewritten along a curve through creation time and merchant: the rows of each day and merchant."""
+    path, _ = event_lake(spark, sf_dir)
+    out = lake.compact_clustered(spark, path, scratch_path(spark, "clustered"), TX, ["created_at", "merchant_id"])
+    return out.groupBy("dt", "merchant_id").agg(F.count(F.lit(1)).alias("rows"), F.sum("amount_paise").alias("paise"))
+
+
 QUERIES = {
     "schema_from_catalog": schema_from_catalog,
     "read_partitioned": lambda spark, sf_dir: event_lake(spark, sf_dir)[1].select(
@@ -160,6 +167,7 @@ QUERIES = {
     "incremental_extract": incremental_extract,
     "compact_partitions": compact_partitions,
     "register_external_table": register_external_table,
+    "compact_clustered": compact_clustered,
 }
 
 _WINDOW = "updated_at >= TIMESTAMP '2024-01-20 00:00:00' AND updated_at < TIMESTAMP '2024-01-22 00:00:00'"
@@ -223,6 +231,10 @@ ORACLES = {
         f"""SELECT dt, count(DISTINCT txn_id % {SMALL_FILES}) AS files_before, CAST(1 AS BIGINT) AS files_after,
                    count(*) AS rows FROM transactions GROUP BY dt"""
     ),
+    "compact_clustered": on_events(
+        """SELECT dt, merchant_id, count(*) AS rows, CAST(sum(amount_paise) AS BIGINT) AS paise FROM transactions
+           GROUP BY dt, merchant_id"""
+    ),
     "register_external_table": on_events(
         """SELECT count(DISTINCT dt) AS partitions, count(*) AS rows, CAST(sum(amount_paise) AS BIGINT) AS paise
            FROM transactions"""
