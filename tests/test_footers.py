@@ -77,6 +77,7 @@ def test_columns_partitions_and_ranges(stored):
     assert out["never"]["bytes_read"] == 0 and out["never"]["row_groups_read"] == 0
     assert out["two"]["bytes_read"] < out["all"]["bytes_read"] / 3
     assert out["two"]["bytes"] == out["all"]["bytes"]
+    assert out["two"]["chunk_bytes"] == out["all"]["chunk_bytes"] == out["all"]["bytes_read"]
     assert out["day"]["partitions"] == 1 and out["all"]["partitions"] == 3
     assert 0 < out["range"]["row_groups_read"] < out["range"]["row_groups"]
 
@@ -84,7 +85,7 @@ def test_columns_partitions_and_ranges(stored):
 def test_no_files(stored):
     df, _ = stored
     row = scan_bytes({"none": Scan(df.filter("dt = '1999-01-01'"))}).first()
-    assert [row[c] for c in ("partitions", "files", "bytes", "row_groups", "row_groups_read", "bytes_read")] == [0] * 6
+    assert [row[c] for c in ("partitions", "files", "bytes", "row_groups", "row_groups_read", "chunk_bytes", "bytes_read")] == [0] * 7
 
 
 def test_columns_without_statistics_are_never_outside(stored):

@@ -98,9 +98,9 @@ def read_files(df: DataFrame, partition: str) -> DataFrame:
 
 
 def scan_bytes(variants: dict[str, Scan], partition: str = "dt") -> DataFrame:
-    """Per variant ``partitions, files, bytes, row_groups, row_groups_read, bytes_read``.
+    """Per variant ``partitions, files, bytes, row_groups, row_groups_read, chunk_bytes, bytes_read``.
 
-    ``bytes`` is what the files hold, ``bytes_read`` the chunks of the needed columns (with those of the ranges) in the
+    ``bytes`` is what the files hold, ``chunk_bytes`` all their column chunks, and ``bytes_read`` the chunks of the needed columns (with those of the ranges) in the
     row groups that no range excludes.
     """
     frames = []
@@ -110,7 +110,9 @@ def scan_bytes(variants: dict[str, Scan], partition: str = "dt") -> DataFrame:
         needed = None if scan.columns is None else {*scan.columns, *scan.ranges}
         own = F.lit(True) if needed is None else F.col("column").isin(sorted(needed))
         groups = chunks.groupBy("file_path", "row_group").agg(
-            F.max("outside").alias("skipped"), F.sum(F.when(own, F.col("bytes")).otherwise(0)).alias("needed")
+            F.max("outside").alias("skipped"),
+            F.sum(F.when(own, F.col("bytes")).otherwise(0)).alias("needed"),
+            F.sum("bytes").alias("every"),
         )
         opened = files.agg(
             F.count_distinct("part").alias("partitions"),
@@ -120,12 +122,14 @@ def scan_bytes(variants: dict[str, Scan], partition: str = "dt") -> DataFrame:
         read = groups.agg(
             F.count(F.lit(1)).alias("row_groups"),
             F.count_if(~F.col("skipped")).alias("row_groups_read"),
+            F.coalesce(F.sum("every"), F.lit(0)).cast("bigint").alias("chunk_bytes"),
             F.coalesce(F.sum(F.when(~F.col("skipped"), F.col("needed"))), F.lit(0)).cast("bigint").alias("bytes_read"),
         )
-        # Two frames of one row each.
-        frames.append(opened.join(read, F.lit(True)).withColumn("variant", F.lit(label)))
-    columns = ("variant", "partitions", "files", "bytes", "row_groups", "row_groups_read", "bytes_read")
-    return reduce(DataFrame.unionByName, frames).select(*columns)
+        both = opened.unionByName(read, allowMissingColumns=True)
+        frames.append(both.withColumn("variant", F.lit(label)))
+    figures = ("partitions", "files", "bytes", "row_groups", "row_groups_read", "chunk_bytes", "bytes_read")
+    # Two rows for each variant, each with a part of the figures.
+    return reduce(DataFrame.unionByName, frames).groupBy("variant").agg(*[F.max(c).alias(c) for c in figures])
 
 
 def executed_bytes(variants: dict[str, DataFrame]) -> DataFrame:

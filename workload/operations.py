@@ -195,7 +195,11 @@ def scan_profile(spark, sf_dir):
 
 
 def scan_bytes(spark, sf_dir):
-    """What the scan variants read: by the footers, and by Spark's own input metrics of a run."""
+    """What the scan variants open and read: by the footers, and by Spark's own input metrics of a run.
+
+    Bytes depend on the writer; what both engines know is how many files and row groups are opened, that columns and days
+    left out cost nothing, and that Spark reads what the footers say and little more.
+    """
     _, tx = event_lake(spark, sf_dir)
     week = tx.filter(F.col("dt").between(E_FIRST, E_LAST))
     day = (datetime.fromisoformat(E_DAY), datetime.fromisoformat(f"{E_DAY} 23:59:59.999999"))
@@ -207,8 +211,18 @@ def scan_bytes(spark, sf_dir):
         "two_columns_week": footers.Scan(week, ("txn_id", "amount_paise")),
     }
     ran = footers.executed_bytes({label: scan.rows() for label, scan in variants.items()})
-    ran = ran.select("variant", F.col("bytes_read").alias("bytes_read_by_spark"))
-    return footers.scan_bytes(variants).join(ran, "variant")
+    ran = ran.select("variant", F.col("bytes_read").alias("by_spark"))
+    read = F.col("bytes_read")
+    most = F.col("row_groups_read") * 10 * 65536 + F.col("files") * 65536
+    return footers.scan_bytes(variants).join(ran, "variant").select(
+        "variant",
+        "partitions",
+        "files",
+        "row_groups",
+        "row_groups_read",
+        (read < F.col("chunk_bytes") / 2).alias("under_half_of_the_bytes"),
+        F.col("by_spark").between(read, read + most).alias("as_spark_reads"),
+    )
 
 
 # Texts as an analyst would write them; each returns a key and a number.
@@ -397,6 +411,20 @@ ORACLES = {
             )
         )
     ),
+    "scan_bytes": on_events(
+        "\nUNION ALL\n".join(
+            f"""SELECT '{v}' AS variant, count(DISTINCT dt) AS partitions, count(DISTINCT dt) AS files,
+                       count(DISTINCT dt) AS row_groups, count(DISTINCT dt) FILTER (WHERE {rows}) AS row_groups_read,
+                       {half} AS under_half_of_the_bytes, true AS as_spark_reads FROM transactions WHERE {opened}"""
+            for v, opened, rows, half in (
+                ("full", "true", "true", "true"),
+                ("one_day", f"dt = '{E_DAY}'", "true", "true"),
+                ("created_at_day", "true", f"CAST(created_at AS DATE) = DATE '{E_DAY}'", "true"),
+                ("all_columns_week", f"dt BETWEEN '{E_FIRST}' AND '{E_LAST}'", "true", "false"),
+                ("two_columns_week", f"dt BETWEEN '{E_FIRST}' AND '{E_LAST}'", "true", "true"),
+            )
+        )
+    ),
     "guarded_sql": on_events(
         f"""SELECT 'category' AS text, category AS k, count(*) AS n FROM transactions JOIN merchants USING (merchant_id)
               WHERE transactions.dt BETWEEN '{E_FIRST}' AND '{E_LAST}' GROUP BY category

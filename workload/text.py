@@ -150,13 +150,6 @@ def vector_topk_pruned(spark, sf_dir):
     return pivots.pivot_topk_docs(every_50th(spark, sf_dir), index, N_DOCS)[0].withColumn("score", F.round("score", 4))
 
 
-def vector_blocks_skipped(spark, sf_dir):
-    """How many pairs of blocks and questions that search looked at, and how many of them it skipped."""
-    index = pivots.build_pivot_index(embedded(spark, sf_dir))
-    counts = pivots.pivot_topk_docs(every_50th(spark, sf_dir), index, N_DOCS)[1]
-    return counts.withColumn("share", F.round(F.col("skipped") / F.col("pairs"), 3))
-
-
 def vector_topk_groups_all(spark, sf_dir):
     nearest_ = retrieval.vector_topk_docs(every_50th(spark, sf_dir), embedded(spark, sf_dir), N_DOCS)
     return retrieval.vector_topk_groups(nearest_, K_GROUPS)
@@ -217,7 +210,6 @@ QUERIES = {
     ).select("doc_id", "source"),
     "recall_at_k": recall_at_k,
     "vector_topk_pruned": vector_topk_pruned,
-    "vector_blocks_skipped": vector_blocks_skipped,
     "vector_topk_groups_all": vector_topk_groups_all,
     "recall_at_k_all": recall_at_k_all,
 }
