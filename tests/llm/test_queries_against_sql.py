@@ -17,7 +17,12 @@ COLUMNS = {
     "op8_language": "doc_id held_out lang_pred score",
     "op9_quality": "doc_id held_out score predicted",
     "op10_mixing": "doc_id size source_size target taken",
+    "op11_minhash": "doc_id n_shingles component_id kept",
+    "op12_prefix_trie": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op13_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
 }
+# Nodes of a trie, not documents.
+OTHER_ROWS = {"op12_prefix_trie"}
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
@@ -29,7 +34,7 @@ def test_query(spark, sf_small, name):
 def test_columns_and_rows(spark, sf_small, name):
     out = entry.queries()[name](spark, sf_small)
     assert set(COLUMNS[name].split()) <= set(out.columns)
-    assert out.count() == spark.read.parquet(f"{sf_small}/documents.parquet").count()
+    assert name in OTHER_ROWS or out.count() == spark.read.parquet(f"{sf_small}/documents.parquet").count()
 
 
 def test_pipeline_is_registered():

@@ -275,3 +275,30 @@ def near_duplicates(
         F.col("doc").alias(id_col), F.col("n").alias("n_shingles"), F.when(own != LARGEST, own).alias("component_id")
     )
     return out.withColumn("kept", F.col(id_col).cast("bigint").eqNullSafe(F.col("component_id")))
+
+
+# For a few thousand documents: every two that share a shingle are compared.
+SQL = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
+    FROM words
+), sizes AS (
+    SELECT doc_id, len(s) AS n, s FROM sets
+), shingles AS (
+    SELECT doc_id, n, md5(unnest(s)) AS x FROM sizes
+), links AS (
+    SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id <> b.doc_id
+    AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n)
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION SELECT r.a, l.b FROM reached r JOIN links l ON l.a = r.b
+)
+SELECT doc_id, n AS n_shingles, least(doc_id, min(b)) AS component_id, doc_id = min(b) AS kept
+FROM sizes JOIN reached ON a = doc_id GROUP BY doc_id, n
+"""

@@ -158,5 +158,6 @@ ORACLES = {
     "op2_suffix_dedup": substrings.SQL,
     "op5_decontamination": decontamination.SQL,
     "op10_mixing": mixing.SQL,
+    "op11_minhash": minhash.SQL,
     "op12_prefix_trie": trie.SQL,
 }
