@@ -124,7 +124,7 @@ def reconcile_counts(tx, lake):
     return reconcile.reconcile_counts(tx, manifest)
 
 
-def curated_vs_source(spark, sf_dir):
+def curated_vs_source(spark, sf_dir, cells=False):
     """Both curated tables, altered in places, against independent formulations."""
     f = payments(spark, sf_dir)
     one = F.col("merchant_id")
@@ -138,7 +138,7 @@ def curated_vs_source(spark, sf_dir):
     cohorts = f.user_cohorts.filter(week != 2).withColumn(
         "active_users", F.col("active_users") + F.when(week == 4, 1).otherwise(0)
     )
-    return reconcile.curated_vs_source(f.users, f.transactions, f.transactions, f.refunds, metrics, cohorts)
+    return reconcile.curated_vs_source(f.users, f.transactions, f.transactions, f.refunds, metrics, cohorts, cells)
 
 
 def dq_report(spark, sf_dir):
@@ -179,6 +179,7 @@ QUERIES = {
         )
     ),
     "curated_vs_source": curated_vs_source,
+    "curated_vs_source_cells": lambda spark, sf_dir: curated_vs_source(spark, sf_dir, cells=True),
     "dq_report": dq_report,
 }
 
@@ -321,3 +322,4 @@ ORACLES = {
                     UNION ALL SELECT 'refunds', max(updated_at) FROM refunds))""",
     ),
 }
+ORACLES["curated_vs_source_cells"] = ORACLES["curated_vs_source"]
