@@ -46,7 +46,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def comparable_id(column: str) -> Column:
-    """The id as a number that is never null."""
+    """The id as a number that is never null. Ids are integers, or texts of integers; any other text is an error."""
     return F.coalesce(F.col(column).cast("bigint"), F.lit(LARGEST))
 
 
