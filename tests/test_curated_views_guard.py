@@ -1,8 +1,11 @@
+import os
 from datetime import date
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from tests.compare import differences
 from tests.helpers import bag, refunds, transactions
 from tidemark.operators import curated, views
 from tidemark.operators.ingest import Lake
@@ -10,6 +13,7 @@ from tidemark.plans import charts, guarded, questions
 from tidemark.plans.frames import Frames
 from tidemark.plans.guarded import Aggregate, Join, Predicate, Request
 from tidemark.sources import catalog, lake
+from workload import operations
 
 EQ_DAY = (Predicate("dt", "=", "2026-08-21"),)
 
@@ -186,6 +190,26 @@ def test_cost_gate(frames, manifest):
         read(Request("raw.users", ("city",), 5), 1000)
 
 
+@pytest.mark.parametrize("name", ["guarded_read", "guarded_aggregate"])
+def test_guarded_queries_over_more_rows_than_the_default_limit(spark, tmp_path, name):
+    given = "/root/testdata/sf0.001"
+    if not os.path.isdir(given):
+        pytest.skip("needs the given tables")
+    for t in ("customer", "nation", "orders", "lineitem", "supplier"):
+        os.symlink(f"{given}/{t}.parquet", tmp_path / f"{t}.parquet")
+    events = spark.read.parquet(f"{given}/events.parquet").filter("ts >= '2024-01-09' and ts < '2024-01-16'")
+    copies = spark.range(1 + 200_000 // events.count()).withColumnRenamed("id", "i")
+    many = events.crossJoin(copies).withColumn("event_id", F.col("event_id") + F.col("i") * 1_000_000).drop("i")
+    many.write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    for t in ("customer", "nation", "orders", "lineitem", "supplier", "events"):
+        files = f"{tmp_path}/{t}.parquet" + ("/*.parquet" if t == "events" else "")
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{files}')")
+    assert many.count() > guarded.MAX_SCAN_ROWS
+    found = operations.QUERIES[name](spark, str(tmp_path))
+    assert differences(found, con, operations.ORACLES[name]) == []
+
+
 def test_views_are_charged_for_their_source(frames, manifest):
     request = Request("analytics.failure_reasons", ("failure_code", "failed_count"), 5, EQ_DAY)
     assert guarded.estimated_rows(request, manifest) == (50, 1)

@@ -183,16 +183,19 @@ def guarded_read(
     frames: dict[str, DataFrame],
     request: Request,
     manifest: DataFrame,
-    max_scan_rows: int = MAX_SCAN_ROWS,
+    max_scan_rows: int | None = MAX_SCAN_ROWS,
 ) -> DataFrame:
-    """Check the request, then its cost, then plan the read. Raises :class:`GuardError` before reading."""
+    """Check the request, then its cost, then plan the read. Raises :class:`GuardError` before reading.
+
+    ``max_scan_rows=None`` sets no limit to a scan whose rows are known; tables without statistics are refused all the same.
+    """
     errors = violations(request)
     if errors:
         raise GuardError(errors)
     rows, _ = estimated_rows(request, manifest)
     if rows is None:
         raise GuardError([f"no statistics for {request.table}: scan cost cannot be estimated"])
-    if rows > max_scan_rows:
+    if max_scan_rows is not None and rows > max_scan_rows:
         raise GuardError([f"estimated scan of {rows:,} rows exceeds the limit of {max_scan_rows:,}"])
     df = frames[request.table]
     star = df.columns
