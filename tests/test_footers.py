@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.sources.footers import Scan, column_chunks, executed_bytes, read_files, scan_bytes
+from tidemark.sources.footers import Scan, column_chunks, executed_bytes, read_files, scan_bytes, within_ranges
 
 DAY = datetime.datetime(2024, 1, 1)
 
@@ -110,3 +110,25 @@ def test_spark_reads_what_the_footers_say(stored):
         # Footers come on top, and up to a buffer for each seek.
         assert said[k] <= ran[k]["bytes_read"] <= said[k] + pieces[k] * 65536, k
     assert ran["range"]["bytes_read"] < ran["two"]["bytes_read"] < ran["all"]["bytes_read"]
+
+
+def test_files_outside_the_ranges_are_not_read(spark, tmp_path):
+    """Times without a zone, which no filter of Spark's own skips by."""
+    path = str(tmp_path / "t")
+    df = spark.range(300_000).select(
+        F.col("id").alias("k"),
+        F.expr(f"TIMESTAMP_NTZ '{DAY}' + make_interval(0, 0, 0, id div 100000, 0, 0, id % 100000 / 2)").alias("at"),
+        F.concat(F.lit("2024-01-0"), 1 + F.call_function("div", F.col("id"), F.lit(100_000))).alias("dt"),
+    )
+    df.repartition("dt").write.partitionBy("dt").parquet(path)
+    stored = spark.read.schema("k bigint, at timestamp_ntz, dt string").parquet(path)
+    day = DAY + datetime.timedelta(days=1)
+    scan = Scan(stored, ("k",), {"at": (day, day + datetime.timedelta(seconds=86_399))})
+    narrow = within_ranges(scan)
+    assert narrow.rows().count() == scan.rows().count() == 100_000
+    by_footers = scan_bytes({"day": scan}).first()["bytes_read"]
+    read = {r["variant"]: r for r in executed_bytes({"all": scan.rows(), "day": narrow.rows()}).collect()}
+    assert read["all"]["rows_read"] == 300_000 and read["day"]["rows_read"] == 100_000
+    assert by_footers <= read["day"]["bytes_read"] < by_footers + 11 * 65536 < read["all"]["bytes_read"]
+    none = Scan(stored, ("k",), {"at": (day + datetime.timedelta(days=9), None)})
+    assert within_ranges(none).rows().count() == 0
