@@ -120,3 +120,17 @@ def test_without_payments_or_users(spark, tmp_path, given):
     assert held(lake) == expected(users, tx)
     cohorts.refresh_cohorts(users.filter("false"), tx, lake, *given)
     assert lake.curated("user_cohorts").count() == 0
+
+
+def test_every_bitmap_moves_once(spark):
+    """No row per week and cohort that carries their bitmaps."""
+    rows = [(77 * (i % 700), datetime(2026, 1, 5) + timedelta(days=i % 150)) for i in range(3_000)]
+    paid = spark.createDataFrame(rows, "payer_user_id bigint, created_at timestamp_ntz")
+    paid = paid.select("payer_user_id", "created_at", F.lit("SUCCESS").alias("status"), F.col("created_at").cast("date").cast("string").alias("dt"))
+    users = paid.groupBy(F.col("payer_user_id").alias("user_id")).agg(F.min("created_at").alias("created_at"))
+    days, signups = cohorts.payer_days(paid), cohorts.signup_bitmaps(users)
+    found = cohorts.week_activity(days, signups)
+    expected = curated.user_cohorts(users, paid)
+    assert bag(cohorts.cohorts_from_activity(found, signups)) == bag(expected) and found.count() > 10
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "explode" not in plan and "Join" not in plan

@@ -17,6 +17,7 @@ from __future__ import annotations
 from datetime import date, timedelta
 from typing import TYPE_CHECKING
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,10 +36,10 @@ ACTIVITY = "week string, cohort string, active_users bigint, month string"
 
 def _bitmaps(df: DataFrame, by: str, user: str) -> DataFrame:
     """``by, bucket, bits``: the users of each value; a bit is set once however often its user occurs."""
-    own = df.filter(F.col(user).isNotNull()).select(
-        by, F.bitmap_bucket_number(user).alias("bucket"), F.bitmap_bit_position(user).alias("bit")
-    )
-    return own.groupBy(by, "bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    own = df.filter(F.col(user).isNotNull()).select(by, user).distinct()
+    own = own.select(by, F.bitmap_bucket_number(user).alias("bucket"), F.bitmap_bit_position(user).alias("bit"))
+    # Users move, 32,768 to a bitmap at most; bitmaps begun by every task would move with hardly a bit set in them.
+    return own.repartition(by, "bucket").groupBy(by, "bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
 
 def payer_days(transactions: DataFrame) -> DataFrame:
@@ -59,20 +60,39 @@ def signup_bitmaps(users: DataFrame) -> DataFrame:
 def week_activity(days: DataFrame, signups: DataFrame) -> DataFrame:
     """``week, cohort, active_users`` from bitmaps, for weeks from the sign-up week on.
 
-    Bitmaps meet by bucket, and only those of a week and a cohort with users in it; both are intersected without
-    listing a user.
+    Bitmaps meet by bucket, each sent there once: a group holds one bitmap per week and one per cohort, whatever the number
+    of users, and pairs of them are intersected in place without listing a user.
     """
     weeks = (
         days.filter(F.col("bucket").isNotNull())
         .groupBy("week", "bucket")
-        .agg(F.bitmap_or_agg("bits").alias("paid"))
+        .agg(F.bitmap_or_agg("bits").alias("bits"))
+        .select("bucket", "week", "bits")
     )
-    met = weeks.join(signups.filter(F.col("bucket").isNotNull()), "bucket").filter(F.col("week") >= F.col("cohort"))
-    both = met.select("week", "cohort", "bucket", F.explode(F.array("paid", "bits")).alias("bits"))
-    shared = both.groupBy("week", "cohort", "bucket").agg(F.bitmap_count(F.bitmap_and_agg("bits")).alias("n"))
+    joined = signups.filter(F.col("bucket").isNotNull()).select("bucket", "cohort", "bits")
+    both = weeks.groupBy("bucket").cogroup(joined.groupBy("bucket"))
+    shared = both.applyInArrow(_shared_bits, "week string, cohort string, n bigint")
     return shared.groupBy("week", "cohort").agg(F.sum("n").alias("active_users")).filter("active_users > 0")
 
 
+def _shared_bits(weeks: pa.Table, cohorts: pa.Table) -> pa.Table:
+    """``week, cohort, n`` of one bucket: the bits that a week shares with each cohort up to it."""
+    import numpy as np
+
+    kind = pa.schema([("week", pa.string()), ("cohort", pa.string()), ("n", pa.int64())])
+    if not (weeks.num_rows and cohorts.num_rows):
+        return kind.empty_table()
+    cohorts = cohorts.sort_by("cohort")
+    names = cohorts["cohort"].to_numpy(zero_copy_only=False)
+    joined = np.array([np.frombuffer(b, "u8") for b in cohorts["bits"].to_pylist()])
+    found = []
+    for week, bits in zip(weeks["week"].to_pylist(), weeks["bits"].to_pylist()):
+        early = np.searchsorted(names, week, "right")
+        n = np.bitwise_count(joined[:early] & np.frombuffer(bits, "u8")).sum(axis=1)
+        found += [(week, names[i], int(n[i])) for i in np.flatnonzero(n)]
+    return pa.Table.from_arrays([pa.array([r[i] for r in found], f.type) for i, f in enumerate(kind)], schema=kind)
+
+
 def cohorts_from_activity(activity: DataFrame, signups: DataFrame) -> DataFrame:
     """The rows of ``user_cohorts``."""
     sizes = signups.groupBy("cohort").agg(F.sum(F.bitmap_count("bits")).alias("cohort_size"))
