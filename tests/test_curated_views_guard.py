@@ -5,7 +5,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tests.compare import differences
+from tests.compare import connect, differences
 from tests.helpers import bag, refunds, transactions
 from tidemark.operators import curated, views
 from tidemark.operators.ingest import Lake
@@ -13,7 +13,7 @@ from tidemark.plans import charts, guarded, questions
 from tidemark.plans.frames import Frames
 from tidemark.plans.guarded import Aggregate, Join, Predicate, Request
 from tidemark.sources import catalog, lake
-from workload import operations
+from workload import analytics, fixtures, operations
 
 EQ_DAY = (Predicate("dt", "=", "2026-08-21"),)
 
@@ -210,6 +210,18 @@ def test_guarded_queries_over_more_rows_than_the_default_limit(spark, tmp_path,
     assert differences(found, con, operations.ORACLES[name]) == []
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="needs the given tables")
+def test_only_the_curated_table_that_a_query_reads_is_written(spark, tmp_path, monkeypatch):
+    given = str(tmp_path / "given")  # a path of its own: nothing is stored for it yet
+    os.symlink("/root/testdata/sf0.001", given)
+    written, real = [], fixtures.curated.write_cohorts
+    monkeypatch.setattr(fixtures.curated, "write_cohorts", lambda *a: (written.append(a[2]), real(*a)))
+    assert analytics.QUERIES["daily_gmv"](spark, given).count() > 0 and written == []
+    for name in ("q_view_point", "retention_weekly"):
+        assert differences(analytics.QUERIES[name](spark, given), connect(given), analytics.ORACLES[name]) == []
+    assert len(written) == 1
+
+
 def test_views_are_charged_for_their_source(frames, manifest):
     request = Request("analytics.failure_reasons", ("failure_code", "failed_count"), 5, EQ_DAY)
     assert guarded.estimated_rows(request, manifest) == (50, 1)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
+from dataclasses import dataclass
+from functools import cached_property, lru_cache
 from string import Template
 
 from pyspark.sql import DataFrame, SparkSession
@@ -140,23 +141,39 @@ def _payments(app: str, spark: SparkSession, sf_dir: str) -> dict[str, DataFrame
     return frames
 
 
+@dataclass(frozen=True)
+class _Stored(Frames):
+    """Frames whose curated tables are written once per session, each when a query first reads it."""
+
+    source: tuple[SparkSession, str] | None = None
+
+    @cached_property
+    def daily_merchant_metrics(self) -> DataFrame:
+        return _metrics(self.source[0].sparkContext.applicationId, *self.source)
+
+    @cached_property
+    def user_cohorts(self) -> DataFrame:
+        return _cohorts(self.source[0].sparkContext.applicationId, *self.source)
+
+
 def curated_frames(spark: SparkSession, sf_dir: str) -> Frames:
-    """The same with both curated tables written once per session, as views and charts read them."""
+    """The same with the curated tables as written ones, as views and charts read them."""
     base = payments(spark, sf_dir)
-    metrics, cohorts = _curated(spark.sparkContext.applicationId, spark, sf_dir)
-    return Frames(base.users, base.merchants, base.transactions, base.refunds, metrics, cohorts)
+    return _Stored(base.users, base.merchants, base.transactions, base.refunds, source=(spark, sf_dir))
+
+
+@lru_cache(maxsize=None)
+def _metrics(app: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "daily_merchant_metrics")
+    write_partition_overwrite(payments(spark, sf_dir).daily_merchant_metrics, path, "dt", ["merchant_id"])
+    return read_partitioned(spark, path, catalog.struct_type("daily_merchant_metrics"))
 
 
 @lru_cache(maxsize=None)
-def _curated(app: str, spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    f = payments(spark, sf_dir)
-    metrics, cohorts = scratch_path(spark, "daily_merchant_metrics"), scratch_path(spark, "user_cohorts")
-    write_partition_overwrite(f.daily_merchant_metrics, metrics, "dt", ["merchant_id"])
-    curated.write_cohorts(f.users, f.transactions, cohorts)
-    return (
-        read_partitioned(spark, metrics, catalog.struct_type("daily_merchant_metrics")),
-        read_partitioned(spark, cohorts, catalog.struct_type("user_cohorts")),
-    )
+def _cohorts(app: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    f, path = payments(spark, sf_dir), scratch_path(spark, "user_cohorts")
+    curated.write_cohorts(f.users, f.transactions, path)
+    return read_partitioned(spark, path, catalog.struct_type("user_cohorts"))
 
 
 def event_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
