@@ -210,22 +210,45 @@ def redact(text: Column) -> Column:
     return let(taken_spans(text), lambda spans: without(text, spans))
 
 
-def redact_within(value: Column, kind: T.DataType) -> Column:
+def texts_within(value: Column, kind: T.DataType) -> Column:
+    """Every text inside ``value``, repeated ones and nulls included."""
+    none = F.array().cast("array<string>")
+    if isinstance(kind, T.StringType):
+        return F.array(value)
+    if not holds_text(kind):
+        return none
+    if isinstance(kind, T.ArrayType):
+        return F.coalesce(F.flatten(F.transform(value, lambda x: texts_within(x, kind.elementType))), none)
+    if isinstance(kind, T.MapType):
+        values = F.map_values(value)
+        return F.coalesce(F.flatten(F.transform(values, lambda x: texts_within(x, kind.valueType))), none)
+    return F.concat(
+        *[texts_within(value.getField(f.name), f.dataType) for f in kind.fields if holds_text(f.dataType)]
+    )
+
+
+def redact_all(texts: Column) -> Column:
+    """A map from each text of an array to its redacted form, each distinct one redacted once."""
+    distinct = F.array_distinct(F.filter(texts, lambda t: t.isNotNull()))
+    return let(distinct, lambda d: F.map_from_arrays(d, F.transform(d, redact)))
+
+
+def redact_within(value: Column, kind: T.DataType, clean: Column) -> Column:
     """``value`` with every text inside it redacted: elements of arrays, values of maps, fields of structs.
 
-    Keys of maps are names of fields and stay.
+    Keys of maps are names of fields and stay. ``clean`` maps every text to its redacted form (:func:`redact_all`).
     """
     if isinstance(kind, T.StringType):
-        return redact(value)
+        return clean[value]
     if not holds_text(kind):
         return value
     if isinstance(kind, T.ArrayType):
-        return F.transform(value, lambda x: redact_within(x, kind.elementType))
+        return F.transform(value, lambda x: redact_within(x, kind.elementType, clean))
     if isinstance(kind, T.MapType):
-        return F.transform_values(value, lambda k, v: redact_within(v, kind.valueType))
+        return F.transform_values(value, lambda k, v: redact_within(v, kind.valueType, clean))
     for field in kind.fields:
         if holds_text(field.dataType):
-            inner = redact_within(value.getField(field.name), field.dataType)
+            inner = redact_within(value.getField(field.name), field.dataType, clean)
             value = value.withField(f"`{field.name}`", inner)
     return value
 

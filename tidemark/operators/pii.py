@@ -237,10 +237,20 @@ def leak_scan(values: DataFrame, corpus: DataFrame, text: str) -> DataFrame:
 
 
 def redact_records(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Redact every text of log records, nested ones included, the last step before they are written."""
+    """Redact every text of log records, nested ones included, the last step before they are written.
+
+    Records repeat their texts: each is redacted once per record, however many fields hold it.
+    """
     kinds = {f.name: f.dataType for f in df.schema.fields if redaction.holds_text(f.dataType)}
     chosen = columns or list(kinds)
-    return df.withColumns({c: redaction.redact_within(F.col(f"`{c}`"), kinds[c]) for c in chosen if c in kinds})
+    chosen = [c for c in chosen if c in kinds]
+    if not chosen:
+        return df
+    texts = F.concat(*[redaction.texts_within(F.col(f"`{c}`"), kinds[c]) for c in chosen])
+    known = df.withColumn("_clean", redaction.redact_all(texts))
+    return known.withColumns(
+        {c: redaction.redact_within(F.col(f"`{c}`"), kinds[c], F.col("_clean")) for c in chosen}
+    ).drop("_clean")
 
 
 def write_audit_log(df: DataFrame, path: str) -> None:
