@@ -18,6 +18,15 @@ class PiiError(Exception):
     """Text that must be clean is not. The message has kinds and counts, never values."""
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out over all tasks.
+
+    Searching a text takes far longer than reading it: a table of a few bytes a row is read by one or two tasks, which would
+    then search the texts of millions of rows.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def redact_text(df: DataFrame, text: str) -> DataFrame:
     """Replace ``text`` by its redacted form and add the array ``findings``."""
     return _apply_spans(df.withColumn("_spans", redaction.taken_spans(F.col(text))), df.columns, text)
@@ -221,7 +230,7 @@ def leak_scan(values: DataFrame, corpus: DataFrame, text: str) -> DataFrame:
     sizes: dict[str, list] = {k: [] for k in (*_SHAPES, "words")}
     for r in keyed.select("shape", "n", "after").distinct().orderBy("shape", "n", "after").collect():
         sizes[r["shape"]].append((r["n"], r["after"]) if r["shape"] == "address" else r["n"])
-    tokens = corpus.select(F.col(text).alias("_t"), words(text).alias("_w"))
+    tokens = spread(corpus.select(text)).select(F.col(text).alias("_t"), words(text).alias("_w"))
     every = [
         *(word_runs("_w", n) for n in sizes["words"] if n),
         *_number_runs(F.col("_t"), sizes["plus"], sizes["digits"]),

@@ -54,8 +54,13 @@ KEYWORDS = "The in the"
 N_DOCS, K_GROUPS = 40, 3
 
 
+def dealt_texts(spark, sf_dir):
+    """The texts over all tasks: stored customers are few bytes a row, and one task would search the texts of millions."""
+    return pii.spread(fixture(spark, sf_dir, ALL_TEXTS))
+
+
 def redact_text(spark, sf_dir):
-    texts = fixture(spark, sf_dir, ALL_TEXTS)
+    texts = dealt_texts(spark, sf_dir)
     return pii.redact_text(texts, "text").select("origin", "id", "text", F.array_join("findings", ",").alias("findings"))
 
 
@@ -68,11 +73,11 @@ def redact_known_names(spark, sf_dir):
 
 def assert_clean(spark, sf_dir):
     """Unclean rows per origin before and after redaction; the gate itself passes the redacted texts."""
-    texts = fixture(spark, sf_dir, ALL_TEXTS)
+    texts = dealt_texts(spark, sf_dir)
     clean = pii.redact_text(texts, "text").select(*texts.columns)
     pii.assert_clean(clean, "text")
     stages = F.explode(F.array(F.lit("before"), F.lit("after"))).alias("stage")
-    origins = texts.select("origin").distinct().select("origin", stages)
+    origins = fixture(spark, sf_dir, ALL_TEXTS).select("origin").distinct().select("origin", stages)
     unclean = (
         pii.unclean_rows(texts, "text")
         .withColumn("stage", F.lit("before"))
@@ -194,7 +199,7 @@ def recall_at_k(spark, sf_dir):
 QUERIES = {
     "redact_text": redact_text,
     "pii_counts_by_kind": lambda spark, sf_dir: pii.counts_by_kind(
-        fixture(spark, sf_dir, ALL_TEXTS), "text", ["origin", "lang"]
+        dealt_texts(spark, sf_dir), "text", ["origin", "lang"]
     ),
     "redact_known_names": redact_known_names,
     "assert_clean": assert_clean,
