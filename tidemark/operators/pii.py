@@ -18,13 +18,13 @@ class PiiError(Exception):
     """Text that must be clean is not. The message has kinds and counts, never values."""
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows dealt out over all tasks.
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows dealt out over all tasks, by ``keys`` if there are any.
 
     Searching a text takes far longer than reading it: a table of a few bytes a row is read by one or two tasks, which would
     then search the texts of millions of rows.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def redact_text(df: DataFrame, text: str) -> DataFrame:
@@ -87,15 +87,17 @@ def known_names(names: DataFrame, name: str) -> DataFrame:
 def redact_known_names(df: DataFrame, key: str, text: str, names: DataFrame, name: str) -> DataFrame:
     """Redact names from a table along with the patterned kinds; ``key`` must identify a row.
 
-    Word runs meet the names in an equi-join, which the planner broadcasts or shuffles by the size of the names; a run
-    that makes up a large part of all runs is split by adaptive execution. What comes back per text are only its
-    matches. Only texts with matches have their words located.
+    Rows are dealt out by ``key`` once, and what is found in a text meets its row there. Word runs meet the names in an
+    equi-join, which the planner broadcasts or shuffles by the size of the names; a run that makes up a large part of all
+    runs is split by adaptive execution. What comes back per text are only its matches. Only texts with matches have their
+    words located.
     """
-    matched = _name_grams(df, key, text).join(known_names(names, name), "gram")
+    dealt = spread(df, key)
+    matched = _name_grams(dealt, key, text).join(known_names(names, name), "gram")
     per_row = matched.groupBy(key).agg(F.collect_list(F.struct("at", "words")).alias("_names"))
     words = F.regexp_extract_all(F.col(text), F.lit(redaction.TOKEN_PATTERN), F.lit(0))
     places = redaction.offsets(F.split(F.col(text), redaction.TOKEN_PATTERN, -1), words, 0)
-    found = df.join(per_row, key, "left").withColumn("_places", F.when(F.col("_names").isNotNull(), places))
+    found = dealt.join(per_row, key, "left").withColumn("_places", F.when(F.col("_names").isNotNull(), places))
 
     def span(m: Column) -> Column:
         first, last = F.col("_places")[m["at"]], F.col("_places")[m["at"] + m["words"] - 1]
