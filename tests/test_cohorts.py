@@ -51,6 +51,25 @@ def test_full_run_equals_the_rebuild(spark, tmp_path):
     assert held(lake) == expected(users, tx)
 
 
+def test_a_run_reads_every_user_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def counted(user):
+        read.add(1)
+        return user
+
+    users, tx, lake = people(spark), payments(spark), Lake(spark, str(tmp_path))
+    seen = users.withColumn("user_id", counted("user_id"))
+    cohorts.signup_bitmaps(seen).collect()
+    once = read.value
+    cohorts.refresh_cohorts(seen, tx, lake)
+    assert once and read.value == 2 * once
+    cohorts.refresh_cohorts(seen, tx, lake, date(2026, 5, 1), date(2026, 5, 8))
+    assert read.value == 3 * once
+    assert held(lake) == expected(users, tx)
+
+
 def test_runs_over_eight_days_equal_the_rebuild(spark, tmp_path):
     users, tx, lake = people(spark), payments(spark), Lake(spark, str(tmp_path))
     cohorts.refresh_cohorts(users, tx.filter("dt < '2026-05-01'"), lake)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.expr import week_start
-from tidemark.session import checkpointed, small_frame
+from tidemark.session import checkpointed, scratch_path, small_frame
 from tidemark.sources.lake import write_partition_overwrite
 
 if TYPE_CHECKING:
@@ -111,6 +111,13 @@ def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
         return None
 
 
+def _once(df: DataFrame, name: str, schema: str) -> DataFrame:
+    """``df`` written to the shared folder, for steps that would each derive it from the source again."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(schema).parquet(path)
+
+
 def _monday(day: date) -> date:
     return day - timedelta(days=day.weekday())
 
@@ -125,8 +132,8 @@ def refresh_cohorts(
     """Bring ``user_cohorts`` up to date for payments of ``first`` to ``last``; return the weeks counted anew (Mondays).
 
     Payments outside of the range must be those that an earlier run has seen; without an earlier run, or without a range,
-    all days are read and all tables replaced. Every step overwrites what it covers, and sign-ups are stored last: a run that broke off is repaired by
-    running it again.
+    all days are read and all tables replaced. Users are read once. Every step overwrites what it covers, and sign-ups are
+    stored last: a run that broke off is repaired by running it again.
     """
     spark = lake.spark
     paths = {name: lake.curated_path(name) for name in ("payer_days", "signup_bitmaps", "cohort_activity", "user_cohorts")}
@@ -139,7 +146,7 @@ def refresh_cohorts(
         _replace(payer_days(transactions), paths["payer_days"], "month")
         _replace(small_frame(spark, [], ACTIVITY), paths["cohort_activity"], "month")
 
-    signups, days = signup_bitmaps(users), _stored(spark, paths["payer_days"], PAYER_DAYS)
+    signups, days = _once(signup_bitmaps(users), "signups", SIGNUPS), _stored(spark, paths["payer_days"], PAYER_DAYS)
     span = days.agg(F.min("week").cast("date").alias("a"), F.max("week").cast("date").alias("z")).first()
     counted = None
     if span["a"] is not None:
