@@ -64,3 +64,39 @@ def test_blocks_of_windows_meet_each_other(spark, monkeypatch):
     whole = sorted(map(repr, passages.near_passages(docs_frame(spark, rows)).collect()))
     monkeypatch.setattr(passages, "BLOCK", 5)
     assert sorted(map(repr, passages.near_passages(docs_frame(spark, rows)).collect())) == whole
+
+
+def test_a_run_of_matches_holds_the_same_seed():
+    rng = random.Random(34)
+    shared = prose(rng, passages.RUN + 4, 10**6).split()
+    found = []
+    for n in (40, 70):
+        words = [w.encode() for w in prose(rng, n, 10**6).split() + shared + prose(rng, n, 10**6).split()]
+        places, values = passages.seeds(words, passages.RUN, passages.SEED)
+        found.append({v for p, v in zip(places.tolist(), values.tolist()) if n <= p <= n + passages.RUN - passages.SEED})
+    assert found[0] & found[1]
+
+
+def test_a_stock_phrase_brings_only_similar_windows_together(spark, monkeypatch):
+    rng = random.Random(35)
+    monkeypatch.setattr(passages, "BLOCK", 4)
+    phrase, n = prose(rng, 12, 10**6).split(), 150
+    rows = [(i, " ".join([*phrase, *prose(rng, 150, 10**6).split()]), "en", "s") for i in range(n)]
+    for i in range(0, 20, 2):
+        rows[i + 1] = (i + 1, " ".join(edited(rng, rows[i][1].split(), 1)), "en", "s")
+    docs = docs_frame(spark, rows).selectExpr("doc_id AS doc", "text")
+    found = passages.windows(docs, 46, passages.HASHES)
+    met = passages.meetings(docs, found, passages.HASHES, passages.RUN, passages.SEED).select("a", "b").distinct().collect()
+    out = {r["doc_id"]: r for r in passages.near_passages(docs_frame(spark, rows)).collect()}
+    assert all(out[i + 1]["class_id"] == i for i in range(0, 20, 2))
+    assert len(met) < n
+
+
+def test_a_word_repeated_over_a_passage_is_linked_wherever_it_stands():
+    import numpy as np
+
+    rng = random.Random(36)
+    a = [b"w"] * 80
+    b = [w.encode() for w in ["w"] * 10 + prose(rng, 30, 10**6).split() + ["w"] * 70 + prose(rng, 30, 10**6).split() + ["w"] * 9]
+    a, b = (passages.shingle_hashes(x)[: len(x) - 4] for x in (a, b))
+    assert any((first, last) == (40, 105) for _, _, first, last, _ in passages.common_passages(a, np.array(b), 46, 0.8))
